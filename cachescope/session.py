@@ -17,7 +17,7 @@ def get_spark(cores: int | str | None = None, app: str = "cachescope",
     join partitions.
     """
     cores = cores or os.environ.get("BENCH_CPUS") or "*"
-    parts = shuffle_partitions or (int(cores) * 2 if str(cores).isdigit() else 16)
+    parts = shuffle_partitions or (int(cores) if str(cores).isdigit() else 8)
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
