@@ -340,3 +340,206 @@ SELECT array_to_string(list_sort(list_distinct(list(cache_mode))), ',') AS cache
 FROM summary"""))
 def q_run_inventory(spark, sf):
     return R.run_inventory(summary_df(spark, sf))
+
+
+# --------------------------------------------------------------------------
+# Labelled items
+# --------------------------------------------------------------------------
+
+NOT_REJECTED = "cleaning_status IS DISTINCT FROM 'rejected'"
+QUESTION_SQL = "coalesce(nullif(platinum_prompt, ''), nullif(question, ''), nullif(statement, ''))"
+
+
+def _expected_sql() -> str:
+    ia, il = S.int_or_null("answer"), S.int_or_null("label")
+    return f"""CASE
+  WHEN len(coalesce(platinum_target, [])) > 0
+    THEN array_to_string(list_transform(platinum_target, lambda x: coalesce(x, 'None')), '|')
+  WHEN subset IN ('singleq', 'singleop', 'multiarith') AND output_answer <> '' THEN output_answer
+  WHEN subset = 'gsm8k' AND answer <> '' THEN answer
+  WHEN subset = 'mmlu_math' AND {ia} >= 0 AND {ia} < len(choices) THEN choices[{ia} + 1]
+  WHEN subset IN ('squad', 'hotpotqa') AND answer <> '' THEN answer
+  WHEN subset = 'winograd_wsc' AND {il} >= 0 AND {il} < len(options) THEN options[{il} + 1]
+  WHEN label <> '' THEN label
+  WHEN output_answer <> '' THEN output_answer
+  WHEN answer <> '' THEN answer
+  ELSE '' END"""
+
+
+EXPECTED_SQL = _expected_sql()
+
+
+def items_df(spark, sf):
+    return TB.eval_items(spark, sf)
+
+
+@register("drop_rejected", S.with_views(
+    f"SELECT subset, item_idx, cleaning_status FROM eval_items WHERE {NOT_REJECTED}", "eval_items"))
+def q_drop_rejected(spark, sf):
+    return I.drop_rejected(items_df(spark, sf)).select("subset", "item_idx", "cleaning_status")
+
+
+SLICE_START = 5
+
+
+@register("slice_items", S.with_views(f"""
+SELECT subset, item_idx, item_pos FROM (
+  SELECT subset, item_idx, row_number() OVER (PARTITION BY subset ORDER BY item_idx) - 1 AS item_pos
+  FROM eval_items WHERE {NOT_REJECTED}) WHERE item_pos >= {SLICE_START}""", "eval_items"))
+def q_slice_items(spark, sf):
+    return I.slice_items(items_df(spark, sf), SLICE_START, None).select("subset", "item_idx", "item_pos")
+
+
+@register("pick_question", S.with_views(
+    f"SELECT subset, item_idx, {QUESTION_SQL} AS question FROM eval_items", "eval_items"))
+def q_pick_question(spark, sf):
+    it = items_df(spark, sf)
+    return it.select("subset", "item_idx", I.pick_question(it).alias("question"))
+
+
+@register("expected_answers", S.with_views(
+    f"SELECT subset, item_idx, {EXPECTED_SQL} AS expected FROM eval_items", "eval_items"))
+def q_expected_answers(spark, sf):
+    return items_df(spark, sf).select("subset", "item_idx",
+                                      F.array_join(I.expected_answers(), "|").alias("expected"))
+
+
+SAMPLE_N, SAMPLE_SEED = 25, 7
+
+
+@register("sample_items", S.with_views(f"""
+SELECT subset, item_idx FROM (
+  SELECT subset, item_idx, row_number() OVER (
+    PARTITION BY subset ORDER BY sha256(concat('{SAMPLE_SEED}:', CAST(item_idx AS VARCHAR))), item_idx) AS rn
+  FROM eval_items WHERE {NOT_REJECTED}) WHERE rn <= {SAMPLE_N}""", "eval_items"))
+def q_sample_items(spark, sf):
+    return I.sample_items(items_df(spark, sf), SAMPLE_N, SAMPLE_SEED).select("subset", "item_idx")
+
+
+ITEM_INDEX = 3
+
+
+@register("item_at", S.with_views(f"""
+SELECT subset, item_idx, item_pos FROM (
+  SELECT subset, item_idx, row_number() OVER (PARTITION BY subset ORDER BY item_idx) - 1 AS item_pos,
+         count(*) OVER (PARTITION BY subset) AS n
+  FROM eval_items WHERE {NOT_REJECTED})
+WHERE item_pos = CASE WHEN {ITEM_INDEX} < n THEN {ITEM_INDEX} ELSE 0 END""", "eval_items"))
+def q_item_at(spark, sf):
+    return I.item_at(items_df(spark, sf), ITEM_INDEX).select("subset", "item_idx", "item_pos")
+
+
+@register("paraphrase", S.with_views(
+    f"SELECT subset, item_idx, {S.paraphrase(QUESTION_SQL)} AS paraphrase FROM eval_items", "eval_items"))
+def q_paraphrase(spark, sf):
+    it = items_df(spark, sf)
+    return it.select("subset", "item_idx", X.paraphrase(I.pick_question(it)).alias("paraphrase"))
+
+
+@register("plan_requests", S.with_views(f"""
+WITH sel AS (SELECT subset, item_idx, {QUESTION_SQL} AS question, {EXPECTED_SQL} AS expected,
+               row_number() OVER (PARTITION BY subset ORDER BY item_idx) - 1 AS item_pos
+             FROM eval_items WHERE {NOT_REJECTED}),
+plan AS (SELECT run_id, unnest(subsets) AS subset, unnest(range(len(subsets))) AS subset_ord FROM run_plan),
+sizes AS (SELECT subset, count(*) AS n FROM sel GROUP BY subset),
+off AS (SELECT p.run_id, p.subset,
+          coalesce(sum(coalesce(s.n, 0)) OVER (PARTITION BY p.run_id ORDER BY p.subset_ord
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off
+        FROM plan p LEFT JOIN sizes s ON p.subset = s.subset)
+SELECT off.run_id, off.off + sel.item_pos AS seq, sel.subset, sel.item_pos AS row_index, sel.item_idx,
+       sel.question, sel.expected
+FROM off JOIN sel ON off.subset = sel.subset""", "eval_items", "run_plan"))
+def q_plan_requests(spark, sf):
+    p = I.plan_requests(TB.run_plan(spark), items_df(spark, sf))
+    return p.select("run_id", "seq", "subset", "row_index", "item_idx", "question",
+                    F.array_join("expected", "|").alias("expected"))
+
+
+# --------------------------------------------------------------------------
+# C1, C2, C5-C8, C10, C12 on whole texts; D7 pairing
+# --------------------------------------------------------------------------
+
+@register("normalize_text", f"SELECT doc_id, {S.norm('text')} AS norm_text FROM documents")
+def q_normalize_text(spark, sf):
+    d = TB.table(spark, sf, "documents")
+    return d.select("doc_id", X.normalize_text("text").alias("norm_text"))
+
+
+@register("final_number", f"SELECT doc_id, {S.num('text')} AS final_number FROM documents")
+def q_final_number(spark, sf):
+    d = TB.table(spark, sf, "documents")
+    return d.select("doc_id", X.final_number("text").alias("final_number"))
+
+
+@register("prompt_key", "SELECT doc_id, sha256(text) AS prompt_key FROM documents")
+def q_prompt_key(spark, sf):
+    return TB.table(spark, sf, "documents").select("doc_id", X.prompt_key("text").alias("prompt_key"))
+
+
+@register("safe_name", f"SELECT page_id, {S.safe_name('url')} AS safe_name FROM pages")
+def q_safe_name(spark, sf):
+    return TB.table(spark, sf, "pages").select("page_id", X.safe_name("url").alias("safe_name"))
+
+
+VERDICT_CTES = f"""
+WITH cand AS (SELECT run_id, seq, response, {S.num('response')} AS mn, {S.norm('response')} AS mnrm,
+                len(expected) AS n_exp, unnest(expected) AS e FROM request_log),
+c AS (SELECT *, {S.num('e')} AS en, {S.norm('e')} AS enrm FROM cand),
+v AS (SELECT run_id, seq,
+        coalesce(bool_or(mn IS NOT NULL AND en IS NOT NULL AND (en = mn OR
+          abs(en - mn) <= greatest(1e-6 * greatest(abs(en), abs(mn)), 1e-6))), false) AS verdict_numeric,
+        coalesce(bool_or(enrm = mnrm OR contains(mnrm, enrm) OR contains(enrm, mnrm)), false) AS verdict_text,
+        count_if(en IS NOT NULL) >= greatest(1, max(n_exp) // 2) AS mostly_numeric
+      FROM c GROUP BY run_id, seq)"""
+
+
+@register("verdict_numeric", S.with_views(VERDICT_CTES + "\nSELECT run_id, seq, verdict_numeric FROM v",
+                                          "request_log"))
+def q_verdict_numeric(spark, sf):
+    return TB.request_log(spark, sf).select(
+        "run_id", "seq", G.verdict_numeric("expected", "response").alias("verdict_numeric"))
+
+
+@register("verdict_text", S.with_views(VERDICT_CTES + "\nSELECT run_id, seq, verdict_text FROM v", "request_log"))
+def q_verdict_text(spark, sf):
+    return TB.request_log(spark, sf).select(
+        "run_id", "seq", G.verdict_text("expected", "response").alias("verdict_text"))
+
+
+@register("mostly_numeric", S.with_views(VERDICT_CTES + "\nSELECT run_id, seq, mostly_numeric FROM v",
+                                         "request_log"))
+def q_mostly_numeric(spark, sf):
+    return TB.request_log(spark, sf).select(
+        "run_id", "seq", G.mostly_numeric("expected").alias("mostly_numeric"))
+
+
+@register("task_verdict", S.with_views(VERDICT_CTES + """
+SELECT run_id, seq, CASE WHEN mostly_numeric THEN verdict_numeric ELSE verdict_text END AS task_verdict FROM v""",
+                                       "request_log"))
+def q_task_verdict(spark, sf):
+    return TB.request_log(spark, sf).select(
+        "run_id", "seq", G.task_verdict("expected", "response").alias("task_verdict"))
+
+
+@register("paired_hits", S.with_views("""
+WITH f AS (SELECT run_id, response, latency_sec,
+             row_number() OVER (PARTITION BY run_id ORDER BY seq) - 1 AS pos FROM request_log),
+s AS (SELECT run_id, pos // 2 AS pair_id, response AS seed_output, latency_sec AS seed_latency_sec
+      FROM f WHERE pos % 2 = 0),
+p AS (SELECT run_id, pos // 2 AS pair_id, response AS paraphrase_output, latency_sec AS paraphrase_latency_sec
+      FROM f WHERE pos % 2 = 1)
+SELECT run_id, pair_id, seed_output, paraphrase_output, round(seed_latency_sec, 6) AS seed_latency_sec,
+       round(paraphrase_latency_sec, 6) AS paraphrase_latency_sec,
+       coalesce(paraphrase_output = seed_output
+                AND paraphrase_latency_sec < greatest(0.25, seed_latency_sec * 0.7), false) AS semantic_hit_likely
+FROM s JOIN p USING (run_id, pair_id)""", "request_log"))
+def q_paired_hits(spark, sf):
+    from cachescope.operators.scan import positions
+    f = positions(TB.request_log(spark, sf), ["run_id"], "seq", "pos") \
+        .withColumn("pair_id", F.floor(F.col("pos") / 2).cast("long"))
+    seed = f.where(F.col("pos") % 2 == 0)
+    para = f.where(F.col("pos") % 2 == 1)
+    j = H.paired_hits(seed, para, keys=("run_id", "pair_id"))
+    return j.select("run_id", "pair_id", "seed_output", "paraphrase_output",
+                    r6("seed_latency_sec").alias("seed_latency_sec"),
+                    r6("paraphrase_latency_sec").alias("paraphrase_latency_sec"), "semantic_hit_likely")

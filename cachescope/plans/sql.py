@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from cachescope.functions.text import (ANSWER_RE_RE2, BLANK, NUMBER_RE, PARAPHRASE_SUFFIX,
                                        PUNCT_CLASS, QUOTE_CLASS, SAFE_NAME_CLASS, STRIP_RE)
-from cachescope.sources.tables import RUN_ROWS, SUBSETS
+from cachescope.sources.tables import RUN_PLAN_ROWS, RUN_ROWS, SUBSETS
 
 
 def lit(s: str) -> str:
@@ -83,8 +83,13 @@ RUNS = ("SELECT * FROM (VALUES " + ", ".join(
     for r in RUN_ROWS) + ") AS t(run_id, cache_mode, embedding_model, similarity_threshold)")
 
 
+RUN_PLAN = ("SELECT * FROM (VALUES " + ", ".join(
+    "(" + lit(r) + ", [" + ", ".join(lit(x) for x in subs) + "])" for r, subs in RUN_PLAN_ROWS)
+    + ") AS t(run_id, subsets)")
+
+
 def with_views(body: str, *names: str) -> str:
-    views = {"request_log": REQUEST_LOG, "eval_items": EVAL_ITEMS, "runs": RUNS}
+    views = {"request_log": REQUEST_LOG, "eval_items": EVAL_ITEMS, "runs": RUNS, "run_plan": RUN_PLAN}
     ctes = ",\n".join(f"{n} AS ({views[n]})" for n in names)
     body = body.strip()
     if body.upper().startswith("WITH "):

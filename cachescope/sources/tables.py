@@ -89,6 +89,21 @@ def runs(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
     return spark.createDataFrame(RUN_ROWS, RUNS_SCHEMA)
 
 
+# Which subsets each stand-in run asks, in order (run plan of D8).
+RUN_PLAN_ROWS = [
+    ("error", ["gsm8k", "hotpotqa", "singleq", "mmlu_math", "winograd_wsc"]),
+    ("click", ["gsm8k", "singleq"]),
+    ("view", ["squad"]),
+    ("signup", ["winograd_wsc", "mmlu_math", "hotpotqa"]),
+    ("purchase", ["hotpotqa", "gsm8k"]),
+]
+
+
+def run_plan(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
+    """Run configurations with their ordered subset lists."""
+    return spark.createDataFrame(RUN_PLAN_ROWS, "run_id string, subsets array<string>")
+
+
 def embedding_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prompts with embeddings: vec_id is the request order, one scope."""
     e = table(spark, sf_dir, "embeddings")
