@@ -543,3 +543,127 @@ def q_paired_hits(spark, sf):
     return j.select("run_id", "pair_id", "seed_output", "paraphrase_output",
                     r6("seed_latency_sec").alias("seed_latency_sec"),
                     r6("paraphrase_latency_sec").alias("paraphrase_latency_sec"), "semantic_hit_likely")
+
+
+# --------------------------------------------------------------------------
+# Answer reuse over documents as prompts
+# --------------------------------------------------------------------------
+
+from cachescope.operators import reuse as U  # noqa: E402
+
+REUSE_THRESHOLD = 0.9
+SWEEP_THRESHOLDS = (0.85, 0.9, 0.95)
+
+
+def docs_df(spark, sf):
+    d = TB.table(spark, sf, "documents")
+    return d.select(F.lit("all").alias("run_id"), F.col("doc_id").alias("seq"),
+                    F.col("text").alias("prompt"), "lang")
+
+
+VEC_CTES = f"""
+tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), {S.lit(U.TOKEN_RE)})) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM tok GROUP BY doc_id, term),
+dfreq AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+nd AS (SELECT count(*) AS n FROM documents),
+w0 AS (SELECT doc_id, term, tf * ln((n + 1.0) / (df + 1.0)) AS w FROM tf JOIN dfreq USING (term), nd),
+w AS (SELECT * FROM w0 WHERE w > 0),
+nrm AS (SELECT doc_id, sqrt(sum(w * w)) AS nrm FROM w GROUP BY doc_id),
+v AS (SELECT doc_id, term, w / nrm AS x FROM w JOIN nrm USING (doc_id) WHERE nrm > 0)"""
+
+
+def _pairs_cte(t: float) -> str:
+    return f"""pairs AS (SELECT a.doc_id AS i, b.doc_id AS j, sum(a.x * b.x) AS sim
+  FROM v a JOIN v b ON a.term = b.term AND b.doc_id < a.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING sum(a.x * b.x) >= {t})"""
+
+
+def _first_come_sql(t: float) -> str:
+    """Sequential store-the-misses loop as a recursive CTE (independent oracle)."""
+    return f"""WITH RECURSIVE {VEC_CTES},
+{_pairs_cte(t)},
+nb AS (SELECT i, list(j) AS nbrs FROM pairs GROUP BY i),
+ord AS (SELECT d.doc_id, row_number() OVER (ORDER BY d.doc_id) AS k, coalesce(nb.nbrs, []) AS nbrs
+        FROM documents d LEFT JOIN nb ON nb.i = d.doc_id),
+r AS (SELECT CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS stored
+      UNION ALL
+      SELECT r.k + 1, CASE WHEN list_has_any(r.stored, o.nbrs) THEN r.stored
+                           ELSE list_append(r.stored, o.doc_id) END
+      FROM r JOIN ord o ON o.k = r.k + 1),
+fin AS (SELECT stored FROM r ORDER BY k DESC LIMIT 1),
+miss AS (SELECT unnest(stored) AS doc_id FROM fin),
+best AS (SELECT i, j, sim, row_number() OVER (PARTITION BY i ORDER BY round(sim, 9) DESC, j) AS rn
+         FROM pairs WHERE j IN (SELECT doc_id FROM miss))
+SELECT 'all' AS run_id, d.doc_id AS seq, b.j IS NOT NULL AS reuse_hit, b.j AS served_seq,
+       round(b.sim, 6) AS similarity
+FROM documents d LEFT JOIN (SELECT * FROM best WHERE rn = 1) b ON b.i = d.doc_id"""
+
+
+@register("semantic_reuse", _first_come_sql(REUSE_THRESHOLD))
+def q_semantic_reuse(spark, sf):
+    r = U.semantic_reuse(docs_df(spark, sf), REUSE_THRESHOLD, store="misses")
+    return r.select(F.col("scope").alias("run_id"), F.col("id").alias("seq"), "reuse_hit",
+                    F.col("served_id").alias("served_seq"), r6("similarity").alias("similarity"))
+
+
+@register("nearest_earlier", f"""WITH {VEC_CTES},
+{_pairs_cte(REUSE_THRESHOLD)},
+best AS (SELECT i, j, sim, row_number() OVER (PARTITION BY i ORDER BY round(sim, 9) DESC, j) AS rn FROM pairs)
+SELECT 'all' AS run_id, d.doc_id AS seq, b.j IS NOT NULL AS reuse_hit, b.j AS served_seq,
+       round(b.sim, 6) AS similarity
+FROM documents d LEFT JOIN (SELECT * FROM best WHERE rn = 1) b ON b.i = d.doc_id""")
+def q_nearest_earlier(spark, sf):
+    r = U.semantic_reuse(docs_df(spark, sf), REUSE_THRESHOLD, store="all")
+    return r.select(F.col("scope").alias("run_id"), F.col("id").alias("seq"), "reuse_hit",
+                    F.col("served_id").alias("served_seq"), r6("similarity").alias("similarity"))
+
+
+@register("exact_reuse", """
+SELECT 'all' AS run_id, doc_id AS seq, first_id < doc_id AS reuse_hit,
+       CASE WHEN first_id < doc_id THEN first_id END AS served_seq
+FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS first_id FROM documents)""")
+def q_exact_reuse(spark, sf):
+    return U.exact_reuse(docs_df(spark, sf))
+
+
+@register("no_reuse", S.with_views(
+    "SELECT run_id, seq, false AS reuse_hit, CAST(NULL AS BIGINT) AS served_seq FROM request_log",
+    "request_log"))
+def q_no_reuse(spark, sf):
+    return U.no_reuse(TB.request_log(spark, sf))
+
+
+def _sweep_sql() -> str:
+    t0 = min(SWEEP_THRESHOLDS)
+    ts = ", ".join(str(t) for t in SWEEP_THRESHOLDS)
+    return f"""WITH RECURSIVE {VEC_CTES},
+{_pairs_cte(t0)},
+th AS (SELECT CAST(unnest([{ts}]) AS DOUBLE) AS t),
+pt AS (SELECT t, i, j, sim FROM pairs, th WHERE sim >= t),
+nb AS (SELECT t, i, list(j) AS nbrs FROM pt GROUP BY t, i),
+ord AS (SELECT th.t, d.doc_id, row_number() OVER (PARTITION BY th.t ORDER BY d.doc_id) AS k,
+               coalesce(nb.nbrs, []) AS nbrs
+        FROM documents d CROSS JOIN th LEFT JOIN nb ON nb.i = d.doc_id AND nb.t = th.t),
+r AS (SELECT t, CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS stored FROM th
+      UNION ALL
+      SELECT r.t, r.k + 1, CASE WHEN list_has_any(r.stored, o.nbrs) THEN r.stored
+                                ELSE list_append(r.stored, o.doc_id) END
+      FROM r JOIN ord o ON o.t = r.t AND o.k = r.k + 1),
+fin AS (SELECT t, arg_max(stored, k) AS stored FROM r GROUP BY t),
+miss AS (SELECT t, unnest(stored) AS doc_id FROM fin),
+best AS (SELECT pt.t, i, j, row_number() OVER (PARTITION BY pt.t, i ORDER BY round(sim, 9) DESC, j) AS rn
+         FROM pt JOIN miss ON miss.t = pt.t AND miss.doc_id = pt.j),
+served AS (SELECT t, i, j FROM best WHERE rn = 1)
+SELECT CAST(th.t AS DOUBLE) AS threshold, count(*) AS total_queries, count(s.j) AS cache_hits,
+       count_if(s.j IS NOT NULL AND (dj.lang IS DISTINCT FROM di.lang)) AS bad_cache_hits
+FROM th CROSS JOIN documents di
+LEFT JOIN served s ON s.t = th.t AND s.i = di.doc_id
+LEFT JOIN documents dj ON dj.doc_id = s.j
+GROUP BY th.t"""
+
+
+@register("reuse_sweep", _sweep_sql())
+def q_reuse_sweep(spark, sf):
+    d = docs_df(spark, sf)
+    ans = d.select("seq", F.col("lang").alias("answer"))
+    return U.reuse_sweep(d, ans, SWEEP_THRESHOLDS)
