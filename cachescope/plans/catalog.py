@@ -667,3 +667,80 @@ def q_reuse_sweep(spark, sf):
     d = docs_df(spark, sf)
     ans = d.select("seq", F.col("lang").alias("answer"))
     return U.reuse_sweep(d, ans, SWEEP_THRESHOLDS)
+
+
+# --------------------------------------------------------------------------
+# Run documents and the flat summary
+# --------------------------------------------------------------------------
+
+from cachescope.sources import documents as DOC  # noqa: E402
+
+TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
+
+
+def run_documents(spark, sf):
+    """(run_id, document): documents of the runs, built from the log's metrics."""
+    log = TB.request_log(spark, sf)
+    stamps = log.groupBy("run_id").agg(F.date_format(F.max("ts"), TS_FORMAT).alias("timestamp"))
+    m = metrics_df(spark, sf).join(TB.runs(spark), "run_id").join(TB.run_plan(spark), "run_id", "left") \
+        .join(stamps, "run_id", "left")
+    cfg = {k: F.col(k) for k in ("timestamp", "cache_mode", "embedding_model", "similarity_threshold",
+                                 "subsets")}
+    return DOC.to_documents(m, cfg)
+
+
+SUMMARY31 = [c for c in DOC.SUMMARY_COLUMNS]
+
+
+@register("document_summary", summary_sql(f"""
+, stamps AS (SELECT run_id, strftime(max(ts), '%Y-%m-%dT%H:%M:%S') AS ts FROM request_log GROUP BY run_id),
+plan AS ({S.RUN_PLAN})
+SELECT s.run_id, stamps.ts AS timestamp, 'gemma2:9b' AS model_name, 'ollama' AS model_provider,
+       s.cache_mode, 'platinum-bench' AS dataset_name,
+       coalesce(array_to_string(plan.subsets, ','), 'unknown') AS dataset_subsets, 0 AS slice_limit,
+       CAST(0.0 AS DOUBLE) AS temperature, 256 AS max_tokens, CAST(0.9 AS DOUBLE) AS top_p, s.embedding_model,
+       round(s.similarity_threshold, 6) AS similarity_threshold, CAST(NULL AS VARCHAR) AS looseness_preset,
+       {_sql_round(['correctness', 'cache_hit_rate', 'bad_cache_hit_rate', 'cache_accuracy'])},
+       total_queries, cache_hits, cache_misses, bad_cache_hits, good_cache_hits,
+       {_sql_round(['latency_mean_sec', 'latency_p95_sec', 'throughput_qps', 'reliability_degradation',
+                    'cache_effectiveness', 'correctness_without_bad_hits', 'cache_impact_on_correctness'])},
+       s.run_id || '.json' AS result_file
+FROM summary s LEFT JOIN stamps ON s.run_id = stamps.run_id LEFT JOIN plan ON s.run_id = plan.run_id"""))
+def q_document_summary(spark, sf):
+    docs = run_documents(spark, sf).select(F.concat("run_id", F.lit(".json")).alias("result_file"), "document")
+    flat = DOC.flatten_documents(DOC.check_documents(docs))
+    return _round_doubles(flat.select(*SUMMARY31))
+
+
+# Field paths of the summary contract, in check order.
+CONTRACT_PATHS = (DOC.REQUIRED_TOP + [f"model.{x}" for x in DOC.REQUIRED_MODEL]
+                  + [f"metrics.{x}" for x in DOC.REQUIRED_METRICS]
+                  + [f"metrics.cache_statistics.{x}" for x in DOC.REQUIRED_STATS])
+
+
+def _missing_expect() -> str:
+    rows = []
+    for k, p in enumerate(CONTRACT_PATHS):
+        n = 6 if p == "metrics.cache_statistics" else 1
+        rows.append(f"({k}, {S.lit(p)}, {n})")
+    rows.append(f"({len(CONTRACT_PATHS)}, NULL, 0)")
+    return "SELECT * FROM (VALUES " + ", ".join(rows) + ") AS t(variant, first_missing, n_missing)"
+
+
+@register("missing_fields", S.with_views(f"""
+WITH runs_seen AS (SELECT DISTINCT run_id FROM request_log),
+v AS ({_missing_expect()})
+SELECT r.run_id, v.variant, v.first_missing, v.n_missing, v.n_missing = 0 AS valid
+FROM runs_seen r CROSS JOIN v""", "request_log"))
+def q_missing_fields(spark, sf):
+    """H1/G4 on documents with one contract field removed per variant."""
+    log = TB.request_log(spark, sf)
+    stamps = log.groupBy("run_id").agg(F.date_format(F.max("ts"), TS_FORMAT).alias("timestamp"))
+    m = metrics_df(spark, sf).join(stamps, "run_id", "left")
+    doc = DOC.document_struct({"timestamp": F.col("timestamp")})
+    variants = [F.to_json(doc.dropFields(p), {"ignoreNullFields": "false"}) for p in CONTRACT_PATHS]
+    variants.append(F.to_json(doc, {"ignoreNullFields": "false"}))
+    d = m.select("run_id", F.posexplode(F.array(*variants)).alias("variant", "document"))
+    c = DOC.check_documents(d)
+    return c.select("run_id", F.col("variant").cast("int").alias("variant"), "first_missing",
+                    F.size("missing").alias("n_missing"), "valid")
