@@ -744,3 +744,59 @@ def q_missing_fields(spark, sf):
     c = DOC.check_documents(d)
     return c.select("run_id", F.col("variant").cast("int").alias("variant"), "first_missing",
                     F.size("missing").alias("n_missing"), "valid")
+
+
+# --------------------------------------------------------------------------
+# U2 + D3 / G2 over dense embeddings
+# --------------------------------------------------------------------------
+
+from cachescope.operators import vectors as VEC  # noqa: E402
+
+EMB_THRESHOLD = 0.3
+
+EMB_CTES = f"""
+e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, CAST(label AS VARCHAR) AS label FROM embeddings),
+pairs AS (SELECT a.vec_id AS i, b.vec_id AS j, list_cosine_similarity(a.v, b.v) AS sim
+          FROM e a JOIN e b ON b.vec_id < a.vec_id
+          WHERE list_cosine_similarity(a.v, b.v) >= {EMB_THRESHOLD})"""
+
+
+def _emb_out(best_from: str) -> str:
+    return f"""best AS (SELECT i, j, sim, row_number() OVER (PARTITION BY i ORDER BY round(sim, 9) DESC, j) AS rn
+         FROM {best_from})
+SELECT 'emb' AS run_id, x.vec_id AS seq, b.j IS NOT NULL AS reuse_hit, b.j AS served_seq,
+       round(b.sim, 6) AS similarity, coalesce(b.j IS NOT NULL AND y.label <> x.label, false) AS bad_hit
+FROM e x LEFT JOIN (SELECT * FROM best WHERE rn = 1) b ON b.i = x.vec_id LEFT JOIN e y ON y.vec_id = b.j"""
+
+
+@register("embedding_reuse", f"""WITH RECURSIVE {EMB_CTES},
+nb AS (SELECT i, list(j) AS nbrs FROM pairs GROUP BY i),
+ord AS (SELECT x.vec_id, row_number() OVER (ORDER BY x.vec_id) AS k, coalesce(nb.nbrs, []) AS nbrs
+        FROM e x LEFT JOIN nb ON nb.i = x.vec_id),
+r AS (SELECT CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS stored
+      UNION ALL
+      SELECT r.k + 1, CASE WHEN list_has_any(r.stored, o.nbrs) THEN r.stored
+                           ELSE list_append(r.stored, o.vec_id) END
+      FROM r JOIN ord o ON o.k = r.k + 1),
+fin AS (SELECT stored FROM r ORDER BY k DESC LIMIT 1),
+miss AS (SELECT unnest(stored) AS vec_id FROM fin),
+{_emb_out("pairs WHERE j IN (SELECT vec_id FROM miss)")}""")
+def q_embedding_reuse(spark, sf):
+    reqs = TB.embedding_requests(spark, sf)
+    r = VEC.vector_reuse(reqs, EMB_THRESHOLD, store="misses")
+    return _emb_result(reqs, r)
+
+
+def _emb_result(reqs, r):
+    lab = reqs.select(F.col("seq").alias("id"), F.col("answer").alias("_a"))
+    slab = reqs.select(F.col("seq").alias("served_id"), F.col("answer").alias("_sa"))
+    g = r.join(lab, "id", "left").join(slab, "served_id", "left")
+    return g.select(F.col("scope").alias("run_id"), F.col("id").alias("seq"), "reuse_hit",
+                    F.col("served_id").alias("served_seq"), r6("similarity").alias("similarity"),
+                    F.coalesce(F.col("reuse_hit") & (F.col("_sa") != F.col("_a")), F.lit(False)).alias("bad_hit"))
+
+
+@register("nearest_embedding", f"WITH {EMB_CTES},\n{_emb_out('pairs')}")
+def q_nearest_embedding(spark, sf):
+    reqs = TB.embedding_requests(spark, sf)
+    return _emb_result(reqs, VEC.vector_reuse(reqs, EMB_THRESHOLD, store="all"))
