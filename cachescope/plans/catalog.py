@@ -800,3 +800,126 @@ def _emb_result(reqs, r):
 def q_nearest_embedding(spark, sf):
     reqs = TB.embedding_requests(spark, sf)
     return _emb_result(reqs, VEC.vector_reuse(reqs, EMB_THRESHOLD, store="all"))
+
+
+# --------------------------------------------------------------------------
+# Presets over run configurations derived from the log
+# --------------------------------------------------------------------------
+
+# Rule that gives the derived runs a preset (the list holds an
+# unknown name and a missing one on purpose) and a direct threshold.
+PRESET_RULE = ["conservative", "moderate", "aggressive", "reckless", "sloppy", None]
+
+
+def derived_runs(spark, sf):
+    log = TB.request_log(spark, sf)
+    r = log.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_requests"))
+    presets = F.array(*[F.lit(p).cast("string") for p in PRESET_RULE])
+    return r.select("run_id", "n_requests",
+                    F.element_at(presets, (F.length("run_id") % len(PRESET_RULE) + 1).cast("int"))
+                    .alias("looseness_preset"),
+                    F.when(F.length("run_id") % 2 == 0, F.lit(0.9)).cast("double").alias("similarity_threshold"))
+
+
+def _derived_runs_sql() -> str:
+    arr = "[" + ", ".join("NULL" if p is None else S.lit(p) for p in PRESET_RULE) + "]"
+    return f"""dr AS (SELECT run_id, count(*) AS n_requests,
+         list_extract({arr}, CAST(length(run_id) % {len(PRESET_RULE)} AS INT) + 1) AS looseness_preset,
+         CASE WHEN length(run_id) % 2 = 0 THEN CAST(0.9 AS DOUBLE) END AS similarity_threshold
+       FROM request_log GROUP BY run_id)"""
+
+
+def _preset_case(col: str) -> str:
+    return "CASE " + " ".join(f"WHEN {col} = {S.lit(k)} THEN CAST({v} AS DOUBLE)"
+                              for k, v in U.LOOSENESS_PRESETS.items()) + " END"
+
+
+@register("resolve_threshold", S.with_views(f"""
+WITH {_derived_runs_sql()}
+SELECT run_id, n_requests, looseness_preset,
+       round(CASE WHEN looseness_preset IS NOT NULL THEN {_preset_case('looseness_preset')}
+                  ELSE coalesce(similarity_threshold, {U.DEFAULT_LOOSE_THRESHOLD}) END, 6) AS resolved_threshold,
+       (looseness_preset IS NULL OR {_preset_case('looseness_preset')} IS NOT NULL) AS preset_known
+FROM dr""", "request_log"))
+def q_resolve_threshold(spark, sf):
+    r = U.resolve_threshold(derived_runs(spark, sf), strict=False)
+    return r.select("run_id", "n_requests", "looseness_preset", r6("resolved_threshold").alias("resolved_threshold"),
+                    "preset_known")
+
+
+@register("unknown_presets", S.with_views(f"""
+WITH {_derived_runs_sql()}
+SELECT run_id, looseness_preset FROM dr
+WHERE looseness_preset IS NOT NULL AND looseness_preset NOT IN ({', '.join(S.lit(k) for k in U.LOOSENESS_PRESETS)})""",
+                                          "request_log"))
+def q_unknown_presets(spark, sf):
+    return U.unknown_presets(derived_runs(spark, sf)).select("run_id", "looseness_preset")
+
+
+# --------------------------------------------------------------------------
+# Entry 1 end to end: plan (D8) -> answers (U3) -> grade -> detect -> summary
+# --------------------------------------------------------------------------
+
+from cachescope.operators import answers as ANS  # noqa: E402
+
+
+def logged_answers(spark, sf):
+    """Logged answers per item, derived from ``part`` (the answer function's log)."""
+    p = TB.table(spark, sf, "part")
+    k = F.col("p_partkey")
+    resp = (F.when(k % 4 == 0, F.concat(F.lit("Answer: "), (F.col("p_size") % 6).cast("string")))
+            .when(k % 4 == 1, F.col("p_brand"))
+            .when(k % 4 == 2, F.concat(F.lit("It is "), F.col("p_name")))
+            .otherwise(F.concat(F.lit("Answer: "), F.col("p_size").cast("string"))))
+    return p.select(k.alias("item_idx"), resp.alias("response"), ((k % 89) / 40.0).alias("latency_sec"))
+
+
+LOGGED_ANSWERS_SQL = """SELECT p_partkey AS item_idx,
+  CASE WHEN p_partkey % 4 = 0 THEN concat('Answer: ', CAST(p_size % 6 AS VARCHAR))
+       WHEN p_partkey % 4 = 1 THEN p_brand
+       WHEN p_partkey % 4 = 2 THEN concat('It is ', p_name)
+       ELSE concat('Answer: ', CAST(p_size AS VARCHAR)) END AS response,
+  (p_partkey % 89) / 40.0 AS latency_sec
+FROM part"""
+
+
+def _expected_list_sql() -> str:
+    ia, il = S.int_or_null("answer"), S.int_or_null("label")
+    return f"""CASE
+  WHEN len(coalesce(platinum_target, [])) > 0 THEN list_transform(platinum_target, lambda x: coalesce(x, 'None'))
+  WHEN subset IN ('singleq', 'singleop', 'multiarith') AND output_answer <> '' THEN [output_answer]
+  WHEN subset = 'gsm8k' AND answer <> '' THEN [answer]
+  WHEN subset = 'mmlu_math' AND {ia} >= 0 AND {ia} < len(choices) THEN [choices[{ia} + 1]]
+  WHEN subset IN ('squad', 'hotpotqa') AND answer <> '' THEN [answer]
+  WHEN subset = 'winograd_wsc' AND {il} >= 0 AND {il} < len(options) THEN [options[{il} + 1]]
+  WHEN label <> '' THEN [label]
+  WHEN output_answer <> '' THEN [output_answer]
+  WHEN answer <> '' THEN [answer]
+  ELSE [''] END"""
+
+
+def _experiment_sql() -> str:
+    planned = f"""WITH sel AS (SELECT subset, item_idx, {QUESTION_SQL} AS question, {_expected_list_sql()} AS expected,
+               row_number() OVER (PARTITION BY subset ORDER BY item_idx) - 1 AS item_pos
+             FROM eval_items WHERE {NOT_REJECTED}),
+plan AS (SELECT run_id, unnest(subsets) AS subset, unnest(range(len(subsets))) AS subset_ord FROM run_plan),
+sizes AS (SELECT subset, count(*) AS n FROM sel GROUP BY subset),
+off AS (SELECT p.run_id, p.subset,
+          coalesce(sum(coalesce(s.n, 0)) OVER (PARTITION BY p.run_id ORDER BY p.subset_ord
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off
+        FROM plan p LEFT JOIN sizes s ON p.subset = s.subset),
+ans AS ({LOGGED_ANSWERS_SQL})
+SELECT off.run_id, off.off + sel.item_pos AS seq, sel.question AS prompt, ans.response, ans.latency_sec,
+       sel.expected
+FROM off JOIN sel ON off.subset = sel.subset LEFT JOIN ans ON ans.item_idx = sel.item_idx"""
+    views = {"eval_items": S.EVAL_ITEMS, "run_plan": S.RUN_PLAN, "runs": S.RUNS, "request_log": planned}
+    ctes = ",\n".join(f"{n} AS ({v})" for n, v in views.items())
+    return f"WITH {ctes},\n{METRICS_CTES}\nSELECT {_sql_round(SUMMARY_COLS)} FROM summary"
+
+
+@register("experiment_summary", _experiment_sql())
+def q_experiment_summary(spark, sf):
+    plan = I.plan_requests(TB.run_plan(spark), items_df(spark, sf))
+    log = ANS.as_request_log(ANS.answer_from_log(plan, logged_answers(spark, sf)))
+    m = M.run_metrics(H.detect_hits(log))
+    return _round_doubles(TB.runs(spark).join(m, "run_id").select(*SUMMARY_COLS))
