@@ -84,7 +84,7 @@ def detect_hits(log: DataFrame, hit_threshold_sec: float = HIT_THRESHOLD_SEC,
                 chunk_rows: int = CHUNK_ROWS, with_grade: bool = True) -> DataFrame:
     """D1 over a request log (run_id, seq, prompt, response, latency_sec[, expected]).
 
-    Adds pos, correct, cache_hit, hit_source, src_pos, bad_hit.
+    Adds pos, correct, cache_hit, hit_source, src_pos, src_seq, bad_hit.
     """
     x = answer_features(log)
     if with_grade:
@@ -107,7 +107,7 @@ def detect_hits(log: DataFrame, hit_threshold_sec: float = HIT_THRESHOLD_SEC,
                  [("pm_before", "max", F.col("g"))], inclusive=False)
     pm = pm.where(F.col("g").isNotNull() & (F.col("pm_before").isNull() | (F.col("g") > F.col("pm_before"))))
     intervals = pm.select(
-        "run_id", F.col("cls").alias("ncls"), F.col("pos").alias("src_pos"),
+        "run_id", F.col("cls").alias("ncls"), F.col("pos").alias("src_pos"), F.col("seq").alias("src_seq"),
         F.col("prompt_h").alias("src_prompt_h"), F.col("pm_before").alias("lo"), F.col("g").alias("hi"),
         F.explode(F.sequence(F.coalesce(latency_bin(F.col("pm_before"), floor_sec), F.lit(-1)),
                              latency_bin(F.col("g"), floor_sec))).alias("bin"))
@@ -120,7 +120,8 @@ def detect_hits(log: DataFrame, hit_threshold_sec: float = HIT_THRESHOLD_SEC,
         (F.col("lo").isNull() | (F.col("latency_sec") >= F.col("lo")))
         & (F.col("latency_sec") < F.col("hi")) & (F.col("src_pos") < F.col("pos")))
     first = matched.groupBy("run_id", "seq").agg(
-        F.min(F.struct("src_pos", F.col("src_prompt_h").eqNullSafe(F.col("prompt_h")).alias("same_prompt")))
+        F.min(F.struct("src_pos", F.col("src_prompt_h").eqNullSafe(F.col("prompt_h")).alias("same_prompt"),
+                       "src_seq"))
         .alias("_src"))
 
     out = x.join(first, ["run_id", "seq"], "left")
@@ -133,7 +134,8 @@ def detect_hits(log: DataFrame, hit_threshold_sec: float = HIT_THRESHOLD_SEC,
               .when(timing, F.lit("timing_based")))
     out = out.withColumn("cache_hit", content | timing) \
              .withColumn("hit_source", source) \
-             .withColumn("src_pos", F.col("_src.src_pos"))
+             .withColumn("src_pos", F.col("_src.src_pos")) \
+             .withColumn("src_seq", F.col("_src.src_seq"))
     if with_grade:
         out = out.withColumn("bad_hit", F.col("cache_hit") & ~F.col("correct"))
     return out.drop("_src", "g", "prompt_h", "cls")
