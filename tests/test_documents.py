@@ -35,3 +35,14 @@ def test_dataset_label(spark):
                                "subsets array<string>, subset string")
     got = [r.l for r in df.select(D.dataset_label(F.col("subsets"), F.col("subset")).alias("l")).collect()]
     assert got == ["a,b", "c", "unknown"]
+
+
+def test_contract_violations(spark):
+    docs = spark.createDataFrame([
+        ("a", '{"run_id": "a", "timestamp": "t", "model": {}, "dataset": {}, "cache": {"mode": "weird"}, '
+              '"metrics": {"cache_hit_rate": 1.5, "latency_mean_sec": -1, "bogus": 1}, "items": []}'),
+        ("b", '{"run_id": "b", "timestamp": "t", "model": {}, "dataset": {}, "cache": {"mode": "none"}, '
+              '"metrics": {"cache_hit_rate": 0.5}, "items": []}')], "run_id string, document string")
+    got = {(r.run_id, r.violation) for r in D.contract_violations(docs).collect()}
+    assert got == {("a", "enum:cache.mode:weird"), ("a", "range:metrics.cache_hit_rate"),
+                   ("a", "range:metrics.latency_mean_sec"), ("a", "additional:metrics:bogus")}

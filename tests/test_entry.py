@@ -15,3 +15,4 @@ def test_all_queries_run(spark):
     for name, fn in qs.items():
         df = fn(spark, SF001)
         df.write.format("noop").mode("overwrite").save()
+        spark.catalog.clearCache()
