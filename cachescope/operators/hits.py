@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from cachescope.functions.grading import grade
 from cachescope.functions.text import NUM_TOL, final_number, is_finite, normalize_text
 from cachescope.operators.scan import CHUNK_ROWS, pos_chunk, positions, running
+from cachescope.session import cut_lineage
 
 # Fixed values of the reference's detector.
 HIT_THRESHOLD_SEC = 0.1
@@ -94,10 +95,12 @@ def detect_hits(log: DataFrame, hit_threshold_sec: float = HIT_THRESHOLD_SEC,
     lat = F.col("latency_sec")
     x = x.withColumn("g", F.when(lat.isNotNull(), F.greatest(F.lit(floor_sec), lat * factor))) \
          .withColumn("prompt_h", F.sha2(F.col("prompt"), 256))
-    # The per-row features feed five branches below; keep them instead of
-    # recomputing regexes and the position scan in each (lost blocks are
-    # recomputed from lineage, so executor loss is survivable).
-    x = x.persist(StorageLevel.MEMORY_AND_DISK)
+    # The per-row features feed five branches below.  Write them once to the
+    # shared checkpoint folder: the regexes and the position scan run once,
+    # every branch starts from a small leaf (analysis of the branches no
+    # longer re-walks the whole upstream plan), and the table survives
+    # executor loss.
+    x = cut_lineage(x)
 
     classed = x.where(F.col("cls").isNotNull()).select(
         "run_id", "seq", "pos", "cls", "ans_num", "latency_sec", "g", "prompt_h")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from cachescope.functions.grading import safe_ratio
 from cachescope.operators.scan import log_chunks, pos_chunk, running
+from cachescope.session import cut_lineage
 
 
 def nearest_rank(df: DataFrame, part: Sequence[str], value: str,
@@ -94,9 +95,10 @@ def run_metrics(hits: DataFrame, part: Sequence[str] = ("run_id",),
     to 6 digits (Spark rounds half-up).
     """
     part = list(part)
-    # one narrow, persisted projection feeds the single grouped aggregate and
-    # the percentile scan (lost blocks are recomputed from lineage)
-    h = hits.select(*part, "latency_sec", "correct", "cache_hit").persist(StorageLevel.MEMORY_AND_DISK)
+    # one narrow projection feeds the grouped aggregate and the percentile
+    # scan: written once to the shared checkpoint folder, so both branches
+    # start from a small leaf and the upstream plan is analysed once
+    h = cut_lineage(hits.select(*part, "latency_sec", "correct", "cache_hit"))
     hit, bad = F.col("cache_hit"), F.col("cache_hit") & ~F.col("correct")
     agg = h.groupBy(*part).agg(
         F.count(F.lit(1)).alias("total_queries"), F.count_if(hit).alias("cache_hits"),
