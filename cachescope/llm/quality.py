@@ -120,5 +120,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     """The rows of ``docs`` that the rules keep, same columns."""
     names = docs.columns
     inner = docs.select(*[F.col(f"`{c}`").alias(f"_in_{c}") for c in names], F.col("doc_id"), F.col("text"))
-    kept = score_quality(inner, labels, threshold).where("kept")
+    # a filter would be pushed below the projections, and their arrays would be computed again in
+    # every place that names them; one that reads a generator's output is not
+    kept = score_quality(inner, labels, threshold).withColumn("_keep", F.explode(F.array("kept"))).where("_keep")
     return kept.select(*[F.col(f"`_in_{c}`").alias(c) for c in names])

@@ -84,10 +84,10 @@ SELECT doc_id, size, source_size, target,
 FROM sized JOIN q ON sized.source IS NOT DISTINCT FROM q.source
 """,
     "op3_embedding_dedup": """
-WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL),
-u AS (SELECT vec_id, label, e FROM v WHERE len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
-  AND len(list_filter(e, x -> x <> 0)) > 0),
+u AS (SELECT vec_id, label, e FROM v WHERE len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0
+  AND len([x FOR x IN e IF x <> 0]) > 0),
 links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND len(a.e) = len(b.e)
   AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
 reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
