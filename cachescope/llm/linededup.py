@@ -5,20 +5,24 @@ A line is the set of its words.  A line is removed if an earlier line, in order
 ``MIN_WORDS`` different words stay (they say nothing about copying).
 
 1. Rarity: word occurrences are counted over all documents in a hashed table of
-   2^20 counters (fixed size, 4 MB, the broadcast of the next step).
+   2^22 counters (fixed size, 8 MB, the broadcast of the next step).
 2. Each line becomes a signature of its set, its size, a 64-bit parity
    (exclusive or of one bit a word) and its prefix: the rarest words, as many as any
    partner must share one of.  Words that occur once in the corpus cannot be shared and are
    blanked.  Equal sets fold into one row before and after the shuffle, with
    their first place, so a line of a third of all rows is one row.
-3. Lines that share a prefix word are joined on it (sort-merge; AQE splits frequent words)
-   under the length filter, the positional filter and the parity filter (two sets cannot
-   differ in fewer words than their parities differ in bits).  In a group of near copies every
-   line meets the words of all others; only the surviving pairs leave the join.
+3. Lines that share a prefix word meet in that word's group, in order of place.  For each
+   line the group yields its ``k`` earliest partners that pass the length filter, the
+   positional filter and the parity filter (two sets cannot differ in fewer words than
+   their parities differ in bits), so a group of near copies yields a row a line, not its
+   pairs.  Groups of more than ``GROUP_ROWS`` lines are cut into chunks and joined chunk by
+   chunk; a task holds two chunks at most.
 4. Verification: the whole word sets of candidates come from another scan, which
-   emits lines that a fixed-size Bloom filter of candidate signatures admits; exact
-   Jaccard on 64-bit word hashes decides.
-5. Each text is joined with its surviving lines by doc_id and put together again.
+   emits lines that a fixed-size Bloom filter of candidate places admits; exact Jaccard
+   on 44-bit word hashes decides.  Lines whose ``k`` earliest candidates all fail go into
+   another round with eight times as many, until all are decided.
+5. Each text (compressed for the shuffle) is joined with its surviving lines by doc_id and
+   put together again.
 
 Defined results: a null text stays null; a text whose lines all go becomes empty, its
 row stays; lines repeated inside one text count as later ones; a null ``doc_id`` comes
@@ -34,6 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,14 +46,13 @@ from cachescope.llm.common import map_batches, materialise, mix64, row_slices, s
 
 THRESHOLD = 0.8
 MIN_WORDS = 5
-COUNTERS = 1 << 20
-PART = 1 << 12           # counters a row of the counting step
+COUNTERS = 1 << 22
+PART = 1 << 14           # counters a row of the counting step
+MOST = (1 << 16) - 1     # a counter stops here
 BLOOM_BITS = 1 << 25
-
-
-def overlap(a, b, t: float):
-    """Least number of shared words of two sets of these sizes at Jaccard ``t`` (numpy)."""
-    return np.ceil(t / (1 + t) * (a + b) - 1e-9).astype(np.int64)
+GROUP_ROWS = 16_384
+GROWTH = 8               # of the candidates a line, from round to round
+HASH_BITS = 44
 
 
 def lines_of(data: np.ndarray, offsets: np.ndarray):
@@ -72,11 +76,15 @@ def line_words(data: np.ndarray, offsets: np.ndarray):
     starts, ends, row, number = lines_of(data, offsets)
     a, b = word_bounds(data, offsets)
     line = np.searchsorted(starts, a, "right") - 1
-    h = span_hashes(data, a, b)
+    h = span_hashes(data, a, b) >> np.uint64(64 - HASH_BITS)
+    if len(starts) < 1 << (64 - HASH_BITS):
+        both = np.sort(line.astype(np.uint64) << np.uint64(HASH_BITS) | h)
+        both = both[np.r_[True, both[1:] != both[:-1]]] if len(both) else both
+        return (both >> np.uint64(HASH_BITS)).astype(np.int64), both & np.uint64((1 << HASH_BITS) - 1), (
+            starts, ends, row, number)
     order = np.lexsort((h, line))
     line, h = line[order], h[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (line[1:] != line[:-1]) | (h[1:] != h[:-1])
+    new = np.r_[True, (line[1:] != line[:-1]) | (h[1:] != h[:-1])]
     return line[new], h[new], (starts, ends, row, number)
 
 
@@ -97,40 +105,44 @@ def signatures(line: np.ndarray, h: np.ndarray, n_lines: int) -> tuple[np.ndarra
 # ---------------------------------------------------------------------------
 
 def word_counters(texts: DataFrame) -> np.ndarray:
-    """Occurrences of words by hash counter, over all of ``texts`` (column text)."""
+    """Occurrences of words by hash counter (``MOST`` at most), over all of ``texts`` (column text)."""
+    def rows(total: np.ndarray, parts) -> pa.RecordBatch:
+        cells = [np.minimum(total[p], MOST).astype(np.uint16).tobytes() for p in parts]
+        return pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()), pa.array(cells, pa.binary())],
+                                          ["part", "counts"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(COUNTERS, np.int64)
+        total = np.zeros(COUNTERS, np.uint32)
         for batch in batches:
             data, offsets = utf8(batch.column(0))
             for lo, hi in row_slices(offsets):
                 part, at = data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
-                h = span_hashes(part, *word_bounds(part, at))
-                total += np.bincount((h & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
-        yield from emit(total, np.arange(COUNTERS // PART))
-
-    def emit(total: np.ndarray, parts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        rows = [np.minimum(total[p * PART:(p + 1) * PART], (1 << 31) - 1).astype(np.int32).tobytes() for p in parts]
-        yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(rows, pa.binary())], ["part", "counts"])
+                np.add.at(total, _counter(span_hashes(part, *word_bounds(part, at)) >> np.uint64(64 - HASH_BITS)), 1)
+        total = total.reshape(-1, PART)
+        for k in range(0, len(total), 32):
+            yield rows(total, [p for p in range(k, min(k + 32, len(total))) if total[p].any()])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:                       # streamed: one row of counters at a time
             for p, c in zip(batch.column(0).to_pylist(), batch.column(1)):
-                got = np.frombuffer(c.as_buffer(), np.int32).astype(np.int64)
+                got = np.frombuffer(c.as_buffer(), np.uint16).astype(np.int64)
                 sums[p] = sums[p] + got if p in sums else got
         for p in sorted(sums):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([p], pa.int32()), pa.array([np.minimum(sums[p], (1 << 31) - 1).astype(np.int32).tobytes()])],
-                ["part", "counts"])
+            yield rows(sums, [p])
 
     schema = "part int, counts binary"
-    rows = map_batches(texts.select("text"), count, schema).repartition("part")
-    out = np.zeros(COUNTERS, np.int32)
-    for r in map_batches(rows, add, schema).collect():
-        out[r["part"] * PART:(r["part"] + 1) * PART] = np.frombuffer(r["counts"], np.int32)
+    partial = map_batches(texts.select("text"), count, schema).repartition("part")
+    out = np.zeros(COUNTERS, np.uint16)
+    for r in map_batches(partial, add, schema).collect():
+        out[r["part"] * PART:(r["part"] + 1) * PART] = np.frombuffer(r["counts"], np.uint16)
     return out
 
 
+def _counter(h: np.ndarray) -> np.ndarray:
+    return (h & np.uint64(COUNTERS - 1)).astype(np.int64)
+
+
 # ---------------------------------------------------------------------------
 # 2. lines with their prefixes
 # ---------------------------------------------------------------------------
@@ -155,18 +167,18 @@ def line_rows(docs: DataFrame, counters: np.ndarray, threshold: float, min_words
                 line, h = line[ok], h[ok]
                 if not len(line):
                     continue
-                seen = rarity[(h & np.uint64(COUNTERS - 1)).astype(np.int64)]
-                order = np.lexsort((h, seen, line))
+                seen = rarity[_counter(h)].astype(np.int64)
+                order = np.argsort(line << 16 | seen, kind="stable")       # by line, rarity, hash
                 line, h, seen = line[order], h[order], seen[order]
                 lines = np.flatnonzero(use)
                 n = size[lines]
                 begin = np.cumsum(n) - n
-                bit = np.left_shift(np.uint64(1), mix64(h) >> np.uint64(58))
+                bit = np.left_shift(np.uint64(1), mix64(h) & np.uint64(63))
                 parity = np.bitwise_xor.reduceat(bit, begin)
                 length = n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
                 total = np.cumsum(length)
                 take = np.arange(int(total[-1])) + np.repeat(begin - (total - length), length)
-                token = (h[take] >> np.uint64(33)).astype(np.int64) + 1
+                token = (mix64(h[take]) >> np.uint64(33)).astype(np.int64) + 1
                 token[seen[take] == 1] = 0                # nobody else has the word
                 prefix = pa.ListArray.from_arrays(pa.array(np.r_[0, total], pa.int32()),
                                                   pa.array(token.astype(np.uint32).view(np.int32)))
@@ -185,31 +197,152 @@ def line_rows(docs: DataFrame, counters: np.ndarray, threshold: float, min_words
 # 3. candidates
 # ---------------------------------------------------------------------------
 
-def candidates(lines: DataFrame, threshold: float) -> DataFrame:
-    """(a, b) signatures of lines that pass the filters; a is the smaller set (by size, then signature)."""
-    t = F.lit(threshold)
-    words = lines.select("sig", "n", "parity", F.posexplode("prefix").alias("pos", "token")).where("token <> 0")
-    x = words.select(*[F.col(c).alias(f"x_{c}") for c in words.columns])
-    y = words.select(*[F.col(c).alias(f"y_{c}") for c in words.columns])
-    xn, yn = F.col("x_n"), F.col("y_n")
-    need = F.ceil(t / (1 + t) * (xn + yn) - 1e-9)
-    pairs = x.join(y, (F.col("x_token") == F.col("y_token"))
-                   & ((xn < yn) | ((xn == yn) & (F.col("x_sig") < F.col("y_sig"))))
-                   & (xn >= t * yn - 1e-9)                                               # length
-                   & (F.col("x_pos") <= xn - F.ceil(2 * t / (1 + t) * xn - 1e-9))        # index prefix
-                   & (F.least(xn - F.col("x_pos"), yn - F.col("y_pos")) >= need)         # position
-                   & (F.bit_count(F.col("x_parity").bitwiseXOR(F.col("y_parity"))) <= xn + yn - 2 * need))
-    return pairs.select(F.col("x_sig").alias("a"), F.col("y_sig").alias("b")).distinct()
+def _pass(i, j, n, pos, parity, t: float) -> np.ndarray:
+    """Which row pairs (numpy index arrays) pass the length, prefix, positional and parity filters."""
+    small_i = n[i] <= n[j]
+    ns, nl = np.where(small_i, n[i], n[j]), np.where(small_i, n[j], n[i])
+    ps, pl = np.where(small_i, pos[i], pos[j]), np.where(small_i, pos[j], pos[i])
+    need = np.ceil(t / (1 + t) * (ns + nl) - 1e-9)
+    ok = (ns >= t * nl - 1e-9) & (ps <= ns - np.ceil(2 * t / (1 + t) * ns - 1e-9))
+    ok &= np.minimum(ns - ps, nl - pl) >= need
+    ok &= np.bitwise_count(parity[i] ^ parity[j]) <= ns + nl - 2 * need
+    return ok
+
+
+def earliest_partners(heads: np.ndarray, n: np.ndarray, pos: np.ndarray, parity: np.ndarray, probe: np.ndarray,
+                      side: np.ndarray, k: int, t: float, block: int = 512) -> tuple[np.ndarray, np.ndarray]:
+    """(earlier, later) row pairs: of each probe row its ``k`` earliest partners within its group.
+
+    Groups start at ``heads``, rows of a group are in order of place; rows of ``side`` 0 meet all,
+    equal sides 1 and 2 do not meet each other's own kind.
+    """
+    ends = np.r_[heads[1:], len(n)]
+    size = ends - heads
+    out_i, out_j = [], []
+
+    def test(i, j):
+        ok = (side[i] == 0) | (side[i] != side[j])
+        i, j = i[ok], j[ok]
+        ok = _pass(i, j, n, pos, parity, t)
+        return i[ok], j[ok]
+
+    def first_k(i, j):
+        # pairs come ordered by (j, i): keep the first k of each j
+        start = np.r_[True, j[1:] != j[:-1]]
+        rank = np.arange(len(j)) - np.maximum.accumulate(np.where(start, np.arange(len(j)), 0))
+        out_i.append(i[rank < k]), out_j.append(j[rank < k])
+
+    # small groups: all rows against their earlier ones, many groups at once
+    group = np.repeat(np.arange(len(heads)), size)
+    later = np.flatnonzero(probe & (size[group] <= block) & (np.arange(len(n)) > heads[group]))
+    count = later - heads[group[later]]
+    for part in np.split(np.arange(len(later)), np.flatnonzero(np.diff(np.cumsum(count) // 2_000_000)) + 1):
+        c, l = count[part], later[part]
+        j = np.repeat(l, c)
+        i = np.arange(len(j)) - np.repeat(np.cumsum(c) - c, c) + np.repeat(heads[group[l]], c)
+        i, j = test(i, j)
+        if len(j):
+            first_k(i, j)
+    # large groups: blocks of rows against blocks of earlier rows, until each has k partners
+    for g in np.flatnonzero(size > block).tolist():
+        for b in range(int(heads[g]), int(ends[g]), block):
+            rows = np.arange(b, min(b + block, ends[g]))
+            rows = rows[probe[rows]]
+            found = np.zeros(len(n[b:b + block]), np.int64)
+            for e in range(int(heads[g]), b + 1, block):
+                open_ = rows[found[rows - b] < k]
+                if not len(open_):
+                    break
+                i = np.tile(np.arange(e, min(e + block, ends[g])), len(open_))
+                j = np.repeat(open_, len(i) // len(open_))
+                ok = i < j
+                i, j = test(i[ok], j[ok])
+                if len(j):
+                    first_k(i, j)
+                    np.add.at(found, out_j[-1] - b, 1)
+    if not out_i:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(out_i), np.concatenate(out_j)
+
+
+def word_groups(lines: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """(key, side, n, pos, parity, doc_id, line, sig) of each line and shared prefix word; a large word's
+    group is cut into chunks, and rows are copied to each pair of chunks they are part of."""
+    words = lines.select(F.posexplode("prefix").alias("pos", "token"), "n", "parity", "doc_id", "line", "sig")
+    words = words.where("token <> 0")
+    large = words.groupBy("token").count().where(F.col("count") > group_rows).select(
+        F.col("token").alias("t"), F.ceil(F.col("count") / group_rows).cast("int").alias("chunks"))
+    large = materialise(large, "line-large")
+    words = words.join(large, words["token"] == large["t"], "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    words = words.withColumn("own", F.pmod(F.xxhash64("sig"), F.col("chunks")).cast("int"))
+    words = words.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    lo, hi = F.least("own", "other"), F.greatest("own", "other")
+    key = F.when(F.col("chunks") == 1, F.col("token").cast("long")).otherwise(F.xxhash64("token", lo, hi))
+    side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
+    return words.select(key.alias("key"), side.cast("byte").alias("side"), "n", "pos", "parity", "doc_id", "line", "sig")
+
+
+def candidates(groups: DataFrame, k: int, threshold: float) -> DataFrame:
+    """(a, b, pa): of each line b (column ``probe``) its k earliest partners a, with a's place."""
+    rows = groups.repartition("key").sortWithinPartitions("key", "doc_id", "line", "sig")
+    rows = rows.select("key", "side", "n", "pos", "parity", "probe", "sig", "line", "doc_id")
+    kind = groups.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def partners(table: pa.Table) -> pa.RecordBatch:
+            table = table.combine_chunks()
+            key, side, n, pos, parity, probe, sig, line = (table.column(c).to_numpy() for c in range(8))
+            heads = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            i, j = earliest_partners(heads, n.astype(np.int64), pos.astype(np.int64), parity.view(np.uint64),
+                                     probe.astype(bool), side, k, threshold)
+            ok = sig[i] != sig[j]
+            i, j = i[ok], j[ok]
+            doc = table.column(8).take(pa.array(i)).combine_chunks()
+            doc = doc.chunk(0) if isinstance(doc, pa.ChunkedArray) and doc.num_chunks else pa.array([], table.schema[8].type) \
+                if isinstance(doc, pa.ChunkedArray) else doc
+            return pa.RecordBatch.from_arrays([pa.array(sig[i]), pa.array(sig[j]), doc, pa.array(line[i], pa.int32())],
+                                              ["a", "b", "doc_id", "line"])
+
+        held, rows_held = [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            rows_held += batch.num_rows
+            last = batch.column(0)[batch.num_rows - 1].as_py()
+            if rows_held < 100_000 or held[0].column(0)[0].as_py() == last:
+                continue
+            table = pa.Table.from_batches(held)
+            cut = int(np.searchsorted(table.column(0).to_numpy(), last, "left"))     # the last group may go on
+            if cut:
+                yield partners(table.slice(0, cut))
+                held = table.slice(cut).to_batches()
+                rows_held = table.num_rows - cut
+        if held:
+            yield partners(pa.Table.from_batches(held))
+
+    pairs = map_batches(rows, run, f"a long, b long, doc_id {kind}, line int")
+    pairs = pairs.select("b", F.struct(F.struct("doc_id", "line").alias("at"), "a").alias("p"))
+    best = (pairs.groupBy("b").agg(F.min("p").alias("p")) if k == 1 else
+            pairs.groupBy("b").agg(F.array_sort(F.collect_set("p")).alias("p"))
+            .select("b", F.explode(F.slice("p", 1, k)).alias("p")))
+    return best.select("p.a", "b", F.col("p.at").alias("pa"))
 
 
 # ---------------------------------------------------------------------------
 # 4. verification
 # ---------------------------------------------------------------------------
 
-def bloom(sigs: DataFrame) -> np.ndarray:
-    """Bit array of two hashed places a signature, from at most BLOOM_BITS / 64 words."""
-    place = F.explode(F.array(F.pmod("sig", F.lit(BLOOM_BITS)), F.pmod(F.xxhash64("sig"), F.lit(BLOOM_BITS))))
-    words = (sigs.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("w"))
+def _place_key(doc_id: str = "doc_id"):
+    """Number of a line's first place and set, the same in Spark and numpy: exclusive or of three."""
+    return F.xxhash64(F.col(doc_id)).bitwiseXOR(F.col("sig")).bitwiseXOR(F.shiftleft(F.col("line").cast("long"), 20))
+
+
+def bloom(keys: DataFrame) -> np.ndarray:
+    """Bit array of two places a key, from at most BLOOM_BITS / 64 rows."""
+    place = F.explode(F.array(F.pmod("key", F.lit(BLOOM_BITS)),
+                              F.pmod(F.shiftrightunsigned("key", 32), F.lit(BLOOM_BITS))))
+    words = (keys.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("w"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("bits")))
     got = words.toArrow()
     out = np.zeros(BLOOM_BITS // 64, np.int64)
@@ -217,58 +350,76 @@ def bloom(sigs: DataFrame) -> np.ndarray:
     return out.view(np.uint64)
 
 
-def candidate_sets(docs: DataFrame, sigs: DataFrame, min_words: int) -> DataFrame:
-    """(sig, words) of the candidate lines, one row each."""
-    shared = docs.sparkSession.sparkContext.broadcast(bloom(sigs))
+def candidate_sets(docs: DataFrame, wanted: DataFrame, min_words: int) -> DataFrame:
+    """(sig, words) of the wanted lines (sig, key), read at their first places."""
+    shared = docs.sparkSession.sparkContext.broadcast(bloom(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
-        done: set[int] = set()
+
+        def admitted(p: np.ndarray) -> np.ndarray:
+            p = p & np.uint64(BLOOM_BITS - 1)
+            return ((bits[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63))) & np.uint64(1)).astype(bool)
+
         for batch in batches:
-            data, offsets = utf8(batch.column(0))
+            ids = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            data, offsets = utf8(batch.column(1))
             for lo, hi in row_slices(offsets):
                 part, at = data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
                 if not len(part):
                     continue
-                line, h, (starts, *_) = line_words(part, at)
+                line, h, (starts, _, row, number) = line_words(part, at)
                 size, sig = signatures(line, h, len(starts))
-                p = sig & np.uint64(BLOOM_BITS - 1)
-                hit = (size >= min_words) & ((bits[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)))
-                                             & np.uint64(1)).astype(bool)
-                begin = np.cumsum(size) - size
-                out = []
-                for k in np.flatnonzero(hit).tolist():
-                    s = int(sig[k])
-                    if s not in done:
-                        if len(done) > 200_000:
-                            done.clear()
-                        done.add(s)
-                        out.append(k)
-                if out:
-                    words = [h[begin[k]:begin[k] + size[k]].view(np.int64) for k in out]
-                    yield pa.RecordBatch.from_arrays([pa.array(sig[out].view(np.int64)),
-                                                      pa.array(words, pa.list_(pa.int64()))], ["sig", "words"])
-
-    return (map_batches(docs.select("text"), run, "sig long, words array<long>")
-            .join(sigs, "sig", "left_semi").dropDuplicates(["sig"]))
-
-
-def removed_sets(docs: DataFrame, lines: DataFrame, threshold: float, min_words: int) -> DataFrame:
+                key = ids[lo:hi][row] ^ sig ^ (number.astype(np.uint64) << np.uint64(20))
+                out = np.flatnonzero((size >= min_words) & admitted(key) & admitted(key >> np.uint64(32)))
+                if len(out):
+                    count = size[out]
+                    total = np.cumsum(count)
+                    first = (np.cumsum(size) - size)[out]
+                    take = np.arange(int(total[-1])) + np.repeat(first - (total - count), count)
+                    words = pa.ListArray.from_arrays(pa.array(np.r_[0, total], pa.int32()),
+                                                     pa.array(h[take].view(np.int64)))
+                    yield pa.RecordBatch.from_arrays([pa.array(sig[out].view(np.int64)), words], ["sig", "words"])
+
+    rows = docs.select(F.xxhash64("doc_id").alias("k"), "text")
+    return (map_batches(rows, run, "sig long, words array<long>")
+            .join(wanted.select("sig"), "sig", "left_semi").dropDuplicates(["sig"]))
+
+
+def removed_sets(docs: DataFrame, lines: DataFrame, threshold: float, min_words: int,
+                 group_rows: int = GROUP_ROWS) -> DataFrame:
     """(sig) of lines that have a similar line before their first place."""
-    place = lines.select("sig", F.struct("doc_id", "line").alias("at"))
-    pairs = materialise(candidates(lines, threshold), "line-pairs")
-    a, b = place.select(F.col("sig").alias("a"), F.col("at").alias("pa")), place.select(
-        F.col("sig").alias("b"), F.col("at").alias("pb"))
-    sigs = materialise(pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct(), "line-candidates")
-    sets = materialise(candidate_sets(docs, sigs, min_words), "line-sets")
-    pairs = pairs.join(sets.select(F.col("sig").alias("a"), F.col("words").alias("wa")), "a")
-    pairs = pairs.join(sets.select(F.col("sig").alias("b"), F.col("words").alias("wb")), "b")
-    both = F.size(F.array_intersect("wa", "wb"))
-    close = pairs.where(both >= F.lit(threshold) * (F.size("wa") + F.size("wb") - both) - 1e-9).select("a", "b")
-    ordered = close.join(a, "a").join(b, "b")
-    # repeated doc_ids can share a place: neither is the later one then
-    return ordered.select(F.when(F.col("pa") < F.col("pb"), F.col("b")).when(
-        F.col("pb") < F.col("pa"), F.col("a")).alias("sig")).where("sig is not null").distinct()
+    place = lines.select("sig", "doc_id", "line")
+    groups = word_groups(lines, group_rows).withColumn("probe", F.lit(True))
+    gone, k = None, 1
+    while True:
+        pairs = materialise(candidates(groups, k, threshold), "line-pairs")
+        # places that repeated doc_ids share: neither line is the later one
+        at = place.select(F.col("sig").alias("b"), F.struct("doc_id", "line").alias("pb"))
+        pairs = pairs.join(at, "b")
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct().join(place, "sig")
+        wanted = materialise(wanted.select("sig", _place_key().alias("key")), "line-wanted")
+        sets = materialise(candidate_sets(docs, wanted, min_words), "line-sets")
+        tested = pairs.join(sets.select(F.col("sig").alias("a"), F.col("words").alias("wa")), "a")
+        tested = tested.join(sets.select(F.col("sig").alias("b"), F.col("words").alias("wb")), "b")
+        both = F.size(F.array_intersect("wa", "wb"))
+        close = (F.col("pa") < F.col("pb")) & (
+            both >= F.lit(threshold) * (F.size("wa") + F.size("wb") - both) - 1e-9)
+        state = materialise(tested.select("b", close.alias("hit")).groupBy("b").agg(
+            F.max("hit").alias("hit"), F.count("*").alias("n")), "line-state")
+        found = state.where("hit").select(F.col("b").alias("sig"))
+        gone = found if gone is None else gone.unionByName(found)
+        left = materialise(state.where(~F.col("hit") & (F.col("n") >= k)).select(F.col("b").alias("sig")), "line-open")
+        if not left.limit(1).count():
+            return gone
+        k *= GROWTH
+        # the next round sees the words of open lines only, and probes with these lines
+        lines_left = lines.join(left.withColumn("open", F.lit(True)), "sig", "left")
+        words = lines_left.where("open").select(F.explode("prefix").alias("token")).distinct()
+        near = lines_left.select("sig", F.explode("prefix").alias("token")).join(words, "token", "left_semi")
+        near = lines_left.join(near.select("sig").distinct(), "sig", "left_semi")
+        groups = word_groups(near, group_rows).join(left.withColumn("probe", F.lit(True)), "sig", "left")
+        groups = groups.withColumn("probe", F.coalesce("probe", F.lit(False)))
 
 
 # ---------------------------------------------------------------------------
@@ -283,13 +434,16 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD, min_words: int =
     stay = lines.select("sig", "doc_id", "line").join(gone, "sig", "left_anti")
     stay = stay.groupBy(F.col("doc_id").alias("_id")).agg(
         F.collect_list("line").alias("_lines"), F.collect_list("sig").alias("_sigs"))
-    rows = docs.join(stay, docs["doc_id"].eqNullSafe(F.col("_id")), "left").drop("_id")
+    rows = _packed(docs)
+    rows = rows.join(stay, rows["doc_id"].eqNullSafe(F.col("_id")), "left").drop("_id")
     names = docs.columns
     at_text, chars = names.index("text"), names.index("n_chars") if "n_chars" in names else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            unpack = zstandard.ZstdDecompressor()
             column = batch.column(at_text)
+            column = pa.array([None if x is None else unpack.decompress(x) for x in column.to_pylist()], pa.binary())
             data, offsets = utf8(column)
             texts = np.empty(batch.num_rows, object)
             before, after = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
@@ -330,6 +484,24 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD, min_words: int =
     return map_batches(rows, run, schema + (", n_lines long, n_removed long" if counts else ""))
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """``docs`` with each text compressed (zstd), for the shuffle to doc_id."""
+    names = docs.columns
+    at = names.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            out = list(batch.columns)
+            texts = batch.column(at).cast(pa.large_binary()).to_pylist()
+            out[at] = pa.array([None if x is None else pack.compress(x) for x in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays(out, names)
+
+    schema = ", ".join(f"`{f.name}` {'binary' if f.name == 'text' else f.dataType.simpleString()}"
+                       for f in docs.schema.fields)
+    return map_batches(docs, run, schema)
+
+
 def _place(row: np.ndarray, line: np.ndarray, sig: np.ndarray) -> np.ndarray:
     """One number for (row, line, signature)."""
     return mix64(mix64(row.astype(np.uint64) << np.uint64(32) | line.astype(np.uint64)) ^ sig.view(np.uint64))
