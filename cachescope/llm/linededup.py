@@ -6,12 +6,13 @@ A line is the set of its words.  A line is removed if an earlier line, in order
 
 1. Rarity: word occurrences are counted over all documents in a hashed table of
    2^22 counters (fixed size, 8 MB, the broadcast of the next step).
-2. Each line becomes a signature of its set, its size, a 64-bit parity
+2. Each line becomes a signature of its set, its size, a 128-bit parity
    (exclusive or of one bit a word) and its prefix: the rarest words, as many as any
    partner must share one of.  Words that occur once in the corpus cannot be shared and are
    blanked.  Equal sets fold into one row before and after the shuffle, with
    their first place, so a line of a third of all rows is one row.
-3. Lines that share a prefix word meet in that word's group, in order of place.  For each
+3. Prefix words are counted once more over the distinct lines (a fixed-size table of bits); a word
+   in one prefix only cannot lead to a partner and is left out.  Lines that share a prefix word meet in that word's group, in order of place.  For each
    line the group yields its ``k`` earliest partners that pass the length filter, the
    positional filter and the parity filter (two sets cannot differ in fewer words than
    their parities differ in bits), so a group of near copies yields a row a line, not its
@@ -53,6 +54,7 @@ BLOOM_BITS = 1 << 25
 GROUP_ROWS = 16_384
 GROWTH = 8               # of the candidates a line, from round to round
 HASH_BITS = 44
+WORD_BITS = 24           # of the table of prefix words that occur in two lines or more
 
 
 def lines_of(data: np.ndarray, offsets: np.ndarray):
@@ -88,6 +90,15 @@ def line_words(data: np.ndarray, offsets: np.ndarray):
     return line[new], h[new], (starts, ends, row, number)
 
 
+def parities(h: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exclusive or of one of 128 bits a word, of each run of words that starts at ``begin``."""
+    m = mix64(h)
+    bit = np.left_shift(np.uint64(1), m & np.uint64(63))
+    high = (m >> np.uint64(6) & np.uint64(1)).astype(bool)
+    return (np.bitwise_xor.reduceat(np.where(high, np.uint64(0), bit), begin),
+            np.bitwise_xor.reduceat(np.where(high, bit, np.uint64(0)), begin))
+
+
 def signatures(line: np.ndarray, h: np.ndarray, n_lines: int) -> tuple[np.ndarray, np.ndarray]:
     """Size and set signature of each line."""
     size = np.bincount(line, minlength=n_lines)
@@ -148,7 +159,7 @@ def _counter(h: np.ndarray) -> np.ndarray:
 # ---------------------------------------------------------------------------
 
 def line_rows(docs: DataFrame, counters: np.ndarray, threshold: float, min_words: int) -> DataFrame:
-    """One row a distinct set: sig, n, parity, prefix, and its first place (doc_id, line)."""
+    """One row a distinct set: sig, n, parity (p0, p1), prefix, and its first place (doc_id, line)."""
     shared = docs.sparkSession.sparkContext.broadcast(counters)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -173,8 +184,7 @@ def line_rows(docs: DataFrame, counters: np.ndarray, threshold: float, min_words
                 lines = np.flatnonzero(use)
                 n = size[lines]
                 begin = np.cumsum(n) - n
-                bit = np.left_shift(np.uint64(1), mix64(h) & np.uint64(63))
-                parity = np.bitwise_xor.reduceat(bit, begin)
+                p0, p1 = parities(h, begin)
                 length = n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
                 total = np.cumsum(length)
                 take = np.arange(int(total[-1])) + np.repeat(begin - (total - length), length)
@@ -184,12 +194,13 @@ def line_rows(docs: DataFrame, counters: np.ndarray, threshold: float, min_words
                                                   pa.array(token.astype(np.uint32).view(np.int32)))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo).take(pa.array(row[lines])), pa.array(number[lines], pa.int32()),
-                     pa.array(sig[lines].view(np.int64)), pa.array(n, pa.int32()), pa.array(parity.view(np.int64)), prefix],
-                    ["doc_id", "line", "sig", "n", "parity", "prefix"])
+                     pa.array(sig[lines].view(np.int64)), pa.array(n, pa.int32()), pa.array(p0.view(np.int64)),
+                     pa.array(p1.view(np.int64)), prefix],
+                    ["doc_id", "line", "sig", "n", "p0", "p1", "prefix"])
 
     rows = map_batches(docs.select("doc_id", "text"), run,
-                       f"doc_id {kind}, line int, sig long, n int, parity long, prefix array<int>")
-    first = F.min(F.struct("doc_id", "line", "n", "parity", "prefix")).alias("f")
+                       f"doc_id {kind}, line int, sig long, n int, p0 long, p1 long, prefix array<int>")
+    first = F.min(F.struct("doc_id", "line", "n", "p0", "p1", "prefix")).alias("f")
     return rows.groupBy("sig").agg(first).select("sig", "f.*")
 
 
@@ -197,7 +208,7 @@ def line_rows(docs: DataFrame, counters: np.ndarray, threshold: float, min_words
 # 3. candidates
 # ---------------------------------------------------------------------------
 
-def _pass(i, j, n, pos, parity, t: float) -> np.ndarray:
+def _pass(i, j, n, pos, p0, p1, t: float) -> np.ndarray:
     """Which row pairs (numpy index arrays) pass the length, prefix, positional and parity filters."""
     small_i = n[i] <= n[j]
     ns, nl = np.where(small_i, n[i], n[j]), np.where(small_i, n[j], n[i])
@@ -205,12 +216,13 @@ def _pass(i, j, n, pos, parity, t: float) -> np.ndarray:
     need = np.ceil(t / (1 + t) * (ns + nl) - 1e-9)
     ok = (ns >= t * nl - 1e-9) & (ps <= ns - np.ceil(2 * t / (1 + t) * ns - 1e-9))
     ok &= np.minimum(ns - ps, nl - pl) >= need
-    ok &= np.bitwise_count(parity[i] ^ parity[j]) <= ns + nl - 2 * need
-    return ok
+    differ = np.bitwise_count(p0[i] ^ p0[j]).astype(np.int64) + np.bitwise_count(p1[i] ^ p1[j])
+    return ok & (differ <= ns + nl - 2 * need)
 
 
-def earliest_partners(heads: np.ndarray, n: np.ndarray, pos: np.ndarray, parity: np.ndarray, probe: np.ndarray,
-                      side: np.ndarray, k: int, t: float, block: int = 512) -> tuple[np.ndarray, np.ndarray]:
+def earliest_partners(heads: np.ndarray, n: np.ndarray, pos: np.ndarray, p0: np.ndarray, p1: np.ndarray,
+                      probe: np.ndarray, side: np.ndarray, k: int, t: float,
+                      block: int = 512) -> tuple[np.ndarray, np.ndarray]:
     """(earlier, later) row pairs: of each probe row its ``k`` earliest partners within its group.
 
     Groups start at ``heads``, rows of a group are in order of place; rows of ``side`` 0 meet all,
@@ -223,7 +235,7 @@ def earliest_partners(heads: np.ndarray, n: np.ndarray, pos: np.ndarray, parity:
     def test(i, j):
         ok = (side[i] == 0) | (side[i] != side[j])
         i, j = i[ok], j[ok]
-        ok = _pass(i, j, n, pos, parity, t)
+        ok = _pass(i, j, n, pos, p0, p1, t)
         return i[ok], j[ok]
 
     def first_k(i, j):
@@ -265,43 +277,111 @@ def earliest_partners(heads: np.ndarray, n: np.ndarray, pos: np.ndarray, parity:
     return np.concatenate(out_i), np.concatenate(out_j)
 
 
-def word_groups(lines: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """(key, side, n, pos, parity, doc_id, line, sig) of each line and shared prefix word; a large word's
-    group is cut into chunks, and rows are copied to each pair of chunks they are part of."""
-    words = lines.select(F.posexplode("prefix").alias("pos", "token"), "n", "parity", "doc_id", "line", "sig")
-    words = words.where("token <> 0")
-    large = words.groupBy("token").count().where(F.col("count") > group_rows).select(
-        F.col("token").alias("t"), F.ceil(F.col("count") / group_rows).cast("int").alias("chunks"))
+def shared_words(lines: DataFrame) -> np.ndarray:
+    """Bits (packed) of hashed prefix words that two distinct lines or more have in their prefixes."""
+    size, part = 1 << WORD_BITS, 1 << 16
+
+    def rows(counts, parts) -> pa.RecordBatch:
+        cells = [counts[p].tobytes() for p in parts]
+        return pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()), pa.array(cells, pa.binary())],
+                                          ["part", "seen"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(size, np.uint8)
+        for batch in batches:
+            word = batch.column(0).flatten().to_numpy()
+            at, times = np.unique(word[word != 0] & (size - 1), return_counts=True)
+            seen[at] = np.minimum(2, seen[at] + np.minimum(times, 2))
+        seen = seen.reshape(-1, part)
+        for k in range(0, len(seen), 32):
+            yield rows(seen, [p for p in range(k, k + 32) if seen[p].any()])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for p, c in zip(batch.column(0).to_pylist(), batch.column(1)):
+                got = np.frombuffer(c.as_buffer(), np.uint8)
+                sums[p] = np.minimum(2, sums[p] + got) if p in sums else got
+        bits = {p: np.packbits(c >= 2) for p, c in sums.items()}
+        if bits:
+            yield rows(bits, sorted(bits))
+
+    partial = map_batches(lines.select("prefix"), count, "part int, seen binary").repartition("part")
+    out = np.zeros((size // part, part // 8), np.uint8)
+    for r in map_batches(partial, add, "part int, seen binary").collect():
+        out[r["part"]] = np.frombuffer(r["seen"], np.uint8)
+    return out.reshape(-1)
+
+
+def word_rows(lines: DataFrame, shared: np.ndarray) -> DataFrame:
+    """(word, at, p0, p1, doc_id, line) of each line and shared prefix word; ``at`` is size and position."""
+    shared_ = lines.sparkSession.sparkContext.broadcast(shared)
+    rows = lines.select("prefix", "n", "p0", "p1", "doc_id", "line")
+    kind = lines.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(shared_.value).astype(bool)
+        for batch in batches:
+            prefix = batch.column(0)
+            word = prefix.flatten().to_numpy()
+            length = np.diff(np.asarray(prefix.offsets))
+            row = np.repeat(np.arange(batch.num_rows), length)
+            pos = np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
+            use = np.flatnonzero((word != 0) & bits[word & ((1 << WORD_BITS) - 1)])
+            row, pos, word = row[use], pos[use], word[use]
+            at = batch.column(1).to_numpy().astype(np.int64)[row] << 31 | pos
+            take = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(word), pa.array(at), *[batch.column(c).take(take) for c in (2, 3, 4, 5)]],
+                ["word", "at", "p0", "p1", "doc_id", "line"])
+
+    return map_batches(rows, run, f"word int, at long, p0 long, p1 long, doc_id {kind}, line int")
+
+
+def word_groups(words: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """``words`` with key and side: a large word's group is cut into chunks, and its rows are copied to
+    each pair of chunks they are part of (side 1 meets side 2; side 0 meets all)."""
+    large = words.groupBy("word").count().where(F.col("count") > group_rows).select(
+        F.col("word").alias("w"), F.ceil(F.col("count") / group_rows).cast("int").alias("chunks"))
     large = materialise(large, "line-large")
-    words = words.join(large, words["token"] == large["t"], "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-    words = words.withColumn("own", F.pmod(F.xxhash64("sig"), F.col("chunks")).cast("int"))
+    words = words.join(large, words["word"] == large["w"], "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    words = words.withColumn("own", F.pmod(F.xxhash64("doc_id", "line", "p0"), F.col("chunks")).cast("int"))
     words = words.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     lo, hi = F.least("own", "other"), F.greatest("own", "other")
-    key = F.when(F.col("chunks") == 1, F.col("token").cast("long")).otherwise(F.xxhash64("token", lo, hi))
+    key = F.when(F.col("chunks") == 1, F.col("word").cast("long")).otherwise(F.xxhash64("word", lo, hi))
     side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
-    return words.select(key.alias("key"), side.cast("byte").alias("side"), "n", "pos", "parity", "doc_id", "line", "sig")
-
-
-def candidates(groups: DataFrame, k: int, threshold: float) -> DataFrame:
-    """(a, b, pa): of each line b (column ``probe``) its k earliest partners a, with a's place."""
-    rows = groups.repartition("key").sortWithinPartitions("key", "doc_id", "line", "sig")
-    rows = rows.select("key", "side", "n", "pos", "parity", "probe", "sig", "line", "doc_id")
+    return words.select(key.alias("key"), F.col("at").bitwiseXOR(F.shiftleft(side.cast("long"), 60)).alias("at"),
+                        "p0", "p1", "doc_id", "line")
+
+
+def candidates(groups: DataFrame, k: int, threshold: float, probes: DataFrame | None = None) -> DataFrame:
+    """(a, b, pa, pb): of each line b (of ``probes``, ids) its k earliest partners a, with both places."""
+    if probes is not None:
+        marked = groups.withColumn("id", _place_key()).join(
+            probes.select("id", F.lit(1).alias("open")), "id", "left").drop("id")
+    else:
+        marked = groups.withColumn("open", F.lit(1))
+    rows = marked.repartition("key").sortWithinPartitions("key")
+    rows = rows.select("key", "at", "p0", "p1", F.coalesce("open", F.lit(0)).cast("byte").alias("open"), "line", "doc_id")
     kind = groups.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def partners(table: pa.Table) -> pa.RecordBatch:
-            table = table.combine_chunks()
-            key, side, n, pos, parity, probe, sig, line = (table.column(c).to_numpy() for c in range(8))
+            doc = table.column(6)
+            if pa.types.is_integer(doc.type) and not doc.null_count:
+                order = np.lexsort((table.column(5).to_numpy(), doc.to_numpy(), table.column(0).to_numpy()))
+            else:
+                order = pa.compute.sort_indices(table, [(c, "ascending") for c in ("key", "doc_id", "line")],
+                                                null_placement="at_start")
+            table = table.take(pa.array(order)).combine_chunks()
+            key, at, p0, p1, probe, line = (table.column(c).to_numpy() for c in range(6))
             heads = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-            i, j = earliest_partners(heads, n.astype(np.int64), pos.astype(np.int64), parity.view(np.uint64),
-                                     probe.astype(bool), side, k, threshold)
-            ok = sig[i] != sig[j]
-            i, j = i[ok], j[ok]
-            doc = table.column(8).take(pa.array(i)).combine_chunks()
-            doc = doc.chunk(0) if isinstance(doc, pa.ChunkedArray) and doc.num_chunks else pa.array([], table.schema[8].type) \
-                if isinstance(doc, pa.ChunkedArray) else doc
-            return pa.RecordBatch.from_arrays([pa.array(sig[i]), pa.array(sig[j]), doc, pa.array(line[i], pa.int32())],
-                                              ["a", "b", "doc_id", "line"])
+            i, j = earliest_partners(heads, at >> 31 & ((1 << 29) - 1), at & ((1 << 31) - 1), p0.view(np.uint64),
+                                     p1.view(np.uint64), probe.astype(bool), at >> 60, k, threshold)
+            doc = table.column(6)
+            side = [x for r in (i, j) for x in (doc.take(pa.array(r)), pa.chunked_array([pa.array(line[r])]),
+                                                pa.chunked_array([pa.array(p0[r])]))]
+            return pa.table(side, names=["ad", "al", "ap", "bd", "bl", "bp"]).combine_chunks().to_batches()
 
         held, rows_held = [], 0
         for batch in batches:
@@ -315,33 +395,36 @@ def candidates(groups: DataFrame, k: int, threshold: float) -> DataFrame:
             table = pa.Table.from_batches(held)
             cut = int(np.searchsorted(table.column(0).to_numpy(), last, "left"))     # the last group may go on
             if cut:
-                yield partners(table.slice(0, cut))
+                yield from partners(table.slice(0, cut))
                 held = table.slice(cut).to_batches()
                 rows_held = table.num_rows - cut
         if held:
-            yield partners(pa.Table.from_batches(held))
+            yield from partners(pa.Table.from_batches(held))
 
-    pairs = map_batches(rows, run, f"a long, b long, doc_id {kind}, line int")
-    pairs = pairs.select("b", F.struct(F.struct("doc_id", "line").alias("at"), "a").alias("p"))
-    best = (pairs.groupBy("b").agg(F.min("p").alias("p")) if k == 1 else
-            pairs.groupBy("b").agg(F.array_sort(F.collect_set("p")).alias("p"))
-            .select("b", F.explode(F.slice("p", 1, k)).alias("p")))
-    return best.select("p.a", "b", F.col("p.at").alias("pa"))
+    pairs = map_batches(rows, run, f"ad {kind}, al int, ap long, bd {kind}, bl int, bp long")
+    pairs = pairs.select(F.struct(F.struct(F.col("ad").alias("doc_id"), F.col("al").alias("line")).alias("at"),
+                                  _place_key("ad", "al", "ap").alias("a")).alias("p"),
+                         _place_key("bd", "bl", "bp").alias("b"),
+                         F.struct(F.col("bd").alias("doc_id"), F.col("bl").alias("line")).alias("pb"))
+    best = (pairs.groupBy("b", "pb").agg(F.min("p").alias("p")) if k == 1 else
+            pairs.groupBy("b", "pb").agg(F.array_sort(F.collect_set("p")).alias("p"))
+            .select("b", "pb", F.explode(F.slice("p", 1, k)).alias("p")))
+    return best.select("p.a", "b", F.col("p.at").alias("pa"), "pb")
 
 
 # ---------------------------------------------------------------------------
 # 4. verification
 # ---------------------------------------------------------------------------
 
-def _place_key(doc_id: str = "doc_id"):
-    """Number of a line's first place and set, the same in Spark and numpy: exclusive or of three."""
-    return F.xxhash64(F.col(doc_id)).bitwiseXOR(F.col("sig")).bitwiseXOR(F.shiftleft(F.col("line").cast("long"), 20))
+def _place_key(doc_id: str = "doc_id", line: str = "line", p0: str = "p0"):
+    """Number of a distinct line (its first place and parity), the same in Spark and numpy."""
+    return F.xxhash64(F.col(doc_id)).bitwiseXOR(F.col(p0)).bitwiseXOR(F.shiftleft(F.col(line).cast("long"), 20))
 
 
 def bloom(keys: DataFrame) -> np.ndarray:
-    """Bit array of two places a key, from at most BLOOM_BITS / 64 rows."""
-    place = F.explode(F.array(F.pmod("key", F.lit(BLOOM_BITS)),
-                              F.pmod(F.shiftrightunsigned("key", 32), F.lit(BLOOM_BITS))))
+    """Bit array of two places an id, from at most BLOOM_BITS / 64 rows."""
+    place = F.explode(F.array(F.pmod("id", F.lit(BLOOM_BITS)),
+                              F.pmod(F.shiftrightunsigned("id", 32), F.lit(BLOOM_BITS))))
     words = (keys.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("w"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("bits")))
     got = words.toArrow()
@@ -351,7 +434,7 @@ def bloom(keys: DataFrame) -> np.ndarray:
 
 
 def candidate_sets(docs: DataFrame, wanted: DataFrame, min_words: int) -> DataFrame:
-    """(sig, words) of the wanted lines (sig, key), read at their first places."""
+    """(id, words) of the wanted lines (id), read at their first places."""
     shared = docs.sparkSession.sparkContext.broadcast(bloom(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -369,8 +452,12 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, min_words: int) -> DataFr
                 if not len(part):
                     continue
                 line, h, (starts, _, row, number) = line_words(part, at)
-                size, sig = signatures(line, h, len(starts))
-                key = ids[lo:hi][row] ^ sig ^ (number.astype(np.uint64) << np.uint64(20))
+                size = np.bincount(line, minlength=len(starts))
+                p0 = np.zeros(len(starts), np.uint64)
+                full = np.flatnonzero(size)
+                if len(full):
+                    p0[full] = parities(h, (np.cumsum(size) - size)[full])[0]
+                key = ids[lo:hi][row] ^ p0 ^ (number.astype(np.uint64) << np.uint64(20))
                 out = np.flatnonzero((size >= min_words) & admitted(key) & admitted(key >> np.uint64(32)))
                 if len(out):
                     count = size[out]
@@ -379,47 +466,39 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, min_words: int) -> DataFr
                     take = np.arange(int(total[-1])) + np.repeat(first - (total - count), count)
                     words = pa.ListArray.from_arrays(pa.array(np.r_[0, total], pa.int32()),
                                                      pa.array(h[take].view(np.int64)))
-                    yield pa.RecordBatch.from_arrays([pa.array(sig[out].view(np.int64)), words], ["sig", "words"])
+                    yield pa.RecordBatch.from_arrays([pa.array(key[out].view(np.int64)), words], ["id", "words"])
 
     rows = docs.select(F.xxhash64("doc_id").alias("k"), "text")
-    return (map_batches(rows, run, "sig long, words array<long>")
-            .join(wanted.select("sig"), "sig", "left_semi").dropDuplicates(["sig"]))
+    return (map_batches(rows, run, "id long, words array<long>")
+            .join(wanted, "id", "left_semi").dropDuplicates(["id"]))
 
 
-def removed_sets(docs: DataFrame, lines: DataFrame, threshold: float, min_words: int,
-                 group_rows: int = GROUP_ROWS) -> DataFrame:
-    """(sig) of lines that have a similar line before their first place."""
-    place = lines.select("sig", "doc_id", "line")
-    groups = word_groups(lines, group_rows).withColumn("probe", F.lit(True))
-    gone, k = None, 1
+def removed_lines(docs: DataFrame, lines: DataFrame, threshold: float, min_words: int,
+                  group_rows: int = GROUP_ROWS) -> DataFrame:
+    """(id) of lines that have a similar line before their first place."""
+    words = word_rows(lines, shared_words(lines))
+    groups, probes, gone, k = word_groups(words, group_rows), None, None, 1
     while True:
-        pairs = materialise(candidates(groups, k, threshold), "line-pairs")
-        # places that repeated doc_ids share: neither line is the later one
-        at = place.select(F.col("sig").alias("b"), F.struct("doc_id", "line").alias("pb"))
-        pairs = pairs.join(at, "b")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct().join(place, "sig")
-        wanted = materialise(wanted.select("sig", _place_key().alias("key")), "line-wanted")
+        pairs = materialise(candidates(groups, k, threshold, probes), "line-pairs")
+        wanted = materialise(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "line-wanted")
         sets = materialise(candidate_sets(docs, wanted, min_words), "line-sets")
-        tested = pairs.join(sets.select(F.col("sig").alias("a"), F.col("words").alias("wa")), "a")
-        tested = tested.join(sets.select(F.col("sig").alias("b"), F.col("words").alias("wb")), "b")
+        tested = pairs.join(sets.select(F.col("id").alias("a"), F.col("words").alias("wa")), "a")
+        tested = tested.join(sets.select(F.col("id").alias("b"), F.col("words").alias("wb")), "b")
         both = F.size(F.array_intersect("wa", "wb"))
+        # lines of repeated doc_ids can share a place: neither is the later one
         close = (F.col("pa") < F.col("pb")) & (
             both >= F.lit(threshold) * (F.size("wa") + F.size("wb") - both) - 1e-9)
-        state = materialise(tested.select("b", close.alias("hit")).groupBy("b").agg(
+        state = materialise(tested.select(F.col("b").alias("id"), close.alias("hit")).groupBy("id").agg(
             F.max("hit").alias("hit"), F.count("*").alias("n")), "line-state")
-        found = state.where("hit").select(F.col("b").alias("sig"))
+        found = state.where("hit").select("id")
         gone = found if gone is None else gone.unionByName(found)
-        left = materialise(state.where(~F.col("hit") & (F.col("n") >= k)).select(F.col("b").alias("sig")), "line-open")
-        if not left.limit(1).count():
+        probes = materialise(state.where(~F.col("hit") & (F.col("n") >= k)).select("id"), "line-open")
+        if not probes.limit(1).count():
             return gone
         k *= GROWTH
-        # the next round sees the words of open lines only, and probes with these lines
-        lines_left = lines.join(left.withColumn("open", F.lit(True)), "sig", "left")
-        words = lines_left.where("open").select(F.explode("prefix").alias("token")).distinct()
-        near = lines_left.select("sig", F.explode("prefix").alias("token")).join(words, "token", "left_semi")
-        near = lines_left.join(near.select("sig").distinct(), "sig", "left_semi")
-        groups = word_groups(near, group_rows).join(left.withColumn("probe", F.lit(True)), "sig", "left")
-        groups = groups.withColumn("probe", F.coalesce("probe", F.lit(False)))
+        # the next round sees the words of open lines only
+        own = words.withColumn("id", _place_key()).join(probes, "id", "left_semi").select("word").distinct()
+        groups = word_groups(words.join(materialise(own, "line-words"), "word", "left_semi"), group_rows)
 
 
 # ---------------------------------------------------------------------------
@@ -430,8 +509,8 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD, min_words: int =
                 counts: bool = False) -> DataFrame:
     """``docs`` with texts that have lost their later matches; with ``counts`` also n_lines and n_removed."""
     lines = materialise(line_rows(docs, word_counters(docs), threshold, min_words), "lines")
-    gone = materialise(removed_sets(docs, lines, threshold, min_words), "line-removed")
-    stay = lines.select("sig", "doc_id", "line").join(gone, "sig", "left_anti")
+    gone = materialise(removed_lines(docs, lines, threshold, min_words), "line-removed")
+    stay = lines.select("sig", "doc_id", "line", _place_key().alias("id")).join(gone, "id", "left_anti")
     stay = stay.groupBy(F.col("doc_id").alias("_id")).agg(
         F.collect_list("line").alias("_lines"), F.collect_list("sig").alias("_sigs"))
     rows = _packed(docs)
