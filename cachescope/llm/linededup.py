@@ -21,7 +21,7 @@ A line is the set of its words.  A line is removed if an earlier line, in order
 4. Verification: the whole word sets of candidates come from another scan, which
    emits lines that a fixed-size Bloom filter of candidate places admits; exact Jaccard
    on 44-bit word hashes decides.  Lines whose ``k`` earliest candidates all fail go into
-   another round with eight times as many, until all are decided.
+   another round with ``GROWTH`` times as many, until all are decided.
 5. Each text (compressed for the shuffle) is joined with its surviving lines by doc_id and
    put together again.
 
@@ -52,7 +52,8 @@ PART = 1 << 14           # counters a row of the counting step
 MOST = (1 << 16) - 1     # a counter stops here
 BLOOM_BITS = 1 << 25
 GROUP_ROWS = 16_384
-GROWTH = 8               # of the candidates a line, from round to round
+FIRST = 8                # candidates a line in the first round
+GROWTH = 16              # and how many times more from round to round
 HASH_BITS = 44
 WORD_BITS = 24           # of the table of prefix words that occur in two lines or more
 
@@ -477,7 +478,7 @@ def removed_lines(docs: DataFrame, lines: DataFrame, threshold: float, min_words
                   group_rows: int = GROUP_ROWS) -> DataFrame:
     """(id) of lines that have a similar line before their first place."""
     words = word_rows(lines, shared_words(lines))
-    groups, probes, gone, k = word_groups(words, group_rows), None, None, 1
+    groups, probes, gone, k = word_groups(words, group_rows), None, None, FIRST
     while True:
         pairs = materialise(candidates(groups, k, threshold, probes), "line-pairs")
         wanted = materialise(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "line-wanted")
