@@ -127,9 +127,13 @@ def word_counters(texts: DataFrame) -> np.ndarray:
         total = np.zeros(COUNTERS, np.uint32)
         for batch in batches:
             data, offsets = utf8(batch.column(0))
+            held = []
             for lo, hi in row_slices(offsets):
                 part, at = data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
-                np.add.at(total, _counter(span_hashes(part, *word_bounds(part, at)) >> np.uint64(64 - HASH_BITS)), 1)
+                held.append(_counter(span_hashes(part, *word_bounds(part, at)) >> np.uint64(64 - HASH_BITS)).astype(np.int32))
+                if len(held) == 16 or hi == batch.num_rows:
+                    total += np.bincount(np.concatenate(held), minlength=COUNTERS).astype(np.uint32)
+                    held = []
         total = total.reshape(-1, PART)
         for k in range(0, len(total), 32):
             yield rows(total, [p for p in range(k, min(k + 32, len(total))) if total[p].any()])
@@ -209,73 +213,67 @@ def line_rows(docs: DataFrame, counters: np.ndarray, threshold: float, min_words
 # 3. candidates
 # ---------------------------------------------------------------------------
 
-def _pass(i, j, n, pos, p0, p1, t: float) -> np.ndarray:
-    """Which row pairs (numpy index arrays) pass the length, prefix, positional and parity filters."""
-    small_i = n[i] <= n[j]
-    ns, nl = np.where(small_i, n[i], n[j]), np.where(small_i, n[j], n[i])
-    ps, pl = np.where(small_i, pos[i], pos[j]), np.where(small_i, pos[j], pos[i])
-    need = np.ceil(t / (1 + t) * (ns + nl) - 1e-9)
-    ok = (ns >= t * nl - 1e-9) & (ps <= ns - np.ceil(2 * t / (1 + t) * ns - 1e-9))
-    ok &= np.minimum(ns - ps, nl - pl) >= need
-    differ = np.bitwise_count(p0[i] ^ p0[j]).astype(np.int64) + np.bitwise_count(p1[i] ^ p1[j])
-    return ok & (differ <= ns + nl - 2 * need)
-
-
-def earliest_partners(heads: np.ndarray, n: np.ndarray, pos: np.ndarray, p0: np.ndarray, p1: np.ndarray,
+def earliest_partners(group: np.ndarray, n: np.ndarray, pos: np.ndarray, p0: np.ndarray, p1: np.ndarray,
                       probe: np.ndarray, side: np.ndarray, k: int, t: float,
-                      block: int = 512) -> tuple[np.ndarray, np.ndarray]:
+                      pairs: int = 2_000_000) -> tuple[np.ndarray, np.ndarray]:
     """(earlier, later) row pairs: of each probe row its ``k`` earliest partners within its group.
 
-    Groups start at ``heads``, rows of a group are in order of place; rows of ``side`` 0 meet all,
-    equal sides 1 and 2 do not meet each other's own kind.
+    Rows come in order of (group, place).  Inside a group a row meets rows of its size or
+    smaller, down to the length bound, that stand in their index prefix (the
+    shorter prefix the smaller set needs); sides 1 and 2 do not meet their own kind.
     """
-    ends = np.r_[heads[1:], len(n)]
-    size = ends - heads
-    out_i, out_j = [], []
-
-    def test(i, j):
-        ok = (side[i] == 0) | (side[i] != side[j])
+    order = np.lexsort((n, group))
+    wide = int(n.max()) + 1
+    rank = group[order] * wide + n[order]
+    sums = np.arange(2 * wide)
+    need = np.ceil(t / (1 + t) * sums - 1e-9).astype(np.int64)       # by the sum of both sizes
+    slack = sums - 2 * need
+    index = order[pos[order] <= n[order] - np.ceil(2 * t / (1 + t) * n[order] - 1e-9)]
+    index_rank = group[index] * wide + n[index]
+    before = np.cumsum(np.isin(order, index, assume_unique=True)) if len(index) < len(order) else np.arange(
+        1, len(order) + 1)
+    inside = np.zeros(len(n), bool)
+    inside[index] = True
+    last = before - inside[order]                                    # index rows in front of each row
+    first = np.searchsorted(index_rank, group[order] * wide + np.ceil(t * n[order] - 1e-9).astype(np.int64))
+    count = np.maximum(last - first, 0)
+    kept_i, kept_j, held = [], [], 0
+
+    def first_k() -> None:
+        nonlocal kept_i, kept_j, held
+        i, j = np.concatenate(kept_i), np.concatenate(kept_j)
+        by = np.lexsort((i, j))
+        i, j = i[by], j[by]
+        start = np.flatnonzero(np.r_[True, j[1:] != j[:-1]]) if len(j) else np.zeros(0, np.int64)
+        nth = np.arange(len(j)) - np.repeat(start, np.diff(np.r_[start, len(j)]))
+        kept_i, kept_j = [i[nth < k]], [j[nth < k]]
+        held = len(kept_i[0])
+
+    ends = np.cumsum(count)
+    at = 0
+    while at < len(count):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + pairs, "right")))
+        c = count[at:stop]
+        j = np.repeat(order[at:stop], c)
+        i = index[np.arange(len(j)) - np.repeat(np.cumsum(c) - c, c) + np.repeat(first[at:stop], c)]
+        at = stop
+        both = n[i] + n[j]
+        ok = np.flatnonzero(np.bitwise_count(p0[i] ^ p0[j]) <= slack[both])
+        i, j, both = i[ok], j[ok], both[ok]
+        differ = np.bitwise_count(p0[i] ^ p0[j]).astype(np.int64) + np.bitwise_count(p1[i] ^ p1[j])
+        ok = (differ <= slack[both]) & (np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need[both])
+        ok &= (side[i] == 0) | (side[i] != side[j])
         i, j = i[ok], j[ok]
-        ok = _pass(i, j, n, pos, p0, p1, t)
-        return i[ok], j[ok]
-
-    def first_k(i, j):
-        # pairs come ordered by (j, i): keep the first k of each j
-        start = np.r_[True, j[1:] != j[:-1]]
-        rank = np.arange(len(j)) - np.maximum.accumulate(np.where(start, np.arange(len(j)), 0))
-        out_i.append(i[rank < k]), out_j.append(j[rank < k])
-
-    # small groups: all rows against their earlier ones, many groups at once
-    group = np.repeat(np.arange(len(heads)), size)
-    later = np.flatnonzero(probe & (size[group] <= block) & (np.arange(len(n)) > heads[group]))
-    count = later - heads[group[later]]
-    for part in np.split(np.arange(len(later)), np.flatnonzero(np.diff(np.cumsum(count) // 2_000_000)) + 1):
-        c, l = count[part], later[part]
-        j = np.repeat(l, c)
-        i = np.arange(len(j)) - np.repeat(np.cumsum(c) - c, c) + np.repeat(heads[group[l]], c)
-        i, j = test(i, j)
-        if len(j):
-            first_k(i, j)
-    # large groups: blocks of rows against blocks of earlier rows, until each has k partners
-    for g in np.flatnonzero(size > block).tolist():
-        for b in range(int(heads[g]), int(ends[g]), block):
-            rows = np.arange(b, min(b + block, ends[g]))
-            rows = rows[probe[rows]]
-            found = np.zeros(len(n[b:b + block]), np.int64)
-            for e in range(int(heads[g]), b + 1, block):
-                open_ = rows[found[rows - b] < k]
-                if not len(open_):
-                    break
-                i = np.tile(np.arange(e, min(e + block, ends[g])), len(open_))
-                j = np.repeat(open_, len(i) // len(open_))
-                ok = i < j
-                i, j = test(i[ok], j[ok])
-                if len(j):
-                    first_k(i, j)
-                    np.add.at(found, out_j[-1] - b, 1)
-    if not out_i:
+        i, j = np.minimum(i, j), np.maximum(i, j)                    # rows are in order of place
+        ok = probe[j]
+        kept_i.append(i[ok]), kept_j.append(j[ok])
+        held += int(ok.sum())
+        if held > 2 * pairs:
+            first_k()
+    if not kept_i:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(out_i), np.concatenate(out_j)
+    first_k()
+    return kept_i[0], kept_j[0]
 
 
 def shared_words(lines: DataFrame) -> np.ndarray:
@@ -376,8 +374,8 @@ def candidates(groups: DataFrame, k: int, threshold: float, probes: DataFrame |
                                                 null_placement="at_start")
             table = table.take(pa.array(order)).combine_chunks()
             key, at, p0, p1, probe, line = (table.column(c).to_numpy() for c in range(6))
-            heads = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-            i, j = earliest_partners(heads, at >> 31 & ((1 << 29) - 1), at & ((1 << 31) - 1), p0.view(np.uint64),
+            group = np.cumsum(np.r_[0, key[1:] != key[:-1]])
+            i, j = earliest_partners(group, at >> 31 & ((1 << 29) - 1), at & ((1 << 31) - 1), p0.view(np.uint64),
                                      p1.view(np.uint64), probe.astype(bool), at >> 60, k, threshold)
             doc = table.column(6)
             side = [x for r in (i, j) for x in (doc.take(pa.array(r)), pa.chunked_array([pa.array(line[r])]),
@@ -423,7 +421,7 @@ def _place_key(doc_id: str = "doc_id", line: str = "line", p0: str = "p0"):
 
 
 def bloom(keys: DataFrame) -> np.ndarray:
-    """Bit array of two places an id, from at most BLOOM_BITS / 64 rows."""
+    """Bit array of two places an ``id``, from at most BLOOM_BITS / 64 rows."""
     place = F.explode(F.array(F.pmod("id", F.lit(BLOOM_BITS)),
                               F.pmod(F.shiftrightunsigned("id", 32), F.lit(BLOOM_BITS))))
     words = (keys.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("w"))
@@ -435,17 +433,23 @@ def bloom(keys: DataFrame) -> np.ndarray:
 
 
 def candidate_sets(docs: DataFrame, wanted: DataFrame, min_words: int) -> DataFrame:
-    """(id, words) of the wanted lines (id), read at their first places."""
-    shared = docs.sparkSession.sparkContext.broadcast(bloom(wanted))
+    """(id, words) of the wanted lines (id, doc: hash of the doc_id), read at their first places."""
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (bloom(wanted.select("id")), bloom(wanted.select(F.col("doc").alias("id")).distinct())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
-
-        def admitted(p: np.ndarray) -> np.ndarray:
-            p = p & np.uint64(BLOOM_BITS - 1)
-            return ((bits[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63))) & np.uint64(1)).astype(bool)
-
+        def admitted(bits: np.ndarray, p: np.ndarray) -> np.ndarray:
+            out = np.ones(len(p), bool)
+            for q in (p, p >> np.uint64(32)):
+                q = q & np.uint64(BLOOM_BITS - 1)
+                out &= (bits[(q >> np.uint64(6)).astype(np.int64)] >> (q & np.uint64(63)) & np.uint64(1)).astype(bool)
+            return out
+
+        line_bits, doc_bits = shared.value
         for batch in batches:
+            # only documents with a wanted line are split
+            ids = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            batch = batch.filter(pa.array(admitted(doc_bits, ids)))
             ids = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             data, offsets = utf8(batch.column(1))
             for lo, hi in row_slices(offsets):
@@ -459,7 +463,7 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, min_words: int) -> DataFr
                 if len(full):
                     p0[full] = parities(h, (np.cumsum(size) - size)[full])[0]
                 key = ids[lo:hi][row] ^ p0 ^ (number.astype(np.uint64) << np.uint64(20))
-                out = np.flatnonzero((size >= min_words) & admitted(key) & admitted(key >> np.uint64(32)))
+                out = np.flatnonzero((size >= min_words) & admitted(line_bits, key))
                 if len(out):
                     count = size[out]
                     total = np.cumsum(count)
@@ -471,7 +475,7 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, min_words: int) -> DataFr
 
     rows = docs.select(F.xxhash64("doc_id").alias("k"), "text")
     return (map_batches(rows, run, "id long, words array<long>")
-            .join(wanted, "id", "left_semi").dropDuplicates(["id"]))
+            .join(wanted.select("id"), "id", "left_semi").dropDuplicates(["id"]))
 
 
 def removed_lines(docs: DataFrame, lines: DataFrame, threshold: float, min_words: int,
@@ -481,7 +485,9 @@ def removed_lines(docs: DataFrame, lines: DataFrame, threshold: float, min_words
     groups, probes, gone, k = word_groups(words, group_rows), None, None, FIRST
     while True:
         pairs = materialise(candidates(groups, k, threshold, probes), "line-pairs")
-        wanted = materialise(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "line-wanted")
+        ends = F.explode(F.array(F.struct(F.col("a").alias("id"), F.xxhash64("pa.doc_id").alias("doc")),
+                                 F.struct(F.col("b").alias("id"), F.xxhash64("pb.doc_id").alias("doc"))))
+        wanted = materialise(pairs.select(ends.alias("e")).select("e.*").distinct(), "line-wanted")
         sets = materialise(candidate_sets(docs, wanted, min_words), "line-sets")
         tested = pairs.join(sets.select(F.col("id").alias("a"), F.col("words").alias("wa")), "a")
         tested = tested.join(sets.select(F.col("id").alias("b"), F.col("words").alias("wb")), "b")
