@@ -445,4 +445,4 @@ def decode_documents(encoded: DataFrame, path: str, ids: str = "token_ids", into
             texts = [None if x is None else enc.decode(np.asarray(x, np.int64)) for x in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], names)
 
-    return map_batches(encoded, run, schema).withColumn(into, F.decode(F.col(into), F.lit("UTF-8")))
+    return map_batches(encoded, run, schema).withColumn(into, F.decode(F.col(into), "UTF-8"))

@@ -194,6 +194,7 @@ def line_rows(docs: DataFrame, counters: np.ndarray, threshold: float, min_words
                 total = np.cumsum(length)
                 take = np.arange(int(total[-1])) + np.repeat(begin - (total - length), length)
                 token = (mix64(h[take]) >> np.uint64(33)).astype(np.int64) + 1
+                token = token & 0x7FFFFFFF | (seen[take] >= GROUP_ROWS).astype(np.int64) << 31    # frequent: negative
                 token[seen[take] == 1] = 0                # nobody else has the word
                 prefix = pa.ListArray.from_arrays(pa.array(np.r_[0, total], pa.int32()),
                                                   pa.array(token.astype(np.uint32).view(np.int32)))
@@ -337,10 +338,23 @@ def word_rows(lines: DataFrame, shared: np.ndarray) -> DataFrame:
     return map_batches(rows, run, f"word int, at long, p0 long, p1 long, doc_id {kind}, line int")
 
 
-def word_groups(words: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """``words`` with key and side: a large word's group is cut into chunks, and its rows are copied to
+def open_words(lines: DataFrame, probes: DataFrame) -> np.ndarray:
+    """Bits (packed) of the hashed prefix words of the lines ``probes`` (ids)."""
+    own = lines.withColumn("id", _place_key()).join(probes, "id", "left_semi").select(F.explode("prefix").alias("w"))
+    at = own.where("w <> 0").select(F.col("w").bitwiseAND(F.lit((1 << WORD_BITS) - 1)).alias("p"))
+    got = at.groupBy(F.shiftright("p", 6).alias("k")).agg(
+        F.bit_or(F.expr("shiftleft(1L, p % 64)")).alias("bits")).toArrow()
+    out = np.zeros((1 << WORD_BITS) // 64, np.int64)
+    out[got["k"].to_numpy()] = got["bits"].to_numpy()
+    return np.packbits(np.unpackbits(out.view(np.uint8), bitorder="little"))
+
+
+def word_groups(lines: DataFrame, words: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """``words`` of ``lines`` with key and side: a large word's group is cut into chunks, and its rows are copied to
     each pair of chunks they are part of (side 1 meets side 2; side 0 meets all)."""
-    large = words.groupBy("word").count().where(F.col("count") > group_rows).select(
+    # only words marked as frequent (negative) can be that many
+    marked = lines.select(F.explode(F.filter("prefix", lambda x: x < 0)).alias("word"))
+    large = marked.groupBy("word").count().where(F.col("count") > group_rows).select(
         F.col("word").alias("w"), F.ceil(F.col("count") / group_rows).cast("int").alias("chunks"))
     large = materialise(large, "line-large")
     words = words.join(large, words["word"] == large["w"], "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
@@ -481,8 +495,7 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, min_words: int) -> DataFr
 def removed_lines(docs: DataFrame, lines: DataFrame, threshold: float, min_words: int,
                   group_rows: int = GROUP_ROWS) -> DataFrame:
     """(id) of lines that have a similar line before their first place."""
-    words = word_rows(lines, shared_words(lines))
-    groups, probes, gone, k = word_groups(words, group_rows), None, None, FIRST
+    groups, probes, gone, k = word_groups(lines, word_rows(lines, shared_words(lines)), group_rows), None, None, FIRST
     while True:
         pairs = materialise(candidates(groups, k, threshold, probes), "line-pairs")
         ends = F.explode(F.array(F.struct(F.col("a").alias("id"), F.xxhash64("pa.doc_id").alias("doc")),
@@ -504,8 +517,7 @@ def removed_lines(docs: DataFrame, lines: DataFrame, threshold: float, min_words
             return gone
         k *= GROWTH
         # the next round sees the words of open lines only
-        own = words.withColumn("id", _place_key()).join(probes, "id", "left_semi").select("word").distinct()
-        groups = word_groups(words.join(materialise(own, "line-words"), "word", "left_semi"), group_rows)
+        groups = word_groups(lines, word_rows(lines, open_words(lines, probes)), group_rows)
 
 
 # ---------------------------------------------------------------------------
@@ -518,10 +530,10 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD, min_words: int =
     lines = materialise(line_rows(docs, word_counters(docs), threshold, min_words), "lines")
     gone = materialise(removed_lines(docs, lines, threshold, min_words), "line-removed")
     stay = lines.select("sig", "doc_id", "line", _place_key().alias("id")).join(gone, "id", "left_anti")
-    stay = stay.groupBy(F.col("doc_id").alias("_id")).agg(
-        F.collect_list("line").alias("_lines"), F.collect_list("sig").alias("_sigs"))
+    stay = stay.groupBy(F.col("doc_id").alias("_line_dedup_id")).agg(
+        F.collect_list("line").alias("_line_dedup_lines"), F.collect_list("sig").alias("_line_dedup_sigs"))
     rows = _packed(docs)
-    rows = rows.join(stay, rows["doc_id"].eqNullSafe(F.col("_id")), "left").drop("_id")
+    rows = rows.join(stay, rows["doc_id"].eqNullSafe(F.col("_line_dedup_id")), "left").drop("_line_dedup_id")
     names = docs.columns
     at_text, chars = names.index("text"), names.index("n_chars") if "n_chars" in names else None
 

@@ -244,6 +244,9 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int
     fps = materialise(with_fingerprint(docs.select("doc_id", "text"), shingle).select("doc_id", "fp"), "simhash-fp")
     keep = fingerprint_components(fps, max_bits).where(F.col("fp") == F.col("keep_fp"))
     keep = materialise(keep.select(F.col("fp").alias("_fp"), F.col("component_id").alias("_keep_id")), "simhash-keep")
-    marked = with_fingerprint(docs, shingle, into="_fp")
-    rows = marked.join(keep, "_fp").where(F.col("doc_id").eqNullSafe(F.col("_keep_id")))
-    return rows.dropDuplicates(["_fp"]).select(*[F.col(f"`{c}`") for c in names])
+    # columns of any name travel under a number
+    inner = docs.select(*[docs[f"`{c}`"].alias(f"c{k}") for k, c in enumerate(names)])
+    at_id, at_text = f"c{names.index('doc_id')}", f"c{names.index('text')}"
+    marked = with_fingerprint(inner, shingle, at_text, "_fp")
+    rows = marked.join(keep, "_fp").where(F.col(at_id).eqNullSafe(F.col("_keep_id"))).dropDuplicates(["_fp"])
+    return rows.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(names)])
