@@ -199,7 +199,7 @@ class Vocabulary:
                 if a is not None and b is not None:
                     left.append(a), right.append(b), made.append(i)
         keys = np.array(left, np.uint64) << np.uint64(32) | np.array(right, np.uint64)
-        self.bits = 22
+        self.bits = 20
         self.key = np.full(1 << self.bits, (1 << 64) - 1, np.uint64)
         self.made = np.full(1 << self.bits, -1, np.int32)
         todo, slot = np.arange(len(keys)), self._slot(keys)
@@ -339,7 +339,7 @@ class Vocabulary:
 class Encoder:
     """Encodes slices of texts; keeps merged pieces of earlier slices (bounded)."""
 
-    CACHE = 400_000
+    CACHE = 150_000
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)

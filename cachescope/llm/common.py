@@ -26,6 +26,7 @@ from cachescope.session import ensure_checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text handled at once inside a task (whole documents; one longer document is a slice of its own).
 SLICE_BYTES = 1 << 20
+BATCH_ROWS = 2000
 
 
 _SHIPPED: set[str] = set()
@@ -46,9 +47,18 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def map_batches(df: DataFrame, run, schema: str) -> DataFrame:
-    """``df.mapInArrow(run, schema)`` with this package at hand on the executors."""
+    """``df.mapInArrow(run, schema)`` with this package at hand on the executors.
+
+    ``run`` sees batches of at most ``BATCH_ROWS`` rows, so that what it holds of a batch stays small,
+    and memory that a task has freed goes back to the system at its end.
+    """
     ship_package(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(b.slice(k, BATCH_ROWS) for b in batches for k in range(0, b.num_rows, BATCH_ROWS))
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(bounded, schema)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
