@@ -45,13 +45,15 @@ def same_answer(a_num: Column, a_norm: Column, b_num: Column, b_norm: Column) ->
 
 
 def verdict_numeric(expected, output) -> Column:
-    """Any candidate within relative or absolute 1e-6 of the output number."""
+    """Any candidate within relative or absolute 1e-6 of the output number (infinities only if equal)."""
     expected = _c(expected)
     mn = final_number(_c(output))
     return F.coalesce(mn.isNotNull() & F.exists(
         expected, lambda e: F.coalesce(
-            F.abs(final_number(e) - mn) <= F.greatest(
-                F.lit(NUM_TOL) * F.greatest(F.abs(final_number(e)), F.abs(mn)), F.lit(NUM_TOL)),
+            (final_number(e) == mn) | (
+                (F.abs(final_number(e)) < float("inf")) & (F.abs(mn) < float("inf"))
+                & (F.abs(final_number(e) - mn) <= F.greatest(
+                    F.lit(NUM_TOL) * F.greatest(F.abs(final_number(e)), F.abs(mn)), F.lit(NUM_TOL)))),
             F.lit(False))), F.lit(False))
 
 
