@@ -56,6 +56,7 @@ LENGTHS = (5, 6)
 SAMPLE_ROWS = 4000
 KEEP = 6
 MIN_DOCS = 3             # toxic sample documents that must hold a landmark
+MIN_Z = 4.5              # standard errors by which their shares must differ
 COST = 10.0
 ROUNDS = 3
 RAMP = -0.5
@@ -211,10 +212,12 @@ def _strings(sample: DataFrame) -> DataFrame:
 
 
 def choose_landmarks(sample: DataFrame, pos: int, neg: int) -> list[tuple[int, ...]]:
-    """Strings with the largest weighted log odds for the toxic class."""
+    """Strings with the largest weighted log odds for the toxic class, if the classes differ beyond chance."""
     p, q = (F.col("pos") + 0.5) / (pos + 1), (F.col("neg") + 0.5) / (neg + 1)
+    share = (F.col("pos") + F.col("neg") + 1) / (pos + neg + 2)
+    z = (p - q) / F.sqrt(share * (1 - share) * (1 / pos + 1 / neg))
     top = (_strings(sample).where(F.col("pos") >= min(MIN_DOCS, pos))
-           .withColumn("gain", p * F.log(p / q)).where("gain > 0")
+           .where(z >= MIN_Z).withColumn("gain", p * F.log(p / q))
            .orderBy(F.desc("gain"), "code").limit(LANDMARKS).select("code").collect())
     return [tuple((r["code"] >> 5 * k) & 31 for k in reversed(range(r["code"] >> 40))) for r in top]
 
