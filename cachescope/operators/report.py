@@ -71,9 +71,19 @@ def _tag(v: float) -> str:
     return f"{v:g}".replace(".", "_").replace("-", "m")
 
 
-def pivot_model_threshold(summary: DataFrame, thresholds: Sequence[float] = (0.9, 0.95)) -> DataFrame:
-    """Encoders x thresholds; hit counts truncated to int as in the chart labels."""
+def pivot_model_threshold(summary: DataFrame, thresholds: Sequence[float] | None = None) -> DataFrame:
+    """Encoders x thresholds; hit counts truncated to int as in the chart labels.
+
+    Without ``thresholds`` every threshold of the summary gets its columns (their
+    number is checked by Spark's ``spark.sql.pivotMaxValues``).
+    """
     g = by_model_threshold(summary)
+    if thresholds is None:
+        limit = int(summary.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+        found = g.where("similarity_threshold is not null").select("similarity_threshold").distinct()
+        thresholds = sorted(r[0] for r in found.limit(limit + 1).collect())
+        if len(thresholds) > limit:
+            raise ValueError(f"more than {limit} thresholds; use by_model_threshold instead")
     p = g.groupBy("embedding_model").pivot("similarity_threshold", list(thresholds)).agg(
         F.first("correctness").alias("correctness"),
         F.first("cache_accuracy").alias("cache_accuracy"),
