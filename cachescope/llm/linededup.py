@@ -56,6 +56,10 @@ FIRST = 8                # candidates a line in the first round
 GROWTH = 16              # and how many times more from round to round
 HASH_BITS = 44
 WORD_BITS = 24           # of the table of prefix words that occur in two lines or more
+CELLS = 1 << 20          # of the table of frequent prefix words
+BUCKET_ROWS = 100_000    # (line, word) rows that meet in a task at once, besides those of one word
+WORDS_HELD = 200_000     # and those that a task packs at once
+RUN_ROWS = 128           # rows in one shuffled array
 
 
 def lines_of(data: np.ndarray, offsets: np.ndarray):
@@ -313,29 +317,87 @@ def shared_words(lines: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
-def word_rows(lines: DataFrame, shared: np.ndarray) -> DataFrame:
-    """(word, at, p0, p1, doc_id, line) of each line and shared prefix word; ``at`` is size and position."""
-    shared_ = lines.sparkSession.sparkContext.broadcast(shared)
-    rows = lines.select("prefix", "n", "p0", "p1", "doc_id", "line")
+def large_words(lines: DataFrame, group_rows: int) -> np.ndarray:
+    """Chunks by hashed prefix word (a table of ``CELLS``): 1, or more where the words of a cell fill more than one."""
+    # only words marked as frequent (negative) can be that many
+    marked = lines.select(F.explode(F.filter("prefix", lambda x: x < 0)).alias("word"))
+    got = (marked.groupBy(F.col("word").bitwiseAND(F.lit(CELLS - 1)).alias("cell")).count()
+           .where(F.col("count") > group_rows).toArrow())
+    out = np.ones(CELLS, np.int64)
+    out[got["cell"].to_numpy()] = -(-got["count"].to_numpy() // group_rows)
+    return out
+
+
+def word_groups(lines: DataFrame, shared: np.ndarray, probes: DataFrame | None = None,
+                group_rows: int = GROUP_ROWS) -> DataFrame:
+    """The rows (key, at, p0, p1, doc_id, line) of each line and shared prefix word, as arrays by bucket of keys.
+
+    ``at`` is size and position, the side and whether the line is one of ``probes`` (ids; all lines without them).
+    A large word's group is cut into chunks, and its rows are copied to each pair of chunks they are part
+    of (side 1 meets side 2; side 0 meets all).  The number of buckets follows the number of rows; an array holds
+    ``RUN_ROWS`` rows at most, so a shuffled row stays small.
+    """
+    total = lines.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    buckets = max(64, -(-total // BUCKET_ROWS))
+    shared_ = lines.sparkSession.sparkContext.broadcast((shared, large_words(lines, group_rows)))
+    rows = lines.withColumn("id", _place_key())
+    if probes is None:
+        rows = rows.withColumn("open", F.lit(1))
+    else:
+        rows = rows.join(probes.select("id", F.lit(1).alias("open")), "id", "left").fillna(0, ["open"])
+    rows = rows.select("prefix", "n", "p0", "p1", "line", "id", "open", "doc_id")
     kind = lines.schema["doc_id"].dataType.simpleString()
 
+    def packed(table: pa.Table, bits: np.ndarray, chunks: np.ndarray) -> Iterator[pa.RecordBatch]:
+        prefix, doc = (table.column(c).combine_chunks() for c in (0, 7))
+        n, p0, p1, line, ids, open_ = (table.column(c).to_numpy() for c in range(1, 7))
+        word = prefix.flatten().to_numpy()
+        length = np.diff(np.asarray(prefix.offsets))
+        row = np.repeat(np.arange(len(prefix)), length)
+        pos = np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
+        use = np.flatnonzero((word != 0) & bits[word & ((1 << WORD_BITS) - 1)])
+        row, pos, word = row[use], pos[use], word[use]
+        copies = np.where(word < 0, chunks[word & (CELLS - 1)], 1)
+        ends, lo = np.cumsum(copies), 0
+        while lo < len(row):
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + 2 * WORDS_HELD, "right")))
+            c = copies[lo:hi]
+            take = np.repeat(np.arange(lo, hi), c)
+            r, w, many = row[take], word[take], copies[take]
+            lo = hi
+            other = np.arange(len(take)) - np.repeat(np.cumsum(c) - c, c)
+            own = np.where(many > 1, (mix64(ids[r].view(np.uint64)) % many.astype(np.uint64)).astype(np.int64), 0)
+            pair = np.minimum(own, other) << 31 | np.maximum(own, other)
+            key = np.where(many > 1, mix64(mix64(pair.view(np.uint64)) + w.astype(np.int64).view(np.uint64))
+                           .view(np.int64), w)
+            side = np.where(own == other, 0, np.where(own < other, 1, 2))
+            at = n[r].astype(np.int64) << 31 | pos[take] | side << 60 | open_[r].astype(np.int64) << 62
+            bucket = (mix64(key.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            bucket, r, key, at = bucket[order], r[order], key[order], at[order]
+            first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+            nth = np.arange(len(bucket)) - np.repeat(first, np.diff(np.r_[first, len(bucket)]))
+            start = np.flatnonzero(nth % RUN_ROWS == 0)
+            offsets = pa.array(np.r_[start, len(bucket)], pa.int32())
+            columns = [pa.array(x) for x in (key, at, p0[r], p1[r], line[r])] + [doc.take(pa.array(r))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket[start]), *[pa.ListArray.from_arrays(offsets, x) for x in columns]],
+                ["bucket", "key", "at", "p0", "p1", "line", "doc_id"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(shared_.value).astype(bool)
+        bits, chunks = np.unpackbits(shared_.value[0]).astype(bool), shared_.value[1]
+        held, words_held = [], 0
         for batch in batches:
-            prefix = batch.column(0)
-            word = prefix.flatten().to_numpy()
-            length = np.diff(np.asarray(prefix.offsets))
-            row = np.repeat(np.arange(batch.num_rows), length)
-            pos = np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
-            use = np.flatnonzero((word != 0) & bits[word & ((1 << WORD_BITS) - 1)])
-            row, pos, word = row[use], pos[use], word[use]
-            at = batch.column(1).to_numpy().astype(np.int64)[row] << 31 | pos
-            take = pa.array(row)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(word), pa.array(at), *[batch.column(c).take(take) for c in (2, 3, 4, 5)]],
-                ["word", "at", "p0", "p1", "doc_id", "line"])
+            held.append(batch)
+            words_held += len(batch.column(0).flatten())
+            if words_held >= WORDS_HELD:
+                yield from packed(pa.Table.from_batches(held), bits, chunks)
+                held, words_held = [], 0
+        if words_held:
+            yield from packed(pa.Table.from_batches(held), bits, chunks)
 
-    return map_batches(rows, run, f"word int, at long, p0 long, p1 long, doc_id {kind}, line int")
+    return map_batches(rows, run, "bucket long, key array<long>, at array<long>, p0 array<long>, p1 array<long>, "
+                                  f"line array<int>, doc_id array<{kind}>")
 
 
 def open_words(lines: DataFrame, probes: DataFrame) -> np.ndarray:
@@ -349,49 +411,27 @@ def open_words(lines: DataFrame, probes: DataFrame) -> np.ndarray:
     return np.packbits(np.unpackbits(out.view(np.uint8), bitorder="little"))
 
 
-def word_groups(lines: DataFrame, words: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """``words`` of ``lines`` with key and side: a large word's group is cut into chunks, and its rows are copied to
-    each pair of chunks they are part of (side 1 meets side 2; side 0 meets all)."""
-    # only words marked as frequent (negative) can be that many
-    marked = lines.select(F.explode(F.filter("prefix", lambda x: x < 0)).alias("word"))
-    large = marked.groupBy("word").count().where(F.col("count") > group_rows).select(
-        F.col("word").alias("w"), F.ceil(F.col("count") / group_rows).cast("int").alias("chunks"))
-    large = materialise(large, "line-large")
-    words = words.join(large, words["word"] == large["w"], "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-    words = words.withColumn("own", F.pmod(F.xxhash64("doc_id", "line", "p0"), F.col("chunks")).cast("int"))
-    words = words.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    lo, hi = F.least("own", "other"), F.greatest("own", "other")
-    key = F.when(F.col("chunks") == 1, F.col("word").cast("long")).otherwise(F.xxhash64("word", lo, hi))
-    side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
-    return words.select(key.alias("key"), F.col("at").bitwiseXOR(F.shiftleft(side.cast("long"), 60)).alias("at"),
-                        "p0", "p1", "doc_id", "line")
-
-
-def candidates(groups: DataFrame, k: int, threshold: float, probes: DataFrame | None = None) -> DataFrame:
-    """(a, b, pa, pb): of each line b (of ``probes``, ids) its k earliest partners a, with both places."""
-    if probes is not None:
-        marked = groups.withColumn("id", _place_key()).join(
-            probes.select("id", F.lit(1).alias("open")), "id", "left").drop("id")
-    else:
-        marked = groups.withColumn("open", F.lit(1))
-    rows = marked.repartition("key").sortWithinPartitions("key")
-    rows = rows.select("key", "at", "p0", "p1", F.coalesce("open", F.lit(0)).cast("byte").alias("open"), "line", "doc_id")
-    kind = groups.schema["doc_id"].dataType.simpleString()
+def candidates(groups: DataFrame, k: int, threshold: float) -> DataFrame:
+    """(a, b, pa, pb): of each open line b its k earliest partners a, with both places."""
+    rows = groups.repartition("bucket").sortWithinPartitions("bucket")
+    kind = groups.schema["doc_id"].dataType.elementType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def partners(table: pa.Table) -> pa.RecordBatch:
-            doc = table.column(6)
+        def partners(runs: pa.Table) -> pa.RecordBatch:
+            names = runs.column_names[1:]
+            table = pa.table([runs.column(c).combine_chunks().flatten() for c in names], names=names)
+            doc = table.column("doc_id")
             if pa.types.is_integer(doc.type) and not doc.null_count:
-                order = np.lexsort((table.column(5).to_numpy(), doc.to_numpy(), table.column(0).to_numpy()))
+                order = np.lexsort([table.column(c).to_numpy() for c in ("line", "doc_id", "key")])
             else:
                 order = pa.compute.sort_indices(table, [(c, "ascending") for c in ("key", "doc_id", "line")],
                                                 null_placement="at_start")
             table = table.take(pa.array(order)).combine_chunks()
-            key, at, p0, p1, probe, line = (table.column(c).to_numpy() for c in range(6))
+            key, at, p0, p1, line = (table.column(c).to_numpy() for c in range(5))
             group = np.cumsum(np.r_[0, key[1:] != key[:-1]])
             i, j = earliest_partners(group, at >> 31 & ((1 << 29) - 1), at & ((1 << 31) - 1), p0.view(np.uint64),
-                                     p1.view(np.uint64), probe.astype(bool), at >> 60, k, threshold)
-            doc = table.column(6)
+                                     p1.view(np.uint64), (at >> 62).astype(bool), at >> 60 & 3, k, threshold)
+            doc = table.column("doc_id")
             side = [x for r in (i, j) for x in (doc.take(pa.array(r)), pa.chunked_array([pa.array(line[r])]),
                                                 pa.chunked_array([pa.array(p0[r])]))]
             return pa.table(side, names=["ad", "al", "ap", "bd", "bl", "bp"]).combine_chunks().to_batches()
@@ -401,16 +441,15 @@ def candidates(groups: DataFrame, k: int, threshold: float, probes: DataFrame |
             if not batch.num_rows:
                 continue
             held.append(batch)
-            rows_held += batch.num_rows
+            rows_held += len(batch.column(1).flatten())
             last = batch.column(0)[batch.num_rows - 1].as_py()
-            if rows_held < 100_000 or held[0].column(0)[0].as_py() == last:
+            if rows_held < BUCKET_ROWS or held[0].column(0)[0].as_py() == last:
                 continue
             table = pa.Table.from_batches(held)
-            cut = int(np.searchsorted(table.column(0).to_numpy(), last, "left"))     # the last group may go on
-            if cut:
-                yield from partners(table.slice(0, cut))
-                held = table.slice(cut).to_batches()
-                rows_held = table.num_rows - cut
+            cut = int(np.searchsorted(table.column(0).to_numpy(), last, "left"))     # the last bucket may go on
+            yield from partners(table.slice(0, cut))
+            held = table.slice(cut).to_batches()
+            rows_held = sum(len(b.column(1).flatten()) for b in held)
         if held:
             yield from partners(pa.Table.from_batches(held))
 
@@ -495,9 +534,9 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, min_words: int) -> DataFr
 def removed_lines(docs: DataFrame, lines: DataFrame, threshold: float, min_words: int,
                   group_rows: int = GROUP_ROWS) -> DataFrame:
     """(id) of lines that have a similar line before their first place."""
-    groups, probes, gone, k = word_groups(lines, word_rows(lines, shared_words(lines)), group_rows), None, None, FIRST
+    groups, gone, k = word_groups(lines, shared_words(lines), group_rows=group_rows), None, FIRST
     while True:
-        pairs = materialise(candidates(groups, k, threshold, probes), "line-pairs")
+        pairs = materialise(candidates(groups, k, threshold), "line-pairs")
         ends = F.explode(F.array(F.struct(F.col("a").alias("id"), F.xxhash64("pa.doc_id").alias("doc")),
                                  F.struct(F.col("b").alias("id"), F.xxhash64("pb.doc_id").alias("doc"))))
         wanted = materialise(pairs.select(ends.alias("e")).select("e.*").distinct(), "line-wanted")
@@ -517,7 +556,7 @@ def removed_lines(docs: DataFrame, lines: DataFrame, threshold: float, min_words
             return gone
         k *= GROWTH
         # the next round sees the words of open lines only
-        groups = word_groups(lines, word_rows(lines, open_words(lines, probes)), group_rows)
+        groups = word_groups(lines, open_words(lines, probes), probes, group_rows)
 
 
 # ---------------------------------------------------------------------------

@@ -313,3 +313,28 @@ def test_pipeline(spark):
     lines = linededup.dedup_lines(step)
     assert {r["doc_id"]: r["text"] for r in lines.collect() if r["text"] is not None} == want
     assert {r["doc_id"] for r in out} <= set(want)
+
+
+def test_line_dedup_large_words_in_chunks(spark):
+    """Groups cut into chunk pairs find the lines that whole groups find."""
+    rng = np.random.default_rng(3)
+    base = [[f"w{x}" for x in rng.integers(0, 40, 12)] for _ in range(6)]
+    rows = []
+    for d in range(60):
+        words = list(base[d % 6])
+        words[d % 12] = f"w{rng.integers(0, 40)}"
+        rows.append((d, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    frequent = np.full(linededup.COUNTERS, linededup.MOST, np.uint16)        # every word counts as a large one
+    lines = linededup.line_rows(docs, frequent, 0.8, 5).cache()
+    whole = {r.id for r in linededup.removed_lines(docs, lines, 0.8, 5).collect()}
+    split = {r.id for r in linededup.removed_lines(docs, lines, 0.8, 5, group_rows=3).collect()}
+    assert split == whole and whole
+    sets = {d: set(t.split()) for d, t in rows}
+    first = {}
+    for d in sets:
+        first.setdefault(frozenset(sets[d]), d)
+    own = sorted(first.values())
+    later = [d for d in own if any(len(sets[d] & sets[e]) >= 0.8 * len(sets[d] | sets[e]) - 1e-9
+                                   for e in own if e < d)]
+    assert len(whole) == len([d for d in later if len(sets[d]) >= 5])
