@@ -139,11 +139,16 @@ def plan_requests(run_plan: DataFrame, items: DataFrame, start: int | None = 0,
 
 
 def item_log(hits: DataFrame, start: int = 0) -> DataFrame:
-    """Per-request item log with the reference's field names."""
+    """Per-request item log with the reference's field names.
+
+    ``row_index`` is the position in the subset: the log's own column where it has one
+    (``plan_requests`` gives it), else the position in the run, counted from ``start``
+    (a run over one subset)."""
+    row_index = F.col("row_index") if "row_index" in hits.columns else F.col("pos") + F.lit(start)
     return hits.select(
         "run_id", "seq",
         F.col("subset") if "subset" in hits.columns else F.lit(None).cast("string").alias("subset"),
-        (F.col("pos") + F.lit(start)).alias("row_index"),
+        row_index.alias("row_index"),
         F.col("prompt").alias("question"), "expected",
         F.col("response").alias("model_output"),
         F.round("latency_sec", 6).alias("latency_sec"),

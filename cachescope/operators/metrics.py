@@ -47,13 +47,13 @@ def nearest_rank(df: DataFrame, part: Sequence[str], value: str,
 
 def latency_stats(log: DataFrame, part: Sequence[str] = ("run_id",),
                   value: str = "latency_sec") -> DataFrame:
-    """Mean, p95, p99 (nearest rank) per group."""
+    """Mean, p95, p99 (nearest rank) per group; 0.0 where no latency is known."""
     part = list(part)
     means = log.groupBy(*part).agg(F.avg(value).alias("latency_mean_sec"))
     pct = nearest_rank(log, part, value, (95.0, 99.0), prefix="_p")
     return means.join(pct, part, "left").select(
-        *part, "latency_mean_sec",
-        F.col("_p95").alias("latency_p95_sec"), F.col("_p99").alias("latency_p99_sec"))
+        *part, *[F.coalesce(c, F.lit(0.0)).alias(n) for c, n in (
+            ("latency_mean_sec", "latency_mean_sec"), ("_p95", "latency_p95_sec"), ("_p99", "latency_p99_sec"))])
 
 
 def hit_stats(hits: DataFrame, part: Sequence[str] = ("run_id",)) -> DataFrame:

@@ -58,8 +58,8 @@ SUMMARY_COLS = ["run_id", "cache_mode", "embedding_model", "similarity_threshold
 
 
 def summary_df(spark: SparkSession, sf: str) -> DataFrame:
-    """One summary row per configured run (runs joined to its metrics)."""
-    return TB.runs(spark).join(metrics_df(spark, sf), "run_id").select(*SUMMARY_COLS)
+    """One summary row per run of the log, with its configuration where there is one."""
+    return metrics_df(spark, sf).join(TB.runs(spark), "run_id", "left").select(*SUMMARY_COLS)
 
 
 # --------------------------------------------------------------------------
@@ -125,12 +125,12 @@ rel AS (SELECT *, CASE WHEN total_queries > 0 THEN bad_cache_hits / total_querie
           CASE WHEN total_queries > 0 THEN (correctness * total_queries + bad_cache_hits) / total_queries
                ELSE correctness END AS correctness_without_bad_hits
         FROM met),
-summary AS (SELECT r.run_id, r.cache_mode, r.embedding_model, r.similarity_threshold, correctness,
+summary AS (SELECT rel.run_id, r.cache_mode, r.embedding_model, r.similarity_threshold, correctness,
               cache_hit_rate, bad_cache_hit_rate, cache_accuracy, total_queries, cache_hits, cache_misses,
               bad_cache_hits, good_cache_hits, latency_mean_sec, latency_p95_sec, throughput_qps,
               reliability_degradation, cache_effectiveness, correctness_without_bad_hits,
               correctness_without_bad_hits - correctness AS cache_impact_on_correctness
-            FROM runs r JOIN rel ON r.run_id = rel.run_id)"""
+            FROM rel LEFT JOIN runs r ON r.run_id = rel.run_id)"""
 
 
 def hits_sql(body: str) -> str:
@@ -669,6 +669,71 @@ def q_reuse_sweep(spark, sf):
     return U.reuse_sweep(d, ans, SWEEP_THRESHOLDS)
 
 
+SCOPED_CTES = """
+sd AS (SELECT coalesce(source, 'none') AS run_id, text, lang,
+         row_number() OVER (PARTITION BY coalesce(source, 'none') ORDER BY doc_id) - 1 AS seq FROM documents),
+tok AS (SELECT run_id, seq, unnest(regexp_extract_all(lower(text), '\\p{L}+|[0-9]+')) AS term FROM sd),
+tf AS (SELECT run_id, seq, term, count(*) AS tf FROM tok GROUP BY ALL),
+dfreq AS (SELECT run_id, term, count(*) AS df FROM tf GROUP BY ALL),
+nd AS (SELECT run_id, count(*) AS n FROM sd GROUP BY run_id),
+w0 AS (SELECT run_id, seq, term, tf * ln((n + 1.0) / (df + 1.0)) AS w
+       FROM tf JOIN dfreq USING (run_id, term) JOIN nd USING (run_id)),
+nrm AS (SELECT run_id, seq, sqrt(sum(w * w)) AS nrm FROM w0 WHERE w > 0 GROUP BY ALL),
+v AS (SELECT run_id, seq, term, w / nrm AS x FROM w0 JOIN nrm USING (run_id, seq) WHERE w > 0 AND nrm > 0),
+pairs AS (SELECT a.run_id, a.seq AS i, b.seq AS j, sum(a.x * b.x) AS sim
+  FROM v a JOIN v b ON a.run_id = b.run_id AND a.term = b.term AND b.seq < a.seq
+  GROUP BY ALL HAVING sum(a.x * b.x) >= 0.85),
+th AS (SELECT unnest([0.85, 0.9, 0.95])::DOUBLE AS t),
+nb AS (SELECT t, run_id, i, list(j) AS nbrs FROM pairs JOIN th ON sim >= t GROUP BY ALL),
+chain AS (SELECT th.t, sd.run_id, sd.seq, coalesce(nb.nbrs, []) AS nbrs
+        FROM sd CROSS JOIN th LEFT JOIN nb ON nb.t = th.t AND nb.run_id = sd.run_id AND nb.i = sd.seq),
+r AS (SELECT t, run_id, -1::BIGINT AS k, []::BIGINT[] AS stored FROM th CROSS JOIN nd
+      UNION ALL
+      SELECT r.t, r.run_id, r.k + 1, CASE WHEN list_has_any(r.stored, c.nbrs) THEN r.stored
+                                          ELSE list_append(r.stored, c.seq) END
+      FROM r JOIN chain c ON c.t = r.t AND c.run_id = r.run_id AND c.seq = r.k + 1),
+miss AS (SELECT t, run_id, unnest(arg_max(stored, k)) AS j FROM r GROUP BY t, run_id),
+best AS (SELECT t, run_id, i, j, sim,
+           row_number() OVER (PARTITION BY t, run_id, i ORDER BY round(sim, 9) DESC, j) AS rn
+         FROM pairs JOIN miss USING (run_id, j) WHERE sim >= t),
+served AS (SELECT c.t, c.run_id, c.seq, b.j, b.sim FROM chain c
+           LEFT JOIN best b ON b.t = c.t AND b.run_id = c.run_id AND b.i = c.seq AND rn = 1)"""
+
+
+def source_docs_df(spark, sf):
+    """Documents as the requests of one run a source; every run counts from 0."""
+    from cachescope.operators.scan import positions
+    d = TB.table(spark, sf, "documents").select(
+        F.coalesce("source", F.lit("none")).alias("run_id"), "doc_id", F.col("text").alias("prompt"), "lang")
+    return positions(d, ["run_id"], "doc_id", "seq").drop("doc_id")
+
+
+@register("semantic_reuse_by_source", f"""WITH RECURSIVE {SCOPED_CTES}
+SELECT run_id, seq, j IS NOT NULL AS reuse_hit, j AS served_seq, round(sim, 6) AS similarity
+FROM served WHERE t = 0.9""")
+def q_semantic_reuse_by_source(spark, sf):
+    r = U.semantic_reuse(source_docs_df(spark, sf), 0.9, store="misses")
+    return r.select(F.col("scope").alias("run_id"), F.col("id").alias("seq"), "reuse_hit",
+                    F.col("served_id").alias("served_seq"), r6("similarity").alias("similarity"))
+
+
+@register("reuse_sweep_by_source", f"""WITH RECURSIVE {SCOPED_CTES},
+g AS (SELECT s.t AS threshold, count(*) AS total_queries, count(s.j) AS cache_hits,
+        count_if(s.j IS NOT NULL AND b.lang IS DISTINCT FROM a.lang) AS bad_cache_hits
+      FROM served s JOIN sd a ON a.run_id = s.run_id AND a.seq = s.seq
+        LEFT JOIN sd b ON b.run_id = s.run_id AND b.seq = s.j GROUP BY s.t)
+SELECT *, total_queries - cache_hits AS cache_misses, cache_hits - bad_cache_hits AS good_cache_hits,
+  round(cache_hits / total_queries, 6) AS hit_rate,
+  round(CASE WHEN cache_hits > 0 THEN bad_cache_hits / cache_hits ELSE 0.0 END, 6) AS bad_hit_rate,
+  round(CASE WHEN cache_hits > 0 THEN (cache_hits - bad_cache_hits) / cache_hits ELSE 0.0 END, 6) AS cache_accuracy
+FROM g""")
+def q_reuse_sweep_by_source(spark, sf):
+    d = source_docs_df(spark, sf)
+    r = U.reuse_rates(U.reuse_sweep(d, d.select("run_id", "seq", F.col("lang").alias("answer")), SWEEP_THRESHOLDS))
+    return r.select(*[c for c in r.columns if "rate" not in c and c != "cache_accuracy"],
+                    *[r6(c).alias(c) for c in ("hit_rate", "bad_hit_rate", "cache_accuracy")])
+
+
 # --------------------------------------------------------------------------
 # Run documents and the flat summary
 # --------------------------------------------------------------------------
@@ -682,7 +747,7 @@ def run_documents(spark, sf):
     """(run_id, document): documents of the runs, built from the log's metrics."""
     log = TB.request_log(spark, sf)
     stamps = log.groupBy("run_id").agg(F.date_format(F.max("ts"), TS_FORMAT).alias("timestamp"))
-    m = metrics_df(spark, sf).join(TB.runs(spark), "run_id").join(TB.run_plan(spark), "run_id", "left") \
+    m = metrics_df(spark, sf).join(TB.runs(spark), "run_id", "left").join(TB.run_plan(spark), "run_id", "left") \
         .join(stamps, "run_id", "left")
     cfg = {k: F.col(k) for k in ("timestamp", "cache_mode", "embedding_model", "similarity_threshold",
                                  "subsets")}
@@ -898,7 +963,7 @@ def _expected_list_sql() -> str:
   ELSE [''] END"""
 
 
-def _experiment_sql() -> str:
+def _experiment_sql(body: str) -> str:
     planned = f"""WITH sel AS (SELECT subset, item_idx, {QUESTION_SQL} AS question, {_expected_list_sql()} AS expected,
                row_number() OVER (PARTITION BY subset ORDER BY item_idx) - 1 AS item_pos
              FROM eval_items WHERE {NOT_REJECTED}),
@@ -910,19 +975,32 @@ off AS (SELECT p.run_id, p.subset,
         FROM plan p LEFT JOIN sizes s ON p.subset = s.subset),
 ans AS ({LOGGED_ANSWERS_SQL})
 SELECT off.run_id, off.off + sel.item_pos AS seq, sel.question AS prompt, ans.response, ans.latency_sec,
-       sel.expected
+       sel.expected, off.subset, sel.item_pos AS row_index
 FROM off JOIN sel ON off.subset = sel.subset LEFT JOIN ans ON ans.item_idx = sel.item_idx"""
     views = {"eval_items": S.EVAL_ITEMS, "run_plan": S.RUN_PLAN, "runs": S.RUNS, "request_log": planned}
     ctes = ",\n".join(f"{n} AS ({v})" for n, v in views.items())
-    return f"WITH {ctes},\n{METRICS_CTES}\nSELECT {_sql_round(SUMMARY_COLS)} FROM summary"
+    return f"WITH {ctes},\n{METRICS_CTES}\n{body}"
 
 
-@register("experiment_summary", _experiment_sql())
-def q_experiment_summary(spark, sf):
+def _experiment_hits(spark, sf):
     plan = I.plan_requests(TB.run_plan(spark), items_df(spark, sf))
-    log = ANS.as_request_log(ANS.answer_from_log(plan, logged_answers(spark, sf)))
-    m = M.run_metrics(H.detect_hits(log))
-    return _round_doubles(TB.runs(spark).join(m, "run_id").select(*SUMMARY_COLS))
+    return H.detect_hits(ANS.as_request_log(ANS.answer_from_log(plan, logged_answers(spark, sf))))
+
+
+@register("experiment_item_log", _experiment_sql("""
+SELECT h.run_id, h.seq, l.subset, l.row_index, h.prompt AS question, array_to_string(h.expected, '|') AS expected,
+       h.response AS model_output, round(h.latency_sec, 6) AS latency_sec, h.cache_hit, h.correct
+FROM hits h JOIN request_log l ON l.run_id = h.run_id AND l.seq = h.seq"""))
+def q_experiment_item_log(spark, sf):
+    """B9 over runs of several subsets: row_index is the position in the subset."""
+    r = I.item_log(_experiment_hits(spark, sf))
+    return r.withColumn("expected", F.array_join("expected", "|"))
+
+
+@register("experiment_summary", _experiment_sql(f"SELECT {_sql_round(SUMMARY_COLS)} FROM summary"))
+def q_experiment_summary(spark, sf):
+    m = M.run_metrics(_experiment_hits(spark, sf))
+    return _round_doubles(m.join(TB.runs(spark), "run_id", "left").select(*SUMMARY_COLS))
 
 
 @register("contract_violations")

@@ -22,6 +22,7 @@ def get_spark(cores: int | str | None = None, app: str = "cachescope",
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(parts))
+        .config("spark.cachescope.scanPartitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")

@@ -17,7 +17,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 SUBSETS = ["gsm8k", "hotpotqa", "singleq", "mmlu_math", "winograd_wsc", "squad"]
 
 
-# Row keys used to spread an under-split scan (hash partitioning on a key is
+# Row keys used to spread a scan on request (hash partitioning on a key is
 # deterministic, so a retried task sees the same rows).
 ROW_KEYS = {"documents": ["doc_id"], "events": ["event_id"], "pages": ["page_id"],
             "conversations": ["conv_id", "turn"], "embeddings": ["vec_id"], "part": ["p_partkey"],
@@ -25,27 +25,18 @@ ROW_KEYS = {"documents": ["doc_id"], "events": ["event_id"], "pages": ["page_id"
             "orders": ["o_orderkey"], "customer": ["c_custkey"], "supplier": ["s_suppkey"]}
 
 
-def balanced(df: DataFrame, keys: list[str] | None) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores.
-
-    A large table on a cluster is many files and row groups, so this is a
-    no-op there; a table written as one row group is otherwise read by a
-    single task and everything before the first shuffle runs on one core.
-    Only plan metadata is inspected (no job).  Column pruning and filters
-    still reach the parquet scan below the exchange.
-    """
-    if not keys:
-        return df
-    spark = df.sparkSession
-    target = int(spark.sparkContext.defaultParallelism)
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, *keys)
+SCAN_PARTITIONS = "spark.cachescope.scanPartitions"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table.  Where the session sets ``SCAN_PARTITIONS``, its rows are spread over so many
+    partitions (for tables that are one row group, as in local tests); a cluster leaves it unset and
+    sizes its scans by ``spark.sql.files.maxPartitionBytes``."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return balanced(df, ROW_KEYS.get(name))
+    parts = spark.conf.get(SCAN_PARTITIONS, None)
+    if not parts or name not in ROW_KEYS:
+        return df
+    return df.repartition(int(parts), *ROW_KEYS[name])
 
 
 def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
