@@ -1,14 +1,16 @@
 """Operator 4: line dedup by an exact set-similarity join.
 
 A line is the set of its words.  A line is removed if an earlier line, in order of
-(doc_id, line number), has Jaccard similarity ``THRESHOLD`` or more; lines of fewer than
-``MIN_WORDS`` different words stay (they say nothing about copying).
+(doc_id, line number), has Jaccard similarity ``THRESHOLD`` or more.  Lines of fewer than
+``min_words`` different words stay; op4 and the pipeline join every line with a word
+(``EVERY_LINE``), ``MIN_WORDS`` is the default of ``dedup_lines`` only.
 
 1. Rarity: word occurrences are counted over all documents in a hashed table of
    2^22 counters (fixed size, 8 MB, the broadcast of the next step).
 2. Each line becomes a signature of its set, its size, a 128-bit parity
    (exclusive or of one bit a word) and its prefix: the rarest words, as many as any
-   partner must share one of.  Words that occur once in the corpus cannot be shared and are
+   partner must share one of (none for a set so small that only an equal one reaches the
+   threshold: the fold finds those).  Words that occur once in the corpus cannot be shared and are
    blanked.  Equal sets fold into one row before and after the shuffle, with
    their first place, so a line of a third of all rows is one row.
 3. Prefix words are counted once more over the distinct lines (a fixed-size table of bits); a word
@@ -47,6 +49,7 @@ from cachescope.llm.common import map_batches, materialise, mix64, row_slices, s
 
 THRESHOLD = 0.8
 MIN_WORDS = 5
+EVERY_LINE = 1           # ``min_words`` that exempts only lines without a word
 COUNTERS = 1 << 22
 PART = 1 << 14           # counters a row of the counting step
 MOST = (1 << 16) - 1     # a counter stops here
@@ -194,7 +197,9 @@ def line_rows(docs: DataFrame, counters: np.ndarray, threshold: float, min_words
                 n = size[lines]
                 begin = np.cumsum(n) - n
                 p0, p1 = parities(h, begin)
-                length = n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
+                least = np.ceil(threshold * n - 1e-9).astype(np.int64)     # sizes of partners
+                most = np.floor(n / threshold + 1e-9).astype(np.int64)
+                length = np.where((least == n) & (most == n), 0, n - least + 1)
                 total = np.cumsum(length)
                 take = np.arange(int(total[-1])) + np.repeat(begin - (total - length), length)
                 token = (mix64(h[take]) >> np.uint64(33)).astype(np.int64) + 1

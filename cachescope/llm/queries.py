@@ -27,7 +27,7 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
-    return linededup.dedup_lines(docs, counts=True)
+    return linededup.dedup_lines(docs, min_words=linededup.EVERY_LINE, counts=True)
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -338,3 +338,19 @@ def test_line_dedup_large_words_in_chunks(spark):
     later = [d for d in own if any(len(sets[d] & sets[e]) >= 0.8 * len(sets[d] | sets[e]) - 1e-9
                                    for e in own if e < d)]
     assert len(whole) == len([d for d in later if len(sets[d]) >= 5])
+
+
+def test_line_dedup_joins_short_lines(spark, tmp_path):
+    """op4 and the pipeline's stage join every line with a word, however few words it has."""
+    import corpus_pipeline
+    from cachescope.llm.queries import QUERIES
+    rng = random.Random(6)
+    rows = [(1, "Read more\na b c d\n\nx"), (2, "more Read\na b c d e\n\n x x "), (3, "a b c\nb a c d e f\n \nRead"),
+            (4, "b c d e\nc a b\nRead\n"), (5, None), (6, "Read more " * 40)]
+    rows += [(d, "\n".join(" ".join(rng.choices("pqrstuv", k=rng.randint(0, 6))) for _ in range(6))) for d in range(10, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    want = brute_lines([r for r in rows if r[1] is not None], least=1) | {5: None}
+    got = QUERIES["op4_line_dedup"](spark, str(tmp_path)).collect()
+    assert {r["doc_id"]: r["text"] for r in got} == want
+    assert {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, "").collect()} == want
