@@ -1,13 +1,15 @@
 """Operator 9 [native]: quality rules by a hashed n-gram log-likelihood ratio.
 
-Two multinomials over hashed n-grams (the last ``N`` code points of every word, so
-each word gives one n-gram): the trusted target, from documents that a labels table
+Two multinomials over hashed n-grams (every ``N`` code points in a row of every word, with a
+blank on both sides of it: a word gives as many as it has code points): the trusted target, from documents that a labels table
 marks as good, and the raw corpus, from all documents.  A document's score is the
-mean over its n-grams of ``log(p_target / p_raw)`` with additive smoothing; it is
-kept at ``score >= threshold``.  Countable base rules (length, repetition) go first.
+sum over its n-grams of ``log(p_target / p_raw)`` with additive smoothing, by ``N`` code points
+of its words (n-grams overlap; so many hold one without overlap); it is kept at
+``score >= threshold``.  Countable base rules (length, repetition) go first.
 
 Only DataFrame functions.  One pass counts: an explode that is summed per bucket
-before the shuffle, ``BUCKETS`` rows at most a task.  The weights are one array of
+before the shuffle, per word first (a row a distinct word of a task), then per bucket.  Words above ``LONG`` code points are cut by
+a regular expression, in linear time.  The weights are one array of
 ``BUCKETS`` doubles, read as a scalar subquery, so scoring is a map
 without shuffle or join.  Trusted ids are the only broadcast join, bounded by
 ``TRUSTED_ROWS`` (documented sample of the labelled rows by a hash of their id;
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 from cachescope.llm.common import WORD, materialise
 
 N = 3
+LONG = 64
 BUCKETS = 1 << 16
 SMOOTHING = 1.0
 THRESHOLD = -1.0
@@ -39,8 +42,17 @@ BLANKS = " \t\n\u000b\f\r"
 SYMBOLS = "#*$%&|<>"
 
 
-def _bucket(word: Column) -> Column:
-    return F.pmod(F.xxhash64(F.right(word, F.lit(N))), F.lit(BUCKETS)).cast("int")
+def _bucket(gram: Column) -> Column:
+    return F.pmod(F.xxhash64(gram), F.lit(BUCKETS)).cast("int")
+
+
+def _buckets(word: Column) -> Column:
+    """Buckets of all n-grams of a word between blanks, in order."""
+    edged = F.concat(F.lit(" "), word, F.lit(" "))
+    short = F.transform(F.sequence(F.lit(1), F.length(word)), lambda i: _bucket(F.substring(edged, i, F.lit(N))))
+    # a code point at a time, with those behind it
+    cut = F.regexp_extract_all(edged, F.lit(f"(?s)(?=(.{{{N}}}))."), F.lit(1))
+    return F.when(F.length(word) <= LONG, short).otherwise(F.transform(cut, _bucket))
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
@@ -90,8 +102,9 @@ def ngram_weights(docs: DataFrame, labels: DataFrame) -> DataFrame:
     d = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_good"), "left")
     words = F.regexp_extract_all(F.col("text"), F.lit(f"({WORD})"), F.lit(1))
     grams = d.select(F.col("_good").isNotNull().cast("long").alias("t"), F.explode(words).alias("w")).select(
-        "t", _bucket(F.col("w")).alias("b"))
-    counts = materialise(grams.groupBy("b").agg(F.count("*").alias("raw"), F.sum("t").alias("target")), "ngrams")
+        "w", "t").groupBy("w").agg(F.count("*").alias("raw"), F.sum("t").alias("target"))
+    grams = grams.select("raw", "target", F.explode(_buckets(F.col("w"))).alias("b"))
+    counts = materialise(grams.groupBy("b").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")), "ngrams")
     spark = docs.sparkSession
     total = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("nr"), F.coalesce(F.sum("target"), F.lit(0)).alias("nt"))
     totals = total.first()
@@ -110,8 +123,10 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     weights = materialise(ngram_weights(docs, labels), "ngram-weights")
     d = base_counts(docs)
     d = d.withColumn("_weights", weights.select("weights").scalar())
-    total = F.aggregate("_words", F.lit(0.0), lambda a, w: a + F.get("_weights", _bucket(w)))
-    d = d.withColumn("llr", F.when(F.col("n_words") > 0, total / F.col("n_words")).otherwise(F.lit(0.0)))
+    total = F.aggregate("_words", F.lit(0.0), lambda a, w: F.aggregate(
+        _buckets(w), a, lambda b, g: b + F.get("_weights", g)))
+    # a word has as many n-grams as code points, and a code point lies in N of them
+    d = d.withColumn("llr", F.when(F.col("n_words") > 0, N * total / F.col("word_chars")).otherwise(F.lit(0.0)))
     d = d.withColumn("base_failed", base_failed())
     return d.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold)).drop("_words", "_weights")
 

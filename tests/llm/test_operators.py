@@ -354,3 +354,26 @@ def test_line_dedup_joins_short_lines(spark, tmp_path):
     got = QUERIES["op4_line_dedup"](spark, str(tmp_path)).collect()
     assert {r["doc_id"]: r["text"] for r in got} == want
     assert {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, "").collect()} == want
+
+
+def test_quality_counts_whole_words(spark):
+    """Symbols in front of words or inside them weigh like symbols behind them; n-grams are all trigrams."""
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 8))) for _ in range(300)]
+
+    def text(change):
+        return " ".join(change(rng.choice(vocabulary)) for _ in range(120))
+
+    places = [lambda w: w, lambda w: w + "&&&", lambda w: "&&&" + w, lambda w: w[0] + "&&&" + w[1:]]
+    rows = [(k, text(places[0] if k < 200 else places[1 + k % 3])) for k in range(290)]
+    rows += [(1000 + k, text(p)) for k, p in enumerate(places)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k < 200)) for k in range(290)], "doc_id long, quality int")
+    got = {r["doc_id"]: r["kept"] for r in quality.score_quality(docs, labels).collect()}
+    assert [got[1000 + k] for k in range(4)] == [True, False, False, False]
+    odd = ["a", "é𝒳z", "x" * 64, "𝒳y" * 70, "&&&the"]
+    df = spark.createDataFrame([(w,) for w in odd], "w string")
+    grams = df.select("w", quality._buckets(F.col("w")).alias("g")).collect()
+    parts = [(w, f" {w} "[i:i + 3]) for w in odd for i in range(len(w))]
+    want = spark.createDataFrame(parts, "w string, p string").select("w", quality._bucket(F.col("p")).alias("b")).collect()
+    assert all(r["g"] == [x["b"] for x in want if x["w"] == r["w"]] for r in grams)
