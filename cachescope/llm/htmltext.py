@@ -7,7 +7,8 @@ out.
 
 Weights come from labelled pages: pages that mark their content with ``<article>``
 or ``<main>`` say for each tag and each word whether it is content.  Per context
-feature (block tag, semantic ancestors, class/id/role words) and per tag a smoothed log odds is counted
+feature (block tag, semantic ancestors, class/id/role words; not those of elements around the whole
+content, ``page_wide``, which cannot tell the blocks of a page apart) and per tag a smoothed log odds is counted
 in Spark over a documented sample of about ``SAMPLE_PAGES`` pages (by a hash of ``page_id``);
 the ``MAX_FEATURES`` most frequent features make the broadcast.  The marks themselves are no feature.  Features never
 seen fall back to fixed hints (names of usual boilerplate) and words to a small
@@ -71,11 +72,14 @@ class Element:
     tag: str
     names: tuple[str, ...] = ()      # words of class, id and role
     hidden: bool = False
+    parent: Element | None = None
 
 
 @dataclass
 class Block:
     """A run of text of one block, with what surrounds it."""
+    element: Element | None = None   # the innermost open one
+    words: str = ""                  # the text, cleaned
     features: tuple[str, ...] = ()
     marked: bool = False             # inside <article> or <main>
     text: list[str] = field(default_factory=list)
@@ -95,16 +99,28 @@ def _element(tag: str, attributes: str) -> Element:
     return Element(tag, tuple(names), hidden)
 
 
-def _features(stack: list[Element]) -> tuple[tuple[str, ...], bool]:
-    """Context features of text under the open elements, and whether it is marked as content."""
+def _path(e: Element | None) -> list[Element]:
+    """The open elements from ``e`` outwards."""
+    out = []
+    while e is not None:
+        out.append(e)
+        e = e.parent
+    return out
+
+
+def _features(block: Block, wide: set[int]) -> tuple[tuple[str, ...], bool]:
+    """Context features of a block but for those of the elements ``wide`` (ids), and whether it is marked as content."""
     out, marked, own = [], False, None
-    for e in stack:
+    for e in reversed(_path(block.element)):
         if e.tag in ("article", "main"):
             marked = True
         if e.tag in BLOCKS:
             own = e
         if e.tag == "header" and marked:
             continue                      # the heading of an article
+        if id(e) in wide:
+            own = None if own is e and e.tag in BOILERPLATE else own
+            continue
         if e.tag in BOILERPLATE:
             out.append(f"t:{e.tag}")
         if e.hidden:
@@ -115,6 +131,51 @@ def _features(stack: list[Element]) -> tuple[tuple[str, ...], bool]:
     return tuple(dict.fromkeys(out)), marked
 
 
+def page_wide(blocks: list[Block]) -> set[int]:
+    """Ids of the elements around the whole content of a page.
+
+    These are html, body, and ``<main>`` (else the largest ``<article>``, if it has a fifth of the page's words)
+    with what holds it; without such marks what holds the first h1 and more than half of the words, or without
+    h1 nine tenths of them.
+    """
+    size: dict[int, int] = {}            # words inside, elements in order of the page
+    seen: list[Element] = []
+    for b in blocks:
+        new, e = [], b.element
+        while e is not None and id(e) not in size:
+            size[id(e)] = 0
+            new.append(e)
+            e = e.parent
+        seen += reversed(new)
+        if b.element is not None:
+            size[id(b.element)] += len(b.words.split())
+    for e in reversed(seen):
+        if e.parent is not None:
+            size[id(e.parent)] += size[id(e)]
+    total = sum(len(b.words.split()) for b in blocks)
+    wide = {id(e) for e in seen if e.tag in ("html", "body")}
+    marks = [e for e in seen if e.tag == "main" or (e.tag == "article" and 5 * size[id(e)] >= total)]
+    if marks:
+        return wide | {id(e) for e in _path(max(marks, key=lambda e: (e.tag == "main", size[id(e)])))}
+    heading = next((e for e in seen if e.tag == "h1"), None)
+    if heading is not None:
+        return wide | {id(e) for e in _path(heading.parent) if 2 * size[id(e)] > total}
+    return wide | {id(e) for e in seen if 10 * size[id(e)] >= 9 * total}
+
+
+def read_page(page: str) -> list[Block]:
+    """Blocks of a page that have words, with their features."""
+    out = []
+    for block in blocks_of(page):
+        block.words = clean(block.text)
+        if block.words:
+            out.append(block)
+    wide = page_wide(out)
+    for block in out:
+        block.features, block.marked = _features(block, wide)
+    return out
+
+
 def blocks_of(page: str) -> Iterator[Block]:
     """Blocks of a page in order; the last one may be empty and holds the closing tags."""
     stack: list[Element] = []
@@ -125,7 +186,7 @@ def blocks_of(page: str) -> Iterator[Block]:
     def flush() -> Iterator[Block]:
         nonlocal block
         if any(t and not t.isspace() for t in block.text):
-            block.features, block.marked = _features(stack)
+            block.element = stack[-1] if stack else None
             yield block
             block = Block()
         else:
@@ -176,7 +237,9 @@ def blocks_of(page: str) -> Iterator[Block]:
             block.text.append(" ")
         block.before.append(tag)
         if tag not in VOID and not m.group(4):
-            stack.append(_element(tag, m.group(3)))
+            element = _element(tag, m.group(3))
+            element.parent = stack[-1] if stack else None
+            stack.append(element)
     yield from flush()
     block.text = []
     yield block
@@ -216,10 +279,8 @@ def extract_page(page: str | None, weights: Weights) -> str:
         return ""
     best, best_at, total, start = 0.0, (0, 0), 0.0, 0
     kept: list[tuple[str, bool]] = []
-    for block in blocks_of(page):
-        words = clean(block.text)
-        if not words:
-            continue
+    for block in read_page(page):
+        words = block.words
         score = weights.word(block.features)
         gap = sum(weights.tag(t) for t in block.before)
         value = score * len(words.split())
@@ -245,10 +306,8 @@ def _labelled_counts(pages: DataFrame) -> DataFrame:
         for batch in batches:
             inside, outside = Counter(), Counter()
             for page in batch.column(0).to_pylist():
-                for block in blocks_of(page):
-                    words = len(clean(block.text).split())
-                    if not words:
-                        continue
+                for block in read_page(page):
+                    words = len(block.words.split())
                     to = inside if block.marked else outside
                     for f in block.features:
                         to[f] += words

@@ -377,3 +377,19 @@ def test_quality_counts_whole_words(spark):
     parts = [(w, f" {w} "[i:i + 3]) for w in odd for i in range(len(w))]
     want = spark.createDataFrame(parts, "w string, p string").select("w", quality._bucket(F.col("p")).alias("b")).collect()
     assert all(r["g"] == [x["b"] for x in want if x["w"] == r["w"]] for r in grams)
+
+
+def test_html_page_wide_names():
+    """Names of elements around the whole content do not decide; those of real boilerplate still do."""
+    weights = htmltext.Weights({"t:p": 6.0, "t:h1": 6.0, "c:sidebar": -6.0, "c:theme": -0.1}, {"p": -0.05, "h1": -0.05})
+    text = "<h1>Head line</h1><p>One two three four five six</p><p>Seven eight nine ten</p>"
+    side = '<div class="sidebar"><p>Side words here</p></div>'
+    want = "Head line\n\nOne two three four five six\n\nSeven eight nine ten"
+    for inner in (f"<article>{text}</article>", f"<main class='has-sidebar'>{text}</main>", f"<div>{text}</div>"):
+        for page in (f'<body class="has-sidebar">{side}{inner}</body>',
+                     f'<html class="theme"><body><div id="theme-sidebar">{inner}{side}</div></body></html>',
+                     f'<body><form class="theme">{inner}{side}</form><footer>Foot</footer></body>'):
+            assert htmltext.extract_page(page, weights) == want, page
+    # a theme's wrapper says nothing, in the counts neither
+    block = htmltext.read_page(f'<body class="has-sidebar">{side}<article>{text}</article></body>')
+    assert [("c:sidebar" in b.features, b.marked) for b in block] == [(True, False)] + [(False, True)] * 3
