@@ -2,7 +2,7 @@
 
 Kernel: gap-weighted common subsequences of ``P`` symbols; an occurrence that skips ``g``
 symbols weighs ``DECAY ** g``, ``MAX_GAP`` skipped at most.  Symbols are lower-case
-letters (a-z, five classes of others) and one edge for each run of anything else;
+letters (a-z, accents folded; letters and vowel signs of other scripts by a hash of 10 bits) and one edge for each run of anything else;
 an edge can be matched (start and end of a word) or skipped, and edges between single letters
 ("i-d-i-o-t") are dropped.  So an insult with gaps or inserted characters keeps much of its
 kernel value.  ``k(s, z) = sum_v f_v(s) f_v(z) / |f(z)|``.
@@ -16,8 +16,8 @@ rounds leave out pieces far on the wrong side (ramp loss: labels may be wrong).
 document's score is a sigmoid (Platt) of its strongest piece.
 
 The SVM is linear in the subsequence features of its landmarks, so scoring is one
-Arrow pass over whole texts: a table of 2^20 flags finds the places where the first
-four symbols of a feature may stand, the fifth is looked up there, and a running
+Arrow pass over whole texts: a hashed table of 2^20 flags finds the places where the first
+four symbols of a feature may stand, all five are looked up there, and a running
 sum gives every window.  No shuffle, a broadcast below 2 MB, bounded memory a slice.
 
 Training reads a documented sample of about ``SAMPLE_ROWS`` labelled rows, half
@@ -34,6 +34,7 @@ once (toxic if any is), rows that repeat a ``doc_id`` are scored one by one; a n
 from __future__ import annotations
 
 import sys
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -61,17 +62,27 @@ COST = 10.0
 ROUNDS = 3
 RAMP = -0.5
 SPAN = P + MAX_GAP
+BITS = 10                # of a symbol
+OTHERS = (1 << BITS) - 27
+FLAG_BITS = 20           # of the hashed table of the first four symbols
+MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
+ACCENTS = range(0x300, 0x370)
 
 
 @lru_cache(1)
 def symbol_table() -> np.ndarray:
-    """Symbol of each code point: 1-26 Latin base letters, 27-31 other letters, 0 the rest."""
-    t = np.zeros(sys.maxunicode + 1, np.uint8)
-    for c in range(sys.maxunicode + 1):
+    """Symbol of each code point: 1-26 Latin base letters, 27-1023 other letters by a hash, 0 the rest."""
+    t = np.zeros(sys.maxunicode + 1, np.uint16)
+    for c in range(128, sys.maxunicode + 1):
         ch = chr(c)
-        if ch.isalpha():
-            low = ord(ch.lower()[0])
-            t[c] = low - 96 if 97 <= low <= 122 else 27 + low % 5
+        if ch.isalpha() or (c not in ACCENTS and unicodedata.category(ch) in ("Mn", "Mc")):
+            low = ch.lower()[0]
+            base = unicodedata.normalize("NFD", low)[0]
+            # Latin and Greek letters lose their accents; marks of other scripts make another letter
+            low = ord(base if base < "\u0400" else low)
+            t[c] = low - 96 if 97 <= low <= 122 else 27 + (low * 0x9E3779B1 >> 7) % OTHERS
+    for c in range(97, 123):
+        t[c] = t[c - 32] = c - 96
     return t
 
 
@@ -82,6 +93,9 @@ def symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     """
     points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
     rows = np.searchsorted(np.flatnonzero((data & 0xC0) != 0x80), offsets)
+    accent = (points >= ACCENTS.start) & (points < ACCENTS.stop)
+    if accent.any():                                           # belongs to the letter before it
+        points, rows = points[~accent], np.r_[0, np.cumsum(~accent)][rows]
     sym = np.insert(symbol_table()[points], rows[:-1], 0)      # an edge before each row
     rows = rows + np.arange(len(rows))
     keep = sym != 0
@@ -96,7 +110,7 @@ def symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     sym, rows = sym[~drop], np.r_[0, np.cumsum(~drop)][rows]
     pad = WINDOW + SPAN
     n = len(rows) - 1
-    out = np.zeros(len(sym) + pad * (n + 1), np.uint8)
+    out = np.zeros(len(sym) + pad * (n + 1), np.uint16)
     out[np.arange(len(sym)) + pad * np.repeat(np.arange(1, n + 1), np.diff(rows))] = sym
     return out, rows + pad * np.arange(1, n + 2) - pad
 
@@ -109,7 +123,7 @@ def profile(string: tuple[int, ...]) -> dict[int, float]:
         if gaps <= MAX_GAP:
             code = 0
             for i in spread:
-                code = code << 5 | string[i]
+                code = code << BITS | string[i]
             out[code] = out.get(code, 0.0) + DECAY ** gaps
     return out
 
@@ -118,24 +132,25 @@ class Features:
     """The subsequences in use, and where they occur in a sequence of symbols."""
 
     def __init__(self, codes: np.ndarray):
-        self.codes = codes                       # sorted, 25 bits each
-        self.open = np.zeros(1 << 20, bool)      # may the first four symbols be these?
-        self.open[codes >> 5] = True
+        self.codes = codes                       # sorted, 50 bits each
+        self.open = np.zeros(1 << FLAG_BITS, bool)      # may the first four symbols be these?
+        four = sum((codes >> BITS * (4 - k) & ((1 << BITS) - 1)).astype(np.uint32) * m for k, m in enumerate(MULTIPLIERS))
+        self.open[four >> np.uint32(32 - FLAG_BITS)] = True
 
     def find(self, sym: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(position, feature, weight) of every occurrence with ``MAX_GAP`` skipped symbols at most."""
-        wide = sym.astype(np.int32)
-        a, b, c = wide << 15, wide << 10, wide << 5
+        wide, short = sym.astype(np.int64), sym.astype(np.uint32)
+        a, b, c, d = (short * x for x in MULTIPLIERS)          # wrapping
+        shift = np.uint32(32 - FLAG_BITS)
         m = len(sym) - SPAN + 1
         position, feature, weight = [], [], []
         for i in range(1, MAX_GAP + 2):
-            two = a[:m] | b[i:i + m]
+            two = a[:m] + b[i:i + m]
             for j in range(i + 1, MAX_GAP + 3):
-                three = two | c[j:j + m]
+                three = two + c[j:j + m]
                 for k in range(j + 1, MAX_GAP + 4):
-                    four = three | wide[k:k + m]
-                    p = np.flatnonzero(self.open[four])
-                    head = four[p].astype(np.int64) << 5
+                    p = np.flatnonzero(self.open[(three + d[k:k + m]) >> shift])
+                    head = wide[p] << 4 * BITS | wide[p + i] << 3 * BITS | wide[p + j] << 2 * BITS | wide[p + k] << BITS
                     for last in range(k + 1, SPAN):
                         five = head | wide[p + last]
                         at = np.minimum(np.searchsorted(self.codes, five), len(self.codes) - 1)
@@ -200,10 +215,10 @@ def _strings(sample: DataFrame) -> DataFrame:
                     m = len(w) - n + 1
                     code, inside = np.zeros(m, np.int64), np.ones(m, bool)
                     for k in range(n):
-                        code = code << 5 | w[k:k + m]
+                        code = code << BITS | w[k:k + m]
                         if 0 < k < n - 1:
                             inside &= w[k:k + m] != 0
-                    code = np.unique(code[inside]) | n << 40
+                    code = np.unique(code[inside]) | n << 60
                     toxic = np.full(len(code), batch.column(1)[r].as_py(), np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(toxic)], ["code", "toxic"])
 
@@ -219,7 +234,7 @@ def choose_landmarks(sample: DataFrame, pos: int, neg: int) -> list[tuple[int, .
     top = (_strings(sample).where(F.col("pos") >= min(MIN_DOCS, pos))
            .where(z >= MIN_Z).withColumn("gain", p * F.log(p / q))
            .orderBy(F.desc("gain"), "code").limit(LANDMARKS).select("code").collect())
-    return [tuple((r["code"] >> 5 * k) & 31 for k in reversed(range(r["code"] >> 40))) for r in top]
+    return [tuple((r["code"] >> BITS * k) & ((1 << BITS) - 1) for k in reversed(range(r["code"] >> 60))) for r in top]
 
 
 def _pieces(sample: DataFrame, codes: np.ndarray, guide: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -393,3 +393,31 @@ def test_html_page_wide_names():
     # a theme's wrapper says nothing, in the counts neither
     block = htmltext.read_page(f'<body class="has-sidebar">{side}<article>{text}</article></body>')
     assert [("c:sidebar" in b.features, b.marked) for b in block] == [(True, False)] + [(False, True)] * 3
+
+
+def test_toxicity_other_scripts(spark):
+    """Insults of other scripts are learned like Latin ones, and accents fold to the base letter."""
+    def sym(text):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        return toxicity.symbols(raw, np.array([0, len(raw)]))[0].tolist()
+
+    assert sym("Été naïf") == sym("ete naif") == sym("E\u0301te\u0301 nai\u0308f")
+    assert len(set(sym("абвгдежзиклмнопрстуфхцчшщ")) - {0}) == 25
+    rng = random.Random(4)
+    syllables = "на по ко то ра не ли во та ро ка ен ст ве ни ло де го ти ль ре ма до се".split()
+    insults = "дурачина глупец мерзавец подонок болван".split()
+
+    def clean():
+        return " ".join("".join(rng.choice(syllables) for _ in range(rng.randint(1, 4))) for _ in range(60))
+
+    def toxic(change=lambda w: w):
+        w = clean().split()
+        w.insert(rng.randrange(50), change(rng.choice(insults)))
+        return " ".join(w)
+
+    rows = [(k, toxic() if k % 2 else clean(), k % 2) for k in range(500)]
+    hidden = [(1000 + k, toxic(lambda w: "-".join(w)) if k % 2 else clean(), k % 2) for k in range(60)]
+    docs = spark.createDataFrame([r[:2] for r in rows + hidden], "doc_id long, text string")
+    labels = spark.createDataFrame([(d, 1, t) for d, _, t in rows], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score_toxicity(docs, labels).collect()}
+    assert sum(got[d] == t for d, _, t in hidden) >= 0.95 * len(hidden)
