@@ -65,6 +65,8 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>
                    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(/?)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 NAME_WORDS = re.compile(r"[a-z0-9]+")
+CLOSE = {tag: re.compile(rf"</{tag}(?=[\s>/]|\Z)", re.I | re.A) for tag in RAW}
+BODY = re.compile(r"<body(?=[\s>/]|\Z)", re.I | re.A)
 
 
 @dataclass
@@ -181,7 +183,6 @@ def blocks_of(page: str) -> Iterator[Block]:
     stack: list[Element] = []
     block = Block()
     at, n = 0, len(page)
-    low = None
 
     def flush() -> Iterator[Block]:
         nonlocal block
@@ -213,15 +214,16 @@ def blocks_of(page: str) -> Iterator[Block]:
             block.before.append(f"/{tag}")
             continue
         if tag in RAW:
-            if low is None:
-                low = page.lower()
             if not m.group(4):
-                end = low.find(f"</{tag}", at)
-                if end < 0 and tag == "head":
-                    end = low.find("<body", at)
-                end = n if end < 0 else end
-                close = page.find(">", end)
-                at = end if low.startswith("<body", end) else n if close < 0 else close + 1
+                end = CLOSE[tag].search(page, at)
+                if end is not None:
+                    close = page.find(">", end.end())
+                    at = n if close < 0 else close + 1
+                elif tag == "head":            # without its end, and maybe without body: its elements are skipped one by one
+                    body = BODY.search(page, at)
+                    at = at if body is None else body.start()
+                else:
+                    at = n
             block.before.append(tag)
             continue
         if tag in BLOCKS:

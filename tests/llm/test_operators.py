@@ -421,3 +421,13 @@ def test_toxicity_other_scripts(spark):
     labels = spark.createDataFrame([(d, 1, t) for d, _, t in rows], "doc_id long, quality int, toxic int")
     got = {r["doc_id"]: r["predicted"] for r in toxicity.score_toxicity(docs, labels).collect()}
     assert sum(got[d] == t for d, _, t in hidden) >= 0.95 * len(hidden)
+
+
+def test_html_raw_elements_end_where_they_close():
+    """Positions hold on pages whose lower case is longer; an open head does not end at a header."""
+    weights = htmltext.Weights({"t:p": 6.0}, {"p": -0.05})
+    page = "<body><p>" + "İ" * 20 + " one two</p><script>var a = 1;</SCRIPT><p>Three four</p><style>p{}</style><p>five</p></body>"
+    assert htmltext.extract_page(page, weights) == "İ" * 20 + " one two\n\nThree four\n\nfive"
+    for start in ("<html><head><title>T</title><body>", "<head><title>T</title>"):
+        page = start + "<p>Before it</p><header>Top</header><p>Three four</p>"
+        assert htmltext.extract_page(page, weights) == "Before it\n\nThree four"
