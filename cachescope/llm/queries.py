@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cachescope.llm import bpe, covertree, htmltext, langid, linededup, mixing, quality, simhash, toxicity, urlfilter
+from cachescope.llm import (bpe, covertree, htmltext, langid, linededup, mixing, quality, resampling, simhash, toxicity,
+                            urlfilter)
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,9 +58,13 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), ids=False)
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_language_id, op3_embedding_dedup, op4_line_dedup, op5_toxicity, op6_simhash_dedup,
-    op7_url_filter, op8_html_text, op9_quality_rules, op10_byte_bpe)}
+    op7_url_filter, op8_html_text, op9_quality_rules, op10_byte_bpe, op11_importance_resampling)}
 
 ORACLES = {
     "op1_mix_sources": r"""
@@ -135,5 +140,33 @@ score AS (SELECT host, sum(mass) FILTER (kind = 'trust') AS trust, sum(mass) FIL
 SELECT j.page_id, j.host, j.path, j.rule, coalesce(j.verdict,
   CASE WHEN coalesce(distrust, 0) > 2 * coalesce(trust, 0) THEN 'block' ELSE 'allow' END) AS verdict
 FROM j LEFT JOIN score USING (host)
+""",
+    "op11_importance_resampling": r"""
+WITH tab AS (SELECT list_transform(range(256), lambda x: list_reduce([x, 0, 1, 2, 3, 4, 5, 6, 7], lambda c, i:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+df AS (SELECT r, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM d),
+bf AS (SELECT unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM b),
+code AS (SELECT f, xor(list_reduce(list_concat([4294967295], list_transform(range(1, strlen(f) + 1),
+      lambda i: ('0x' || substr(hex(f), 2 * i - 1, 2))::BIGINT)),
+      lambda c, y: xor(c >> 8, t[(xor(c, y) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT f FROM df UNION SELECT f FROM bf), tab),
+s AS (SELECT bucket, count(*) AS n FROM df JOIN code USING (f) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM bf JOIN code USING (f) GROUP BY bucket),
+gain AS (SELECT range AS bucket, floor(1000 * ln(((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM s) + 10000)::DOUBLE)
+    / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)::DOUBLE)))::BIGINT AS g
+  FROM range(10000) LEFT JOIN s ON s.bucket = range LEFT JOIN t ON t.bucket = range),
+wt AS (SELECT r, count(*) AS n, sum(g)::BIGINT AS total FROM df JOIN code USING (f) JOIN gain USING (bucket) GROUP BY r),
+sc AS (SELECT d.r, doc_id, len(w) AS n_words, coalesce(n, 0)::BIGINT AS n_features,
+    CASE WHEN n > 0 THEN (total - ((total % n) + n) % n) // n ELSE 0 END::BIGINT AS weight,
+    floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE)
+      / 4294967296.0::DOUBLE)))::BIGINT AS noise FROM d LEFT JOIN wt ON wt.r = d.r),
+o AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY weight + noise DESC, doc_id NULLS LAST, weight, n_features) AS k
+  FROM sc)
+SELECT doc_id, n_features, weight, weight + noise AS score,
+  CASE WHEN n_words >= 20 AND k <= 25 * (SELECT count(*) FROM sc WHERE n_words >= 20) // 100 THEN k END::BIGINT AS rank FROM o
 """,
 }
