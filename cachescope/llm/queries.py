@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cachescope.llm import (bpe, covertree, htmltext, langid, linededup, mixing, quality, resampling, simhash, toxicity,
-                            urlfilter, whitening)
+from cachescope.llm import (bpe, classifier, covertree, htmltext, langid, linededup, mixing, quality, resampling, simhash,
+                            toxicity, urlfilter, whitening)
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +62,10 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.score_quality(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_read(spark, sf_dir, "embeddings"))
 
@@ -69,7 +73,7 @@ def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_language_id, op3_embedding_dedup, op4_line_dedup, op5_toxicity, op6_simhash_dedup,
     op7_url_filter, op8_html_text, op9_quality_rules, op10_byte_bpe, op11_importance_resampling,
-    op13_embedding_whitening)}
+    op12_quality_classifier, op13_embedding_whitening)}
 
 ORACLES = {
     "op1_mix_sources": r"""
