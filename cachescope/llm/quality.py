@@ -11,7 +11,9 @@ Only DataFrame functions.  One pass counts: an explode that is summed per bucket
 before the shuffle, per word first (a row a distinct word of a task), then per bucket.  Words above ``LONG`` code points are cut by
 a regular expression, in linear time.  The weights are one array of
 ``BUCKETS`` doubles, read as a scalar subquery, so scoring is a map
-without shuffle or join.  Trusted ids are the only broadcast join, bounded by
+without shuffle or join.  The scores of the commonest word of each of ``MEMO`` hash slots are a second
+such array: a word whose 64-bit hash stands there is looked up, every other word is summed over its n-grams,
+with the same result.  Trusted ids are the only broadcast join, bounded by
 ``TRUSTED_ROWS`` (documented sample of the labelled rows by a hash of their id;
 the raw counts cover all documents).
 
@@ -38,37 +40,50 @@ THRESHOLD = -1.0
 TRUSTED_ROWS = 20_000
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-BLANKS = " \t\n\u000b\f\r"
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
+MEMO = 1 << 17           # slots of common words whose score is kept
 
 
 def _bucket(gram: Column) -> Column:
     return F.pmod(F.xxhash64(gram), F.lit(BUCKETS)).cast("int")
 
 
+def _slot(h: Column) -> Column:
+    return h.bitwiseAND(F.lit(MEMO - 1)).cast("int")
+
+
 def _buckets(word: Column) -> Column:
     """Buckets of all n-grams of a word between blanks, in order."""
-    edged = F.concat(F.lit(" "), word, F.lit(" "))
-    short = F.transform(F.sequence(F.lit(1), F.length(word)), lambda i: _bucket(F.substring(edged, i, F.lit(N))))
-    # a code point at a time, with those behind it
-    cut = F.regexp_extract_all(edged, F.lit(f"(?s)(?=(.{{{N}}}))."), F.lit(1))
-    return F.when(F.length(word) <= LONG, short).otherwise(F.transform(cut, _bucket))
+    def short(edged: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.length(edged) - (N - 1)), lambda i: _bucket(F.substring(edged, i, F.lit(N))))
+
+    def long(edged: Column) -> Column:           # a code point at a time, with those behind it
+        return F.transform(F.regexp_extract_all(edged, F.lit(f"(?s)(?=(.{{{N}}}))."), F.lit(1)), _bucket)
+
+    # inside the lambda the word with its edges is a value, not an expression of every n-gram
+    edged = F.array(F.concat(F.lit(" "), word, F.lit(" ")))
+    return F.get(F.transform(edged, lambda e: F.when(F.length(e) <= LONG + 2, short(e)).otherwise(long(e))), F.lit(0))
+
+
+def _word_score(word: Column, weights: Column) -> Column:
+    return F.aggregate(_buckets(word), F.lit(0.0), lambda a, g: a + F.get(weights, g))
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_words`` and the countable base columns, whole texts."""
+    """``docs`` with ``_words``, their hashes ``_h`` and the countable base columns, whole texts."""
     text = F.coalesce(F.col("text"), F.lit(""))
     d = docs.withColumn("_words", F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1)))
     d = d.withColumn("n_words", F.size("_words").cast("long"))
-    d = d.withColumn("word_chars", F.length(F.translate(text, BLANKS, "")).cast("long"))
-    d = d.withColumn("n_symbols", (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"))
+    d = d.withColumn("word_chars", F.aggregate("_words", F.lit(0).cast("long"), lambda a, w: a + F.length(w)))
+    d = d.withColumn("n_symbols", F.regexp_count(text, F.lit(SYMBOLS)).cast("long"))
     d = d.withColumn("_lines", F.filter(F.split(text, "\n", -1), lambda x: x.rlike(WORD)))
     d = d.withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
-    # windows of three words by hash; only texts with a repeated window sort them
+    # windows of three words by the hashes of the words; only texts with a repeated window sort them
+    d = d.withColumn("_h", F.transform("_words", lambda w: F.xxhash64(w)))
     none = F.array().cast("array<bigint>")
-    d = d.withColumn("_w", F.when(F.size("_words") >= 3, F.transform(
-        F.sequence(F.lit(0), F.size("_words") - 3),
-        lambda i: F.xxhash64(F.get("_words", i), F.get("_words", i + 1), F.get("_words", i + 2)))).otherwise(none))
+    d = d.withColumn("_w", F.when(F.size("_h") >= 3, F.transform(
+        F.slice("_h", 3, F.size("_h")),
+        lambda h, i: F.xxhash64(F.get("_h", i), F.get("_h", i + 1), h))).otherwise(none))
     pairs = F.when(F.size(F.array_distinct("_w")) < F.size("_w"), F.sort_array(
         F.transform("_w", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
     d = d.withColumn("_pairs", pairs)
@@ -96,20 +111,23 @@ def trusted_ids(labels: DataFrame, limit: int = TRUSTED_ROWS) -> DataFrame:
     return good.orderBy(F.xxhash64(F.col("doc_id")), "doc_id").limit(limit)
 
 
-def ngram_weights(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row: ``weights`` array of BUCKETS log ratios target against raw corpus."""
+def vocabulary(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(w, raw, target): how often each word stands in the corpus and in the trusted documents."""
     ids = trusted_ids(labels).select(F.col("doc_id").alias("_good"))
     d = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_good"), "left")
     words = F.regexp_extract_all(F.col("text"), F.lit(f"({WORD})"), F.lit(1))
-    grams = d.select(F.col("_good").isNotNull().cast("long").alias("t"), F.explode(words).alias("w")).select(
-        "w", "t").groupBy("w").agg(F.count("*").alias("raw"), F.sum("t").alias("target"))
-    grams = grams.select("raw", "target", F.explode(_buckets(F.col("w"))).alias("b"))
+    words = d.select(F.col("_good").isNotNull().cast("long").alias("t"), F.explode(words).alias("w"))
+    return words.select("w", "t").groupBy("w").agg(F.count("*").alias("raw"), F.sum("t").alias("target"))
+
+
+def ngram_weights(words: DataFrame) -> DataFrame:
+    """One row: ``weights`` array of BUCKETS log ratios target against raw corpus, from a ``vocabulary``."""
+    grams = words.select("raw", "target", F.explode(_buckets(F.col("w"))).alias("b"))
     counts = materialise(grams.groupBy("b").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")), "ngrams")
-    spark = docs.sparkSession
-    total = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("nr"), F.coalesce(F.sum("target"), F.lit(0)).alias("nt"))
-    totals = total.first()
+    totals = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("nr"),
+                        F.coalesce(F.sum("target"), F.lit(0)).alias("nt")).first()
     nr, nt = float(totals["nr"]), float(totals["nt"])
-    every = spark.range(BUCKETS).select(F.col("id").cast("int").alias("b")).join(counts, "b", "left").select(
+    every = words.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("b")).join(counts, "b", "left").select(
         "b", F.coalesce("raw", F.lit(0)).alias("raw"), F.coalesce("target", F.lit(0)).alias("target"))
     ratio = (F.log((F.col("target") + SMOOTHING) / (nt + SMOOTHING * BUCKETS))
              - F.log((F.col("raw") + SMOOTHING) / (nr + SMOOTHING * BUCKETS)))
@@ -118,17 +136,35 @@ def ngram_weights(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return every.agg(F.transform(packed, lambda x: x["v"]).alias("weights"))
 
 
+def word_memo(words: DataFrame, weights: DataFrame) -> DataFrame:
+    """One row: ``keys`` and ``scores``, the hash and summed weight of the commonest word of each of MEMO slots."""
+    h = F.xxhash64("w")
+    top = words.select(_slot(h).alias("slot"), "w", "raw", h.alias("h")).groupBy("slot").agg(
+        F.max_by(F.struct("w", "h"), F.struct("raw", "h")).alias("top"))
+    top = top.withColumn("_weights", weights.select("weights").scalar()).select(
+        "slot", F.col("top.h").alias("h"), _word_score(F.col("top.w"), F.col("_weights")).alias("s"))
+    every = words.sparkSession.range(MEMO).select(F.col("id").cast("int").alias("slot")).join(top, "slot", "left")
+    packed = every.agg(F.sort_array(F.collect_list(F.struct("slot", "h", "s"))).alias("m"))
+    return packed.select(F.transform("m", lambda x: x["h"]).alias("keys"), F.transform("m", lambda x: x["s"]).alias("scores"))
+
+
 def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, llr, base_failed, kept."""
-    weights = materialise(ngram_weights(docs, labels), "ngram-weights")
+    words = materialise(vocabulary(docs, labels), "vocabulary")
+    weights = materialise(ngram_weights(words), "ngram-weights")
+    memo = materialise(word_memo(words, weights), "word-memo")
     d = base_counts(docs)
-    d = d.withColumn("_weights", weights.select("weights").scalar())
-    total = F.aggregate("_words", F.lit(0.0), lambda a, w: F.aggregate(
-        _buckets(w), a, lambda b, g: b + F.get("_weights", g)))
+    for name, table in (("weights", weights), ("keys", memo), ("scores", memo)):
+        d = d.withColumn(f"_{name}", table.select(name).scalar())
+    # a common word is looked up, any other is summed
+    score = F.transform("_h", lambda h, i: F.when(F.get("_keys", _slot(h)) == h, F.get("_scores", _slot(h))).otherwise(
+        _word_score(F.get("_words", i), F.col("_weights"))))
+    total = F.aggregate(score, F.lit(0.0), lambda a, x: a + x)
     # a word has as many n-grams as code points, and a code point lies in N of them
     d = d.withColumn("llr", F.when(F.col("n_words") > 0, N * total / F.col("word_chars")).otherwise(F.lit(0.0)))
     d = d.withColumn("base_failed", base_failed())
-    return d.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold)).drop("_words", "_weights")
+    return d.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold)).drop(
+        "_words", "_h", "_weights", "_keys", "_scores")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
