@@ -142,6 +142,15 @@ def empty_runs(runs: DataFrame, metrics: DataFrame, key: str = "run_id") -> Data
                     F.col("total_queries").isNull().alias("is_empty"))
 
 
+def configured_metrics(runs: DataFrame, metrics: DataFrame, key: str = "run_id") -> DataFrame:
+    """E6 + E14: every run that is configured or has requests; zeros where it has no requests
+    (``is_empty``), NULL configuration where none is known (``is_unconfigured``)."""
+    extra = [c for c in metrics.columns if c not in runs.columns]
+    j = runs.withColumn("_c", F.lit(True)).join(metrics.withColumn("_m", F.lit(True)), key, "full")
+    return j.select(*runs.columns, *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in extra],
+                    F.col("_m").isNull().alias("is_empty"), F.col("_c").isNull().alias("is_unconfigured"))
+
+
 def running_metrics(hits: DataFrame, part: Sequence[str] = ("run_id",)) -> DataFrame:
     """running correctness and hit rate after each request (needs ``pos``)."""
     part = list(part)

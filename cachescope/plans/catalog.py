@@ -626,6 +626,24 @@ def q_exact_reuse(spark, sf):
     return U.exact_reuse(docs_df(spark, sf))
 
 
+def gappy_requests(spark, sf):
+    """The request log with prompts and runs missing in some rows, by rule."""
+    return TB.request_log(spark, sf).select(
+        F.when(F.col("seq") % 11 != 0, F.col("run_id")).alias("run_id"), "seq",
+        F.when(F.col("seq") % 7 != 0, F.col("prompt")).alias("prompt"))
+
+
+@register("exact_reuse_gaps", S.with_views("""
+WITH g AS (SELECT CASE WHEN seq % 11 <> 0 THEN run_id END AS run_id, seq,
+             CASE WHEN seq % 7 <> 0 THEN prompt END AS prompt FROM request_log)
+SELECT a.run_id, a.seq, count(b.seq) > 0 AS reuse_hit, min(b.seq) AS served_seq
+FROM g a LEFT JOIN g b ON a.run_id IS NOT DISTINCT FROM b.run_id AND a.prompt = b.prompt AND b.seq < a.seq
+GROUP BY a.run_id, a.seq""", "request_log"))
+def q_exact_reuse_gaps(spark, sf):
+    """D2 where prompts and runs are missing: as many rows out as in."""
+    return U.exact_reuse(gappy_requests(spark, sf))
+
+
 @register("no_reuse", S.with_views(
     "SELECT run_id, seq, false AS reuse_hit, CAST(NULL AS BIGINT) AS served_seq FROM request_log",
     "request_log"))
@@ -1014,3 +1032,6 @@ def q_contract_violations(spark, sf):
     variants.append(F.to_json(doc, {"ignoreNullFields": "false"}))
     d = m.select("run_id", F.posexplode(F.array(*variants)).alias("variant", "document"))
     return DOC.contract_violations(d).select("run_id", F.col("variant").cast("int").alias("variant"), "violation")
+
+
+from cachescope.plans import catalog_sources  # noqa: E402,F401  (registers its queries)
