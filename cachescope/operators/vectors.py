@@ -1,39 +1,20 @@
 """Dense-vector reuse: U2 encoders, D3 over embeddings, G2 nearest earlier entry.
 
-Exact similarity join (``method='exact'``): vectors are cut into blocks of
-``block_rows`` along ``id``; every row is routed to the block pairs it belongs
-to (its block against each block up to it), and each block pair is one group
-of at most ``2 * block_rows`` vectors handled by one matrix product in
-``applyInPandas``.  Only pairs with cosine >= t leave the group.  The compute is
-quadratic -- a flat index, as in the reference -- but no group is unbounded and
-the driver sees nothing.
-
-Approximate join (``method='lsh'``): Spark ML ``BucketedRandomProjectionLSH``
-on unit vectors (Euclidean distance d relates to cosine by cos = 1 - d^2/2),
-an equi-join on hash buckets followed by the exact check, so it never reports
-a false pair but may miss some.  This is the path for very large logs.
+The similarity join is exact (``operators.metric_join``): cells around pivots, cell pairs beyond reach never
+routed, blocks of bounded size inside a cell.  ``warm`` entries come from earlier requests (``sources.store``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from cachescope.operators.metric_join import BLOCK_ROWS, metric_pairs
 from cachescope.operators.reuse import _serve, first_come
 from cachescope.session import cut_lineage
 
-BLOCK_ROWS = 1024
-
-PAIR_SCHEMA = T.StructType([
-    T.StructField("scope", T.StringType()), T.StructField("i", T.LongType()),
-    T.StructField("j", T.LongType()), T.StructField("sim", T.DoubleType())])
-
 
 def fold_vectors(vecs: DataFrame) -> DataFrame:
     """(scope, id, rid): identical vectors of a scope share the first id."""
@@ -42,88 +23,44 @@ def fold_vectors(vecs: DataFrame) -> DataFrame:
     return k.join(firsts, ["scope", "_vk"]).select("scope", "id", "rid")
 
 
-def _block_pairs_fn(threshold: float):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        left = pdf[pdf["_side"] == 0]
-        right = pdf[pdf["_side"] == 1]
-        if left.empty or right.empty:
-            return pd.DataFrame({"scope": [], "i": [], "j": [], "sim": []})
-        a = np.stack(left["vec"].to_numpy()).astype(np.float64)
-        b = np.stack(right["vec"].to_numpy()).astype(np.float64)
-        a /= np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-300)
-        b /= np.maximum(np.linalg.norm(b, axis=1, keepdims=True), 1e-300)
-        sims = a @ b.T
-        ia = left["id"].to_numpy()
-        jb = right["id"].to_numpy()
-        r, c = np.nonzero((sims >= threshold) & (jb[None, :] < ia[:, None]))
-        return pd.DataFrame({"scope": left["scope"].to_numpy()[r], "i": ia[r], "j": jb[c],
-                             "sim": sims[r, c]})
-    return fn
-
-
-def exact_pairs(vecs: DataFrame, threshold: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Pairs (scope, i, j, sim), j < i, cosine >= threshold, by blocked products.
-
-    Block ids come from a dense rank of ``id`` per scope computed as
-    ``floor(rank / block_rows)`` over a chunked position scan, so blocks are
-    even whatever the id spacing.
-    """
-    from cachescope.operators.scan import positions
-    x = positions(vecs.select("scope", "id", "vec"), ["scope"], "id", "_p")
-    x = x.withColumn("_b", F.floor(F.col("_p") / block_rows).cast("long")).drop("_p")
-    # left side: my block against every block up to mine; right side: mine
-    # against every block from mine on (the last block of a scope bounds both)
-    nb = x.groupBy("scope").agg(F.max("_b").alias("_nb"))
-    x = x.join(nb, "scope")
-    left = x.select("scope", "id", "vec", F.col("_b").alias("_bi"),
-                    F.explode(F.sequence(F.lit(0).cast("long"), F.col("_b"))).alias("_bj"),
-                    F.lit(0).alias("_side"))
-    right = x.select("scope", "id", "vec", F.explode(F.sequence(F.col("_b"), F.col("_nb"))).alias("_bi"),
-                     F.col("_b").alias("_bj"), F.lit(1).alias("_side"))
-    routed = left.unionByName(right)
-    return routed.groupBy("scope", "_bi", "_bj").applyInPandas(_block_pairs_fn(threshold), PAIR_SCHEMA)
-
-
-def lsh_pairs(vecs: DataFrame, threshold: float, bucket_length: float | None = None,
-              num_tables: int = 8, seed: int = 7) -> DataFrame:
-    """Approximate pairs via random-projection LSH, checked exactly (no false pairs)."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda acc, v: acc + v.cast("double") * v.cast("double")))
-    unit = vecs.select("scope", "id", F.transform("vec", lambda v: v.cast("double") / norm).alias("u"))
-    unit = unit.withColumn("features", array_to_vector("u"))
-    max_d = float(np.sqrt(max(0.0, 2.0 - 2.0 * threshold)))
-    model = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", numHashTables=num_tables,
-                                        bucketLength=bucket_length or max(max_d, 1e-3), seed=seed).fit(unit)
-    j = model.approxSimilarityJoin(unit, unit, max_d + 1e-9, distCol="d")
-    out = j.where((F.col("datasetA.scope") == F.col("datasetB.scope"))
-                  & (F.col("datasetB.id") < F.col("datasetA.id")))
-    out = out.select(F.col("datasetA.scope").alias("scope"), F.col("datasetA.id").alias("i"),
-                     F.col("datasetB.id").alias("j"), (1.0 - F.col("d") * F.col("d") / 2.0).alias("sim"))
-    return out.where(F.col("sim") >= threshold)
+def vector_reuse(reqs: DataFrame, threshold: float, scope: Column | str = "run_id", id_col: str = "seq",
+                 vec_col: str = "embedding", store: str = "misses", metric: str = "cosine",
+                 block_rows: int = BLOCK_ROWS, warm: DataFrame | None = None) -> DataFrame:
+    """D3 over embeddings: scope, id, reuse_hit, served_id, similarity.
 
+    ``metric``: 'cosine', or 'distance' (1 - d^2 / 4 of the vectors as they are).  ``warm`` (scope, id,
+    embedding): entries stored before the first request; their ids are below all requests'."""
+    return vector_reuse_step(reqs, threshold, scope, id_col, vec_col, store, metric, block_rows, warm)[0]
 
-def vector_reuse(reqs: DataFrame, threshold: float, scope: Column | str = "run_id", id_col: str = "seq",
-                 vec_col: str = "embedding", store: str = "misses", method: str = "exact",
-                 block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """D3 over embeddings: scope, id, reuse_hit, served_id, similarity."""
+
+def vector_reuse_step(reqs: DataFrame, threshold: float, scope: Column | str = "run_id", id_col: str = "seq",
+                      vec_col: str = "embedding", store: str = "misses", metric: str = "cosine",
+                      block_rows: int = BLOCK_ROWS, warm: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """``vector_reuse`` and the entries (scope, id, embedding) that these requests add to the store.
+
+    Requests meet stored entries and each other; stored entries are never paired again."""
     if store not in ("misses", "all"):
         raise ValueError("store must be 'misses' or 'all'")
     scope_c = F.col(scope) if isinstance(scope, str) else scope
     vecs = reqs.select(scope_c.cast("string").alias("scope"), F.col(id_col).alias("id"), F.col(vec_col).alias("vec"))
-    members = fold_vectors(vecs).persist(StorageLevel.MEMORY_AND_DISK)
-    reps = vecs.join(members.where(F.col("id") == F.col("rid")).select("scope", "id"), ["scope", "id"], "left_semi")
-    if method == "exact":
-        pairs = exact_pairs(reps, threshold, block_rows)
-    elif method == "lsh":
-        pairs = lsh_pairs(reps, threshold)
-    else:
-        raise ValueError("method must be 'exact' or 'lsh'")
-    pairs = cut_lineage(pairs)
+    members = cut_lineage(fold_vectors(vecs))
     rep_ids = members.where(F.col("id") == F.col("rid")).select("scope", "id")
-    stored = rep_ids.withColumn("is_miss", F.lit(True)) if store == "all" else first_come(rep_ids, pairs)
+    reps = vecs.join(rep_ids, ["scope", "id"], "left_semi")
+    both = reps.withColumn("fresh", F.lit(True))
+    nodes = rep_ids
+    if warm is not None:
+        old = warm.select(F.col("scope").cast("string").alias("scope"), F.col("id").cast(vecs.schema["id"].dataType).alias("id"),
+                          F.col("embedding").alias("vec"))
+        both = both.unionByName(old.withColumn("fresh", F.lit(False)))
+        nodes = rep_ids.unionByName(old.select("scope", "id"))
+    # of a request that everything stored may answer only the best entry matters
+    pairs = cut_lineage(metric_pairs(both, threshold, metric, block_rows, best_only=store == "all"))
+    stored = nodes.withColumn("is_miss", F.lit(True)) if store == "all" else first_come(nodes, pairs)
     docs = reqs.select(scope_c.cast("string").alias("_scope"), F.col(id_col))
-    return _serve(docs, "_scope", id_col, pairs, members, stored, store)
+    served = _serve(docs, "_scope", id_col, pairs, members, stored, store)
+    added = reps.join(stored.where("is_miss"), ["scope", "id"], "left_semi").select(
+        "scope", "id", F.col("vec").alias("embedding"))
+    return served, added
 
 
 # --------------------------------------------------------------------------

@@ -1034,4 +1034,4 @@ def q_contract_violations(spark, sf):
     return DOC.contract_violations(d).select("run_id", F.col("variant").cast("int").alias("variant"), "violation")
 
 
-from cachescope.plans import catalog_sources  # noqa: E402,F401  (registers its queries)
+from cachescope.plans import catalog_reuse, catalog_sources  # noqa: E402,F401  (register their queries)

@@ -44,7 +44,8 @@ def _semantic(reqs: DataFrame, cfg: dict, default: float = U.DEFAULT_SEMANTIC_TH
     t = default if t is None else float(t)
     store = cfg.get("store", "misses")
     if "embedding" in reqs.columns and cfg.get("use_embeddings", True):
-        r = V.vector_reuse(reqs, t, scope=scope, store=store, method=cfg.get("method", "exact"))
+        r = V.vector_reuse(reqs, t, scope=scope, store=store, metric=cfg.get("metric", "cosine"),
+                           warm=cfg.get("warm"))
     else:
         r = U.semantic_reuse(reqs, t, scope=scope, store=store)
     return _semantic_out(r, scope)
