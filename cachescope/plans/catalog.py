@@ -1021,17 +1021,4 @@ def q_experiment_summary(spark, sf):
     return _round_doubles(m.join(TB.runs(spark), "run_id", "left").select(*SUMMARY_COLS))
 
 
-@register("contract_violations")
-def q_contract_violations(spark, sf):
-    """H2 over the field-dropped documents of ``missing_fields`` (rows-only check)."""
-    log = TB.request_log(spark, sf)
-    stamps = log.groupBy("run_id").agg(F.date_format(F.max("ts"), TS_FORMAT).alias("timestamp"))
-    m = metrics_df(spark, sf).join(stamps, "run_id", "left")
-    doc = DOC.document_struct({"timestamp": F.col("timestamp")})
-    variants = [F.to_json(doc.dropFields(p), {"ignoreNullFields": "false"}) for p in CONTRACT_PATHS]
-    variants.append(F.to_json(doc, {"ignoreNullFields": "false"}))
-    d = m.select("run_id", F.posexplode(F.array(*variants)).alias("variant", "document"))
-    return DOC.contract_violations(d).select("run_id", F.col("variant").cast("int").alias("variant"), "violation")
-
-
-from cachescope.plans import catalog_reuse, catalog_sources  # noqa: E402,F401  (register their queries)
+from cachescope.plans import catalog_contract, catalog_reuse, catalog_sources  # noqa: E402,F401  (register their queries)

@@ -244,56 +244,3 @@ def read_summary_csv(spark: SparkSession, path: str, strict: bool = True) -> Dat
         raise ValueError(f"Missing required columns: {missing}")
     return df.select(*[F.col(c).try_cast("double").alias(c) if c in NUMERIC_SUMMARY_COLS else F.col(c)
                        for c in df.columns])
-
-
-# ---------------------------------------------------------------------------
-# H2: declared contract of the written documents, as rule expressions
-# ---------------------------------------------------------------------------
-
-# Allowed keys per object, allowed cache modes (underscore and
-# hyphen spellings), and the numeric ranges of the metric fields.
-ALLOWED_KEYS = {
-    "": ["run_id", "timestamp", "model", "dataset", "cache", "metrics", "items"],
-    "model": ["provider", "name", "base_url", "params"],
-    "cache": ["mode", "embedding_model", "similarity_threshold", "looseness_preset", "vstore", "capacity",
-              "eviction"],
-    "metrics": ["latency_mean_sec", "latency_p95_sec", "latency_p99_sec", "cache_hit_rate",
-                "bad_cache_hit_rate", "cache_accuracy", "cache_statistics", "throughput_qps", "correctness"],
-}
-CACHE_MODES = ["none", "vanilla_exact", "vanilla_approx", "custom_semantic", "extended",
-               "vanilla-exact", "vanilla-approx", "custom-semantic"]
-UNIT_RANGE = ["cache_hit_rate", "bad_cache_hit_rate", "cache_accuracy", "correctness"]
-NON_NEGATIVE = ["latency_mean_sec", "latency_p95_sec", "latency_p99_sec", "throughput_qps"]
-
-
-def contract_rules(doc: Column) -> list[Column]:
-    """One expression per rule: the violation text, or NULL when it holds."""
-    rules: list[Column] = []
-    for name in REQUIRED_TOP:
-        rules.append(F.when(~F.array_contains(_keys(doc), name), F.lit(f"required:{name}")))
-    for path, allowed in ALLOWED_KEYS.items():
-        extra = F.array_except(_keys(doc, path or None), F.array(*[F.lit(a) for a in allowed]))
-        rules.append(F.when(F.size(extra) > 0, F.concat(F.lit(f"additional:{path or '$'}:"),
-                                                         F.array_join(extra, ","))))
-    mode = F.get_json_object(doc, "$.cache.mode")
-    rules.append(F.when(mode.isNotNull() & ~mode.isin(*CACHE_MODES), F.concat(F.lit("enum:cache.mode:"), mode)))
-    for m in UNIT_RANGE + NON_NEGATIVE:
-        raw = F.get_json_object(doc, f"$.metrics.{m}")
-        v = raw.try_cast("double")
-        bad_type = raw.isNotNull() & v.isNull()
-        bad_range = (v < 0) | (v > 1) if m in UNIT_RANGE else (v < 0)
-        rules.append(F.when(bad_type, F.lit(f"type:metrics.{m}")).when(bad_range, F.lit(f"range:metrics.{m}")))
-    for s in REQUIRED_STATS:
-        raw = F.get_json_object(doc, f"$.metrics.cache_statistics.{s}")
-        v = raw.try_cast("long")
-        rules.append(F.when(raw.isNotNull() & (v.isNull() | (v < 0)), F.lit(f"integer:metrics.cache_statistics.{s}")))
-    rid = F.get_json_object(doc, "$.run_id")
-    rules.append(F.when(F.coalesce(F.length(rid), F.lit(1)) == 0, F.lit("min_length:run_id")))
-    return rules
-
-
-def contract_violations(docs: DataFrame, doc: str = "document") -> DataFrame:
-    """H2: one row per (document, violated rule); rules are evaluated per row
-    (no join of documents against a rule table)."""
-    v = F.filter(F.array(*contract_rules(F.col(doc))), lambda x: x.isNotNull())
-    return docs.select(*[c for c in docs.columns if c != doc], F.explode(v).alias("violation"))

@@ -1,10 +1,12 @@
 """Run documents round trip and the summary contract."""
 
+import json
 import os
 
 from pyspark.sql import functions as F
 
 from cachescope.plans import catalog as C
+from cachescope.sources import contract as K
 from cachescope.sources import documents as D
 from conftest import SF001
 
@@ -37,12 +39,48 @@ def test_dataset_label(spark):
     assert got == ["a,b", "c", "unknown"]
 
 
-def test_contract_violations(spark):
-    docs = spark.createDataFrame([
-        ("a", '{"run_id": "a", "timestamp": "t", "model": {}, "dataset": {}, "cache": {"mode": "weird"}, '
-              '"metrics": {"cache_hit_rate": 1.5, "latency_mean_sec": -1, "bogus": 1}, "items": []}'),
-        ("b", '{"run_id": "b", "timestamp": "t", "model": {}, "dataset": {}, "cache": {"mode": "none"}, '
-              '"metrics": {"cache_hit_rate": 0.5}, "items": []}')], "run_id string, document string")
-    got = {(r.run_id, r.violation) for r in D.contract_violations(docs).collect()}
-    assert got == {("a", "enum:cache.mode:weird"), ("a", "range:metrics.cache_hit_rate"),
-                   ("a", "range:metrics.latency_mean_sec"), ("a", "additional:metrics:bogus")}
+# one broken value for every rule kind, and the violation it must give, on an otherwise right document
+GOOD = {"run_id": "a", "timestamp": None, "model": {"provider": "p", "name": "n", "params": {"stop": 1}},
+        "dataset": {"name": "d"}, "cache": {"mode": "custom-semantic", "similarity_threshold": 0.5},
+        "metrics": {"cache_hit_rate": 1, "bad_cache_hit_rate": 0.0, "cache_accuracy": 0.5, "correctness": 1.0, "latency_mean_sec": 2,
+                    "cache_statistics": {"total_queries": 4.0, "cache_hits": 1, "cache_misses": 3, "bad_cache_hits": 0, "good_cache_hits": 1}},
+        "items": [{"row_index": 0, "question": "q", "expected": [], "model_output": None, "latency_sec": 0, "cache_hit": True, "correct": False}]}
+BREAKS = [
+    (("run_id",), "", "run_id", "min_length"), (("run_id",), 5, "run_id", "type"), (("metrics",), None, "metrics", "type"),
+    (("cache", "mode"), "weird", "cache.mode", "enum"), (("cache", "size"), 1, "cache.size", "additional"), (("more",), 1, "more", "additional"),
+    (("metrics", "cache_hit_rate"), "0.5", "metrics.cache_hit_rate", "type"), (("metrics", "correctness"), None, "metrics.correctness", "type"),
+    (("metrics", "latency_mean_sec"), -1, "metrics.latency_mean_sec", "minimum"), (("metrics", "cache_accuracy"), 1.5, "metrics.cache_accuracy", "maximum"),
+    (("metrics", "cache_statistics", "hit_rate"), 7, "metrics.cache_statistics.hit_rate", "maximum"),
+    (("metrics", "cache_statistics", "unknown"), 7, "metrics.cache_statistics.unknown", "additional"),
+    (("metrics", "cache_statistics", "cache_hits"), 1.5, "metrics.cache_statistics.cache_hits", "type"),
+    (("items",), "none", "items", "type"), (("items", 0, "cached"), True, "items[].cached", "additional"),
+    (("items", 0, "correct"), "yes", "items[].correct", "type"), (("items", 0, "latency_sec"), -0.5, "items[].latency_sec", "minimum"),
+    (("cache", "mode"), ..., "cache.mode", "required"), (("items", 0, "question"), ..., "items[].question", "required")]
+
+
+def broken(path, value):
+    doc = json.loads(json.dumps(GOOD))
+    at = doc
+    for p in path[:-1]:
+        at = at[p]
+    if value is ...:
+        del at[path[-1]]
+    else:
+        at[path[-1]] = value
+    return json.dumps(doc)
+
+
+def test_each_contract_rule_fires(spark):
+    docs = [(-1, json.dumps(GOOD)), (-2, "{"), (-3, "[]"), (-4, None)] + [(k, broken(p, v)) for k, (p, v, *_) in enumerate(BREAKS)]
+    got = {}
+    for r in K.contract_violations(spark.createDataFrame(docs, "k int, document string"), K.WRITTEN).collect():
+        got.setdefault(r.k, []).append((r.path, r.kind))
+    assert got.pop(-2) == got.pop(-4) == [("", "type")] and got.pop(-3) == [("", "type")]
+    assert got == {k: [(path, kind)] for k, (_, _, path, kind) in enumerate(BREAKS)}
+
+
+def test_contract_rules_are_a_table(spark):
+    for layout in (K.DECLARED, K.WRITTEN):
+        t = K.rule_table(spark, layout)
+        assert t.columns == ["path", "kind", "argument"] and t.count() == len(K.rules(layout))
+    assert ("metrics", "additional") in {(r.path, r.kind) for r in t.collect()}
