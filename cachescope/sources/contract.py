@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fields of the two layouts, with types and constraints.
@@ -165,55 +165,63 @@ def rule_table(spark: SparkSession, contract: str) -> DataFrame:
     return spark.createDataFrame(rules(contract), RULE_SCHEMA)
 
 
-def _at(root: str, path: str) -> Column:
-    return F.try_variant_get(root, f"$.{path}", "variant") if path else F.col(root)
+# ---------------------------------------------------------------------------
+# evaluation: SQL text, one expression a projection (values, then their types, then the rules)
+# ---------------------------------------------------------------------------
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "\\'") + "'"
 
-def json_type(v: Column) -> Column:
+
+def _type_sql(v: str) -> str:
     """object, array, string, boolean, null, integer or number; NULL where the field is absent."""
-    s = F.schema_of_variant(v)
-    return (F.when(s.startswith("OBJECT"), "object").when(s.startswith("ARRAY"), "array").when(s == "VOID", "null")
-            .when(s == "BIGINT", "integer").when(s.rlike(r"^DECIMAL\([0-9]+,0\)$"), "integer")
-            .when(s.startswith("DECIMAL"), "number")
-            .when(s == "DOUBLE", F.when(F.try_variant_get(v, "$", "double") % 1 == 0, "integer").otherwise("number"))
-            .otherwise(F.lower(s)))
+    return f"""CASE WHEN {v} IS NULL THEN NULL ELSE transform(array(schema_of_variant({v})), s -> CASE
+  WHEN s LIKE 'OBJECT%' THEN 'object' WHEN s LIKE 'ARRAY%' THEN 'array' WHEN s = 'VOID' THEN 'null'
+  WHEN s = 'BIGINT' OR s RLIKE '^DECIMAL[(][0-9]+,0[)]$' THEN 'integer' WHEN s LIKE 'DECIMAL%' THEN 'number'
+  WHEN s = 'DOUBLE' THEN if(try_variant_get({v}, '$', 'double') % 1 = 0, 'integer', 'number') ELSE lower(s) END)[0] END"""
 
 
-def _check(root: str, path: str, shown: str, kind: str, argument: str) -> Column:
-    """Violations of one rule, as an array of (path, kind, detail)."""
-    v = _at(root, path)
+def _rule_sql(k: dict[str, int], path: str, shown: str, kind: str, argument: str) -> str:
+    """The violation of one rule as a struct (path, kind, detail), or NULL; ``k`` numbers the paths' columns."""
+    v, t = f"_v{k[path]}", f"_t{k[path]}"
 
-    def found(where: Column, detail: Column) -> Column:
-        return F.when(where, F.array(F.struct(F.lit(shown).alias("path"), F.lit(kind).alias("kind"), detail.alias("detail"))))
+    def found(where: str, detail: str = "CAST(NULL AS STRING)") -> str:
+        return (f"CASE WHEN {where} THEN named_struct('path', {_quoted(shown)}, 'kind', {_quoted(kind)}, "
+                f"'detail', {detail}) END")
 
-    nothing = F.lit(None).cast("string")
+    names = ", ".join(_quoted(x) for x in argument.replace("|", ",").split(","))
+    text, number = f"try_variant_get({v}, '$', 'string')", f"try_variant_get({v}, '$', 'double')"
     if kind == "type":
-        allowed = argument.split("|")
-        allowed += ["integer"] if "number" in allowed else []
-        return found(~json_type(v).isin(*allowed), json_type(v))
+        return found(f"{t} NOT IN ({names}{', ' + _quoted('integer') if 'number' in argument else ''})", t)
     if kind == "required":
-        parent = _at(root, path.rpartition(".")[0])
-        return found((json_type(parent) == "object") & v.isNull(), nothing)
-    if kind == "additional":
-        keys = F.when(json_type(v) == "object", F.json_object_keys(F.to_json(v)))
-        extra = F.array_sort(F.array_except(keys, F.array(*[F.lit(k) for k in argument.split(",")])))
-        return F.transform(extra, lambda k: F.struct(
-            F.concat(F.lit(f"{shown}." if shown else ""), k).alias("path"), F.lit(kind).alias("kind"), nothing.alias("detail")))
+        return found(f"_t{k[path.rpartition('.')[0]]} = 'object' AND {v} IS NULL")
     if kind == "enum":
-        text = F.when(json_type(v) == "string", F.try_variant_get(v, "$", "string"))
-        return found(~text.isin(*argument.split(",")), text)
+        return found(f"{t} = 'string' AND {text} NOT IN ({names})", text)
     if kind == "min_length":
-        text = F.when(json_type(v) == "string", F.try_variant_get(v, "$", "string"))
-        return found(F.length(text) < int(argument), text)
-    number = F.when(json_type(v).isin("integer", "number"), F.try_variant_get(v, "$", "double"))
-    beyond = {"minimum": number < float(argument), "maximum": number > float(argument)}[kind]
-    return found(beyond, F.try_variant_get(v, "$", "string"))
+        return found(f"{t} = 'string' AND length({text}) < {int(argument)}", text)
+    return found(f"{t} IN ('integer', 'number') AND {number} {'<' if kind == 'minimum' else '>'} {float(argument)}D", text)
+
+
+def _extra_sql(k: dict[str, int], path: str, shown: str, argument: str) -> str:
+    """Violations of one closed object."""
+    known = ", ".join(_quoted(x) for x in argument.split(","))
+    prefix = _quoted(f"{shown}." if shown else "")
+    return f"""coalesce(CASE WHEN _t{k[path]} = 'object' THEN transform(
+  array_sort(array_except(json_object_keys(to_json(_v{k[path]})), array({known}))),
+  x -> named_struct('path', concat({prefix}, x), 'kind', 'additional', 'detail', CAST(NULL AS STRING))) END, array())"""
 
 
-def _all(root: str, some: list[tuple[str, str, str, str]]) -> Column:
-    """Violations of all rules (path, shown path, kind, argument)."""
-    none = F.array().cast("array<struct<path:string,kind:string,detail:string>>")
-    return F.flatten(F.array(*[F.coalesce(_check(root, *r), none) for r in some]))
+def _violations(d: DataFrame, keep: list[str], root: str, some: list[tuple[str, str, str, str]]) -> DataFrame:
+    """``keep`` of ``d`` with one row a violation of the rules (path, shown path, kind, argument) on the VARIANT ``root``."""
+    k = {p: n for n, p in enumerate(dict.fromkeys(["", *[r[0] for r in some]]))}
+    values = [f"{root} AS _v{n}" if not p else f"try_variant_get({root}, '$.{p}', 'variant') AS _v{n}" for p, n in k.items()]
+    kept = [f"`{c}`" for c in keep]
+    d = d.selectExpr(*kept, *values)
+    d = d.selectExpr(*kept, *[f"_v{n}" for n in k.values()], *[f"{_type_sql(f'_v{n}')} AS _t{n}" for n in k.values()])
+    single = ",\n".join(_rule_sql(k, *r) for r in some if r[2] != "additional")
+    extra = [_extra_sql(k, p, shown, a) for p, shown, kind, a in some if kind == "additional"]
+    found = f"concat({', '.join([f'filter(array({single}), x -> x IS NOT NULL)', *extra])})"
+    return d.selectExpr(*kept, f"inline({found})")
 
 
 def contract_violations(docs: DataFrame, contract: str = WRITTEN, doc: str = "document") -> DataFrame:
@@ -221,12 +229,12 @@ def contract_violations(docs: DataFrame, contract: str = WRITTEN, doc: str = "do
     keep = [c for c in docs.columns if c != doc]
     own = [(p, p, k, a) for p, k, a in rules(contract) if not p.startswith(ITEM)]
     each = [(p[len(ITEM) + 1:], p, k, a) for p, k, a in rules(contract) if p.startswith(ITEM)]
-    d = docs.withColumn("_v", F.try_parse_json(doc))
-    broken = F.array(F.struct(F.lit("").alias("path"), F.lit("type").alias("kind"), F.lit("not JSON").alias("detail")))
-    whole = d.select(*keep, F.lit(None).cast("int").alias("item"),
-                     F.inline(F.when(F.col("_v").isNull(), broken).otherwise(_all("_v", own))))
-    items = F.when(json_type(_at("_v", "items")) == "array", _at("_v", "items"))
-    parts = d.select(*keep, items.alias("_items")).where(F.col("_items").isNotNull()).lateralJoin(
-        docs.sparkSession.tvf.variant_explode(F.col("_items").outer()))
-    inside = parts.select(*keep, F.col("pos").alias("item"), F.inline(_all("value", each)))
-    return reduce(DataFrame.unionByName, [whole, inside])
+    d = docs.withColumn("_v", F.try_parse_json(doc)).withColumn("item", F.lit(None).cast("int"))
+    broken = d.where(F.col("_v").isNull()).selectExpr(
+        *[f"`{c}`" for c in [*keep, "item"]], "'' AS path", "'type' AS kind", "'not JSON' AS detail")
+    whole = _violations(d.where(F.col("_v").isNotNull()), [*keep, "item"], "_v", own)
+    parts = d.selectExpr(*[f"`{c}`" for c in keep], "try_variant_get(_v, '$.items', 'variant') AS _items").where(
+        "schema_of_variant(_items) LIKE 'ARRAY%'")
+    parts = parts.lateralJoin(docs.sparkSession.tvf.variant_explode(F.col("_items").outer()))
+    inside = _violations(parts.select(*keep, F.col("pos").alias("item"), "value"), [*keep, "item"], "value", each)
+    return reduce(DataFrame.unionByName, [broken, whole, inside])
