@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cachescope.operators.metrics import reliability
+from cachescope.sources.run_files import PATTERN, write_run_files
 
 # ---------------------------------------------------------------------------
 # The summary contract of the reference, in its order.
@@ -121,13 +122,16 @@ def document_struct(cfg: dict[str, Column], m: str = "") -> Column:
 
 
 def to_documents(df: DataFrame, cfg: dict[str, Column]) -> DataFrame:
-    """(run_id, document JSON text), one row per run."""
-    return df.select("run_id", F.to_json(document_struct(cfg), {"ignoreNullFields": "false"}).alias("document"))
+    """(run_id, document JSON text), one row per run; the dataset has ``subset`` or ``subsets``, never both."""
+    doc, keep = document_struct(cfg), {"ignoreNullFields": "false"}
+    text = F.when(doc["dataset"]["subset"].isNotNull(), F.to_json(doc.dropFields("dataset.subsets"), keep)).otherwise(
+        F.to_json(doc.dropFields("dataset.subset"), keep))
+    return df.select("run_id", text.alias("document"))
 
 
-def write_documents(docs: DataFrame, path: str) -> None:
-    """A4: one document per run, in a folder per run (``run_id=<id>``)."""
-    docs.select("run_id", "document").write.mode("overwrite").partitionBy("run_id").text(path)
+def write_documents(docs: DataFrame, path: str, pattern: str = PATTERN) -> None:
+    """A4: one file per run, named by ``pattern`` (columns of ``docs`` in braces)."""
+    write_run_files(docs, path, pattern)
 
 
 def write_items(items: DataFrame, path: str) -> None:
@@ -141,8 +145,8 @@ def write_items(items: DataFrame, path: str) -> None:
 # ---------------------------------------------------------------------------
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """A3: every file under ``path`` as one row (result_file, document)."""
-    raw = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(path)
+    """A3: every ``*.json`` file of the folder ``path``, not of folders below it, as one row (result_file, document)."""
+    raw = spark.read.option("wholetext", "true").option("pathGlobFilter", "*.json").text(path)
     return raw.select(F.col("_metadata.file_path").alias("result_file"), F.col("value").alias("document"))
 
 

@@ -3,6 +3,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from cachescope.plans import catalog as C
@@ -15,6 +16,14 @@ def test_documents_round_trip(spark, scratch):
     docs = C.run_documents(spark, SF001)
     raw = f"{scratch}/raw"
     D.write_documents(docs, raw)
+    assert sorted(os.listdir(raw)) == sorted(["_temporary", *[f"{r.run_id}.json" for r in docs.collect()]])
+    written = {r.run_id: json.loads(r.document) for r in docs.collect()}
+    assert all(json.load(open(f"{raw}/{k}.json")) == d for k, d in written.items())
+    assert all(("subset" in d["dataset"]) != ("subsets" in d["dataset"]) for d in written.values())
+    os.makedirs(f"{raw}/below")
+    for stray in ("below/other.json", "notes.txt"):                 # neither is a run document of this folder
+        with open(f"{raw}/{stray}", "w") as f:
+            f.write("{}")
     with open(f"{raw}/broken.json", "w") as f:
         f.write("{not json")
     with open(f"{raw}/partial.json", "w") as f:
@@ -84,3 +93,22 @@ def test_contract_rules_are_a_table(spark):
         t = K.rule_table(spark, layout)
         assert t.columns == ["path", "kind", "argument"] and t.count() == len(K.rules(layout))
     assert ("metrics", "additional") in {(r.path, r.kind) for r in t.collect()}
+
+
+def test_named_run_files(spark, scratch):
+    docs = spark.createDataFrame([("002", 7, '{"é": 1}'), ("003", 8, None)], "run_id string, seed int, document string")
+    D.write_documents(docs.repartition(2), f"{scratch}/out", "smoke-{run_id}-{seed}.json")
+    assert open(f"{scratch}/out/smoke-002-7.json", encoding="utf-8").read() == '{"é": 1}'
+    assert open(f"{scratch}/out/smoke-003-8.json").read() == ""
+    D.write_documents(docs.where("run_id = '002'"), f"{scratch}/out", "smoke-{run_id}.json")
+    assert sorted(os.listdir(f"{scratch}/out")) == ["_temporary", "smoke-002-7.json", "smoke-002.json", "smoke-003-8.json"]
+    assert os.listdir(f"{scratch}/out/_temporary") == []
+
+
+def test_run_files_of_one_name_fail_the_job(spark, scratch):
+    docs = spark.createDataFrame([("a", "1"), ("a", "2")], "run_id string, document string")
+    with pytest.raises(Exception, match="several documents"):
+        D.write_documents(docs, f"{scratch}/out")
+    with pytest.raises(Exception, match="not a file name"):
+        D.write_documents(docs, f"{scratch}/out", "../{run_id}.json")
+    assert not [f for f in os.listdir(f"{scratch}/out") if f.endswith(".json")]
