@@ -2,9 +2,7 @@
 
 All aggregates are ``groupBy(run)`` with map-side partial aggregation, except
 the exact nearest-rank percentiles, which avoid buffering a run's values in one
-task: latencies are pre-aggregated to (run, value, count), a chunked running
-count gives each distinct value its rank interval, and the value whose interval
-holds rank k is picked.
+task: a sketch brackets the rank, and only the values of the bracket are counted one by one.
 """
 
 from __future__ import annotations
@@ -12,26 +10,48 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cachescope.functions.grading import safe_ratio
-from cachescope.operators.scan import log_chunks, pos_chunk, running
+from cachescope.operators.scan import pos_chunk, running
 from cachescope.session import cut_lineage
 
 
+#: Relative rank error of the quantile sketch; the exact rank is looked for within twice that on both sides.
+SKETCH_ERROR = 1 / 20_000
+
+
 def nearest_rank(df: DataFrame, part: Sequence[str], value: str,
                  percents: Sequence[float] = (95.0, 99.0), prefix: str = "p") -> DataFrame:
     """Exact nearest-rank percentiles, index ``ceil(p/100 * n) - 1``.
 
     One row per group with columns ``{prefix}{p:g}``.  NULL values are ignored.
+
+    Selection, not sorting: a quantile sketch of each group brackets every percentile by two values whose ranks are
+    within ``4 * SKETCH_ERROR * n`` of each other, whatever the distribution.  One aggregate then counts the values of
+    the brackets one by one and everything between two brackets as one row, so a running count over these few rows
+    finds the value that holds the rank.  Were a bracket ever to miss its rank, the job fails; it never answers by the sketch.
     """
     part = list(part)
-    d = df.where(F.col(value).isNotNull()).groupBy(*part, value).agg(F.count(F.lit(1)).alias("_c"))
-    d = log_chunks(d, value, name="_vchunk")
-    d = running(d, part, [value], "_vchunk", [("_cum", "sum", F.col("_c"))], inclusive=True)
-    totals = d.groupBy(*part).agg(F.sum("_c").alias("_n"))
-    d = d.join(totals, part)
+    d = df.where(F.col(value).isNotNull()).select(*part, F.col(value).alias("_v"))
+    ends = [q for p in percents for q in (p / 100 - 2 * SKETCH_ERROR, p / 100 + 2 * SKETCH_ERROR)]
+    inner = [min(max(q, 0.0), 1.0) for q in ends]
+    sketch = d.groupBy(*part).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
+        F.percentile_approx("_v", inner, int(1 / SKETCH_ERROR)).alias("_q"))
+    bounds = [F.col("_min") if q <= 0 else F.col("_max") if q >= 1 else F.get("_q", F.lit(k)) for k, q in enumerate(ends)]
+    sketch = sketch.select(*part, "_n", *[b.alias(f"_b{k}") for k, b in enumerate(bounds)])
+    low, high = ([F.col(f"_b{k}") for k in range(at, len(ends), 2)] for at in (0, 1))
+    inside = F.lit(False)
+    for lo, hi in zip(low, high):
+        inside |= (F.col("_v") >= lo) & (F.col("_v") <= hi)
+    # what lies between two brackets stands behind the upper end of the one below it
+    behind = F.greatest(*[F.when(hi < F.col("_v"), hi) for hi in high], F.lit(None).cast(df.schema[value].dataType))
+    d = d.join(sketch, part).select(*part, "_n", F.when(inside, F.col("_v")).otherwise(behind).alias("_at"), (~inside).alias("_gap"))
+    d = d.groupBy(*part, "_n", "_at", "_gap").agg(F.count(F.lit(1)).alias("_c"))
+    order = Window.partitionBy(*part).orderBy(F.col("_at").asc_nulls_first(), "_gap")
+    d = d.withColumn("_cum", F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     aggs = []
     for p in percents:
         if p <= 0:
@@ -41,7 +61,8 @@ def nearest_rank(df: DataFrame, part: Sequence[str], value: str,
         else:
             k = F.greatest(F.lit(0), F.ceil(F.lit(p / 100.0) * F.col("_n")) - 1)
         hit = (F.col("_cum") > k) & (F.col("_cum") - F.col("_c") <= k)
-        aggs.append(F.max(F.when(hit, F.col(value))).alias(f"{prefix}{p:g}"))
+        found = F.when(F.col("_gap"), F.raise_error(F.lit("percentile outside its bracket")).cast(df.schema[value].dataType)).otherwise(F.col("_at"))
+        aggs.append(F.max(F.when(hit, found)).alias(f"{prefix}{p:g}"))
     return d.groupBy(*part).agg(*aggs)
 
 

@@ -42,18 +42,6 @@ def value_chunks(df: DataFrame, part: Sequence[str], order_col: str,
     return out.withColumn(name, F.coalesce(chunk, F.lit(0))).drop("_mn", "_w", "_k")
 
 
-def log_chunks(df: DataFrame, order_col: str, per_octave: int = 16, name: str = "_chunk") -> DataFrame:
-    """Add ``name``: a monotone log-scale chunk of a numeric column, no statistics pass.
-
-    Values within a factor 2^(1/per_octave) share a chunk; negative values map
-    below zero, zero to 0.  Suited to positive, widely spread values such as
-    latencies (after pre-aggregating duplicates)."""
-    v = F.col(order_col).cast("double")
-    mag = F.floor(F.log2(F.abs(v)) * per_octave) + F.lit(1_000_000)
-    chunk = F.when(v > 0, mag).when(v < 0, -mag).otherwise(F.lit(0))
-    return df.withColumn(name, chunk.cast("long"))
-
-
 def _combine(kind: str, carry: Column, local: Column) -> Column:
     if kind in ("sum", "count"):
         return F.coalesce(carry, F.lit(0)) + F.coalesce(local, F.lit(0))
