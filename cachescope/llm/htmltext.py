@@ -11,12 +11,14 @@ feature (block tag, semantic ancestors, class/id/role words; not those of elemen
 content, ``page_wide``, which cannot tell the blocks of a page apart) and per tag a smoothed log odds is counted
 in Spark over a documented sample of about ``SAMPLE_PAGES`` pages (by a hash of ``page_id``);
 the ``MAX_FEATURES`` most frequent features make the broadcast.  The marks themselves are no feature.  Features never
-seen fall back to fixed hints (names of usual boilerplate) and words to a small
-positive score.
+seen fall back to fixed hints (names of usual boilerplate; inside the marked content only a class whose words are all
+hints) and words to a small positive score.
 
 Extraction is one Arrow pass, a page at a time: no shuffle, memory bounded by a page.
 Character references are decoded, white space inside a block becomes one space,
-blocks are joined by an empty line; nothing else is dropped or capped.
+blocks are joined by an empty line; nothing else is dropped or capped: hidden elements, formulas, figures and the like stay where
+their block stays.  What holds below an element is kept on the element, so time is linear in the page, however deep or
+broken its markup.
 
 Defined results: null, empty or text-less html gives an empty text and 0; broken markup (unclosed,
 truncated) is read as far as it goes; repeated pages give repeated rows; without
@@ -46,7 +48,7 @@ LIMIT = 6.0              # of any learned log odds
 
 # Elements without text of their own, kinds of elements and words that name boilerplate.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript template iframe object svg math canvas textarea title head select".split())
+RAW = set("script style template iframe textarea title head select".split())
 BLOCKS = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption "
              "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup p pre "
              "section summary table tbody td tfoot th thead tr ul".split())
@@ -63,7 +65,7 @@ HINTS = set("ad ads advert adverts advertisement advertising sponsor sponsored p
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(/?)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+ATTRIBUTE = re.compile(r"\b(class|id|role)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 NAME_WORDS = re.compile(r"[a-z0-9]+")
 CLOSE = {tag: re.compile(rf"</{tag}(?=[\s>/]|\Z)", re.I | re.A) for tag in RAW}
 BODY = re.compile(r"<body(?=[\s>/]|\Z)", re.I | re.A)
@@ -71,10 +73,17 @@ BODY = re.compile(r"<body(?=[\s>/]|\Z)", re.I | re.A)
 
 @dataclass
 class Element:
+    """An open element.  What holds for all blocks below it is kept here once, so a block costs nothing by its depth."""
     tag: str
     names: tuple[str, ...] = ()      # words of class, id and role
-    hidden: bool = False
     parent: Element | None = None
+    blocks: int = 0                  # open block elements, this one included
+    marked: bool = False             # inside <article> or <main>
+    own: Element | None = None       # the innermost block element whose tag says something
+    adds: tuple[str, ...] = ()       # features that this element brings to its blocks
+    worst: float | None = None       # least and greatest evidence of the features so far
+    best: float | None = None
+    words: list[int] = field(default_factory=lambda: [0, 0, 0, 0])   # out of, in marks, below; the same as own
 
 
 @dataclass
@@ -82,23 +91,25 @@ class Block:
     """A run of text of one block, with what surrounds it."""
     element: Element | None = None   # the innermost open one
     words: str = ""                  # the text, cleaned
-    features: tuple[str, ...] = ()
-    marked: bool = False             # inside <article> or <main>
     text: list[str] = field(default_factory=list)
     before: list[str] = field(default_factory=list)      # tags since the last block
 
+    @property
+    def marked(self) -> bool:
+        return self.element is not None and self.element.marked
+
+    @property
+    def features(self) -> tuple[str, ...]:
+        """All context features, outermost first."""
+        out = [f for e in reversed(_path(self.element)) for f in e.adds]
+        return tuple(dict.fromkeys(out + _own_feature(self.element)))
 
-def _element(tag: str, attributes: str) -> Element:
-    names, hidden = [], False
-    for name, value in ATTRIBUTE.findall(attributes) if attributes else ():
-        name, value = name.lower(), value.strip("\"'").lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            hidden = True
-        elif name == "style":
-            hidden = hidden or "display:none" in value.replace(" ", "")
-        else:
-            names += NAME_WORDS.findall(value)
-    return Element(tag, tuple(names), hidden)
+
+def _element(tag: str, attributes: str, parent: Element | None) -> Element:
+    names: list[str] = []
+    for _, value in ATTRIBUTE.findall(attributes) if attributes else ():
+        names += NAME_WORDS.findall(value.lower())
+    return Element(tag, tuple(names), parent, (parent.blocks if parent else 0) + (tag in BLOCKS))
 
 
 def _path(e: Element | None) -> list[Element]:
@@ -110,31 +121,26 @@ def _path(e: Element | None) -> list[Element]:
     return out
 
 
-def _features(block: Block, wide: set[int]) -> tuple[tuple[str, ...], bool]:
-    """Context features of a block but for those of the elements ``wide`` (ids), and whether it is marked as content."""
-    out, marked, own = [], False, None
-    for e in reversed(_path(block.element)):
-        if e.tag in ("article", "main"):
-            marked = True
-        if e.tag in BLOCKS:
-            own = e
-        if e.tag == "header" and marked:
+def _own_feature(e: Element | None) -> list[str]:
+    own = e.own if e is not None else None
+    return [f"t:{own.tag}"] if own is not None and own.tag not in WRAPPERS and own.tag != "header" else []
+
+
+def _annotate(elements: list[Element], wide: set[int]) -> None:
+    """Marks and features of the elements (parents first); those of the elements ``wide`` (ids) say nothing."""
+    for e in elements:
+        e.marked = e.tag in ("article", "main") or (e.parent is not None and e.parent.marked)
+        e.own = e if e.tag in BLOCKS else e.parent.own if e.parent is not None else None
+        if e.tag == "header" and e.marked:
             continue                      # the heading of an article
         if id(e) in wide:
-            own = None if own is e and e.tag in BOILERPLATE else own
-            continue
-        if e.tag in BOILERPLATE:
-            out.append(f"t:{e.tag}")
-        if e.hidden:
-            out.append("hidden")
-        out += [f"c:{n}" for n in e.names]
-    if own is not None and own.tag not in WRAPPERS and own.tag != "header":
-        out.append(f"t:{own.tag}")
-    return tuple(dict.fromkeys(out)), marked
+            e.own = None if e.own is e and e.tag in BOILERPLATE else e.own
+        else:
+            e.adds = ((f"t:{e.tag}",) if e.tag in BOILERPLATE else ()) + tuple(f"c:{n}" for n in dict.fromkeys(e.names))
 
 
-def page_wide(blocks: list[Block]) -> set[int]:
-    """Ids of the elements around the whole content of a page.
+def page_wide(blocks: list[Block]) -> tuple[set[int], list[Element]]:
+    """Ids of the elements around the whole content of a page, and all elements with text, parents first.
 
     These are html, body, and ``<main>`` (else the largest ``<article>``, if it has a fifth of the page's words)
     with what holds it; without such marks what holds the first h1 and more than half of the words, or without
@@ -158,41 +164,86 @@ def page_wide(blocks: list[Block]) -> set[int]:
     wide = {id(e) for e in seen if e.tag in ("html", "body")}
     marks = [e for e in seen if e.tag == "main" or (e.tag == "article" and 5 * size[id(e)] >= total)]
     if marks:
-        return wide | {id(e) for e in _path(max(marks, key=lambda e: (e.tag == "main", size[id(e)])))}
+        return wide | {id(e) for e in _path(max(marks, key=lambda e: (e.tag == "main", size[id(e)])))}, seen
     heading = next((e for e in seen if e.tag == "h1"), None)
     if heading is not None:
-        return wide | {id(e) for e in _path(heading.parent) if 2 * size[id(e)] > total}
-    return wide | {id(e) for e in seen if 10 * size[id(e)] >= 9 * total}
+        return wide | {id(e) for e in _path(heading.parent) if 2 * size[id(e)] > total}, seen
+    return wide | {id(e) for e in seen if 10 * size[id(e)] >= 9 * total}, seen
 
 
-def read_page(page: str) -> list[Block]:
-    """Blocks of a page that have words, with their features."""
+def read_page(page: str) -> tuple[list[Block], list[Element]]:
+    """Blocks of a page that have words, and its elements around them with their features, parents first."""
     out = []
     for block in blocks_of(page):
         block.words = clean(block.text)
         if block.words:
             out.append(block)
-    wide = page_wide(out)
-    for block in out:
-        block.features, block.marked = _features(block, wide)
-    return out
+    wide, elements = page_wide(out)
+    _annotate(elements, wide)
+    return out, elements
+
+
+class OpenElements:
+    """The stack of open elements; every step costs what it opens or closes."""
+
+    def __init__(self):
+        self.stack: list[Element] = []
+        self.count: Counter[str] = Counter()
+        self.paragraphs: list[int] = []                  # places of the open <p>
+
+    @property
+    def top(self) -> Element | None:
+        return self.stack[-1] if self.stack else None
+
+    def push(self, tag: str, attributes: str) -> None:
+        if tag == "p":
+            self.paragraphs.append(len(self.stack))
+        self.stack.append(_element(tag, attributes, self.top))
+        self.count[tag] += 1
+
+    def pop(self) -> str:
+        tag = self.stack.pop().tag
+        self.count[tag] -= 1
+        if tag == "p":
+            self.paragraphs.pop()
+        return tag
+
+    def close(self, tag: str) -> None:
+        """Close the innermost ``tag`` and what is open inside it; nothing if there is none."""
+        if self.count[tag]:
+            while self.pop() != tag:
+                pass
+
+    def end_paragraph(self) -> None:
+        """A block ends an open paragraph that no block inside it protects."""
+        if self.paragraphs and self.top.blocks == self.stack[self.paragraphs[-1]].blocks:
+            at = self.paragraphs[-1]
+            while len(self.stack) > at:
+                self.pop()
 
 
 def blocks_of(page: str) -> Iterator[Block]:
     """Blocks of a page in order; the last one may be empty and holds the closing tags."""
-    stack: list[Element] = []
+    opened = OpenElements()
     block = Block()
     at, n = 0, len(page)
+    unclosed: set[str] = set()                           # raw elements (and body) that come no more
 
     def flush() -> Iterator[Block]:
         nonlocal block
         if any(t and not t.isspace() for t in block.text):
-            block.element = stack[-1] if stack else None
+            block.element = opened.top
             yield block
             block = Block()
         else:
             block.text = []
 
+    def find(name: str, pattern: re.Pattern) -> re.Match | None:
+        m = None if name in unclosed else pattern.search(page, at)
+        if m is None:
+            unclosed.add(name)
+        return m
+
     while at < n:
         m = TOKEN.search(page, at)
         if m is None:
@@ -208,19 +259,17 @@ def blocks_of(page: str) -> Iterator[Block]:
         if m.group(1):
             if tag in BLOCKS:
                 yield from flush()
-            if any(e.tag == tag for e in stack):
-                while stack.pop().tag != tag:
-                    pass
+            opened.close(tag)
             block.before.append(f"/{tag}")
             continue
         if tag in RAW:
             if not m.group(4):
-                end = CLOSE[tag].search(page, at)
+                end = find(tag, CLOSE[tag])
                 if end is not None:
                     close = page.find(">", end.end())
                     at = n if close < 0 else close + 1
                 elif tag == "head":            # without its end, and maybe without body: its elements are skipped one by one
-                    body = BODY.search(page, at)
+                    body = find("body", BODY)
                     at = at if body is None else body.start()
                 else:
                     at = n
@@ -228,20 +277,15 @@ def blocks_of(page: str) -> Iterator[Block]:
             continue
         if tag in BLOCKS:
             yield from flush()
-            if tag in NO_P and stack and any(e.tag == "p" for e in stack):
-                # a block ends an open paragraph
-                k = max(i for i, e in enumerate(stack) if e.tag == "p")
-                if not any(e.tag in BLOCKS for e in stack[k + 1:]):
-                    del stack[k:]
-            elif tag in ("li", "dt", "dd", "tr", "td", "th") and stack and stack[-1].tag == tag:
-                stack.pop()
+            if tag in NO_P:
+                opened.end_paragraph()
+            elif tag in ("li", "dt", "dd", "tr", "td", "th") and opened.top is not None and opened.top.tag == tag:
+                opened.pop()
         elif tag == "br":
             block.text.append(" ")
         block.before.append(tag)
         if tag not in VOID and not m.group(4):
-            element = _element(tag, m.group(3))
-            element.parent = stack[-1] if stack else None
-            stack.append(element)
+            opened.push(tag, m.group(3))
     yield from flush()
     block.text = []
     yield block
@@ -256,18 +300,29 @@ class Weights:
     features: dict[str, float]       # log odds of content, a word of that context
     tags: dict[str, float]           # score of a tag, negative
 
-    def word(self, features: tuple[str, ...]) -> float:
-        """The most negative evidence decides; else the best of the positive."""
-        known = []
-        for f in features:
-            w = self.features.get(f)
-            if w is None:
-                kind, name = f[0], f[2:]
-                if f == "hidden" or (kind == "c" and name in HINTS) or (kind == "t" and name in BOILERPLATE):
-                    w = HINT_SCORE
-                else:
-                    w = WORD_SCORE
-            known.append(w)
+    def feature(self, f: str, named: bool = True) -> float:
+        """Evidence of one feature; a name that was never learned is a hint only if ``named``."""
+        w = self.features.get(f)
+        if w is None:
+            hint = f[2:] in BOILERPLATE if f[0] == "t" else named and f[2:] in HINTS
+            w = HINT_SCORE if hint else WORD_SCORE
+        return w
+
+    def weigh(self, elements: list[Element]) -> None:
+        """Least and greatest evidence on the way to each element (parents first)."""
+        for e in elements:
+            # inside the marked content a name of which only a part is a hint says nothing
+            named = not e.marked or all(n in HINTS for n in e.names)
+            known = [self.feature(f, named) for f in e.adds]
+            if e.parent is not None and e.parent.worst is not None:
+                known += [e.parent.worst, e.parent.best]
+            e.worst, e.best = min(known, default=None), max(known, default=None)
+
+    def word(self, e: Element | None) -> float:
+        """Score of a word below ``e``: the most negative evidence decides; else the best of the positive."""
+        known = [self.feature(f) for f in _own_feature(e)]
+        if e is not None and e.worst is not None:
+            known += [e.worst, e.best]
         worst = min(known, default=WORD_SCORE)
         return worst if worst < 0 else max(known, default=WORD_SCORE)
 
@@ -281,9 +336,11 @@ def extract_page(page: str | None, weights: Weights) -> str:
         return ""
     best, best_at, total, start = 0.0, (0, 0), 0.0, 0
     kept: list[tuple[str, bool]] = []
-    for block in read_page(page):
+    blocks, elements = read_page(page)
+    weights.weigh(elements)
+    for block in blocks:
         words = block.words
-        score = weights.word(block.features)
+        score = weights.word(block.element)
         gap = sum(weights.tag(t) for t in block.before)
         value = score * len(words.split())
         # linear scan: a region that has sunk to nothing starts anew at this block
@@ -302,20 +359,47 @@ def extract_page(page: str | None, weights: Weights) -> str:
 # weights
 # ---------------------------------------------------------------------------
 
+def _page_counts(page: str, counts: dict[bool, Counter]) -> None:
+    """Add words (tags) of each feature in and out of the marked content; a block counts once for a feature."""
+    blocks, elements = read_page(page)
+    for block in blocks:
+        n, e = len(block.words.split()), block.element
+        for t in block.before:
+            counts[block.marked][f"<{t.lstrip('/')}"] += 1
+        counts[block.marked]["#"] += n
+        if e is not None:
+            e.words[block.marked] += n
+            if e.own is not None:
+                e.own.words[2 + block.marked] += n
+    for e in reversed(elements):
+        if e.parent is not None:
+            e.parent.words[0] += e.words[0]
+            e.parent.words[1] += e.words[1]
+    active: Counter[str] = Counter()                     # features of the open elements
+    opened: list[Element] = []
+    for e in elements:
+        while opened and opened[-1] is not e.parent:
+            active.subtract(opened.pop().adds)
+        for f in e.adds:
+            if not active[f]:
+                counts[False][f] += e.words[0]
+                counts[True][f] += e.words[1]
+        if e.tag not in BOILERPLATE:
+            for f in _own_feature(e) if e.own is e else ():
+                counts[False][f] += e.words[2]
+                counts[True][f] += e.words[3]
+        active.update(e.adds)
+        opened.append(e)
+
+
 def _labelled_counts(pages: DataFrame) -> DataFrame:
     """(feature, inside, outside): words (tags) of each feature in and out of the marked content."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            inside, outside = Counter(), Counter()
+            counts: dict[bool, Counter] = {True: Counter(), False: Counter()}
             for page in batch.column(0).to_pylist():
-                for block in read_page(page):
-                    words = len(block.words.split())
-                    to = inside if block.marked else outside
-                    for f in block.features:
-                        to[f] += words
-                    for t in block.before:
-                        to[f"<{t.lstrip('/')}"] += 1
-                    to["#"] += words
+                _page_counts(page, counts)
+            inside, outside = counts[True], counts[False]
             names = sorted(inside.keys() | outside.keys())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.string()), pa.array([inside[k] for k in names], pa.int64()),

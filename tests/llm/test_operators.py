@@ -391,7 +391,7 @@ def test_html_page_wide_names():
                      f'<body><form class="theme">{inner}{side}</form><footer>Foot</footer></body>'):
             assert htmltext.extract_page(page, weights) == want, page
     # a theme's wrapper says nothing, in the counts neither
-    block = htmltext.read_page(f'<body class="has-sidebar">{side}<article>{text}</article></body>')
+    block, _ = htmltext.read_page(f'<body class="has-sidebar">{side}<article>{text}</article></body>')
     assert [("c:sidebar" in b.features, b.marked) for b in block] == [(True, False)] + [(False, True)] * 3
 
 
