@@ -38,7 +38,8 @@ from cachescope.llm.common import connected_components, materialise, ship_packag
 
 THRESHOLD = 0.93
 BLOCK = 2048
-SLACK = 1e-9
+SLACK = 1e-9             # radius of a node of equal points
+ROUNDING = 1e-7          # of a distance: sqrt(2 - 2 cos) near cos = 1 is off by up to 2e-8
 
 
 class CoverTree:
@@ -99,7 +100,7 @@ def dual_links(a: CoverTree, b: CoverTree, threshold: float = THRESHOLD):
         cos = a.x[a.centre_[na]] @ b.x[b.centre_[nb]].T
         d = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * cos))
         reach = a.radius_[na][:, None] + b.radius_[nb][None, :]
-        live = d <= reach + far + SLACK
+        live = d <= reach + far + ROUNDING
         single = np.array([len(a.members[n]) == 1 for n in na])[:, None] & np.array(
             [len(b.members[n]) == 1 for n in nb])[None, :]
         i, j = np.nonzero(single & (cos >= threshold))
@@ -107,7 +108,7 @@ def dual_links(a: CoverTree, b: CoverTree, threshold: float = THRESHOLD):
             yield a.centre_[na[i]], b.centre_[nb[j]]
         for i, j in zip(*np.nonzero(live & ~single)):
             ma, mb = a.members[na[i]], b.members[nb[j]]
-            if d[i, j] + reach[i, j] <= far - SLACK:
+            if d[i, j] + reach[i, j] <= far - ROUNDING:
                 yield np.repeat(ma, len(mb)), np.tile(mb, len(ma))
                 continue
             pa_, pb_ = a.parts(na[i]), b.parts(nb[j])

@@ -99,8 +99,11 @@ def mix_documents(docs: DataFrame, weights=cyclic_weights, cap: float = CAP, tot
     t = materialise(share_targets(weights(per), cap, total), "mix-targets").select(
         F.col("source").alias("_mix_source"), F.col("rate").alias("_mix_rate"))
     u = F.when(F.col("doc_id").isNull(), uniform(seed, text=F.col("text"))).otherwise(uniform(seed))
+    # columns of any name travel under a number
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)], u.alias("_u"))
+    rows = rows.join(t, F.col(f"c{names.index('source')}").eqNullSafe(F.col("_mix_source")), "left")
     rate = F.col("_mix_rate")
-    copies = (F.floor(rate) + (u < rate - F.floor(rate)).cast("long")).cast("int")
-    rows = docs.join(t, docs["source"].eqNullSafe(t["_mix_source"]), "left").withColumn("_mix_copies", copies)
-    rows = rows.where("_mix_copies > 0").withColumn("_mix_i", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
-    return rows.select(*[F.col(f"`{c}`") for c in names])
+    copies = (F.floor(rate) + (F.col("_u") < rate - F.floor(rate)).cast("long")).cast("int")
+    rows = rows.withColumn("_copies", copies).where("_copies > 0").withColumn(
+        "_i", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return rows.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(names)])

@@ -26,7 +26,7 @@ and html are read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cachescope.llm.common import materialise
@@ -84,8 +84,9 @@ def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, tole
     nodes = start.unionByName(edges.select("kind", F.col("dst").alias("host"), F.lit(0.0).alias("seed")))
     nodes = nodes.groupBy("kind", "host").agg(F.sum("seed").alias("seed"))
     goes = edges.select("kind", F.col("src").alias("host"), F.lit(1.0).alias("_on")).distinct()
-    total = F.sum("seed").over(Window.partitionBy("kind"))
-    rank = materialise(nodes.join(goes, ["kind", "host"], "left").select(
+    totals = nodes.groupBy("kind").agg(F.sum("seed").alias("_total"))            # two rows
+    total = F.col("_total")
+    rank = materialise(nodes.join(F.broadcast(totals), "kind").join(goes, ["kind", "host"], "left").select(
         "kind", "host", "seed", F.col("_on").isNotNull().alias("on"),
         F.when(total > 0, F.col("seed") / total).otherwise(F.lit(0.0)).alias("jump"),
         F.col("seed").alias("mass")), "host-rank")

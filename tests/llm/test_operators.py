@@ -54,6 +54,9 @@ def test_mix(spark, docs):
     assert again == {(r["doc_id"], r["taken"]) for r in rows}
     mixed = mixing.mix_documents(docs)
     assert mixed.columns == docs.columns
+    clash = docs.withColumn("_mix_rate", F.lit(1)).withColumn("_mix_source", F.lit("x")).withColumn("c0", F.lit("y"))
+    assert mixing.mix_documents(clash).columns == clash.columns
+    assert sorted(map(str, mixing.mix_documents(clash).select(*docs.columns).collect())) == sorted(map(str, mixed.collect()))
     assert mixed.count() == sum(r["copies"] for r in rows)
 
 
