@@ -90,12 +90,13 @@ def embed_text(docs: DataFrame, text_col: str = "prompt", encoder: str = "hashed
         from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
         from pyspark.ml.functions import vector_to_array
         pipe = Pipeline(stages=[
-            RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=r"\p{L}+|[0-9]+", gaps=False),
+            RegexTokenizer(inputCol="_text", outputCol="_tok", pattern=r"\p{L}+|[0-9]+", gaps=False),
             HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=dim),
             IDF(inputCol="_tf", outputCol="_idf"),
             Normalizer(inputCol="_idf", outputCol="_n", p=2.0)])
+        docs = docs.withColumn("_text", F.coalesce(text_col, F.lit("")))
         out = pipe.fit(docs).transform(docs)
-        return out.withColumn(out_col, vector_to_array("_n", "float32")).drop("_tok", "_tf", "_idf", "_n")
+        return out.withColumn(out_col, vector_to_array("_n", "float32")).drop("_text", "_tok", "_tf", "_idf", "_n")
     if encoder not in ENCODERS:
         raise ValueError(f"Unknown encoder '{encoder}'. Available: {sorted(['hashed_tfidf', *ENCODERS])}")
     return docs.withColumn(out_col, ENCODERS[encoder](F.col(text_col)))

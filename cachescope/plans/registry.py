@@ -4,6 +4,10 @@ A strategy is ``Callable[[DataFrame, dict], DataFrame]``: it takes requests
 (scope, seq, prompt[, embedding]) and its configuration, and returns
 (scope, seq, reuse_hit, served_seq).  Strategies are plain DataFrame
 transformations, so ``reqs.transform(lambda d: strategy(d, cfg))`` composes.
+
+A semantic strategy takes its vectors from the encoder that ``embedding_model`` names, if one is registered under that
+name; else from the requests' ``embedding``; else it compares TF-IDF weighted texts.  A name that is neither known nor
+registered is an error.
 """
 
 from __future__ import annotations
@@ -43,6 +47,11 @@ def _semantic(reqs: DataFrame, cfg: dict, default: float = U.DEFAULT_SEMANTIC_TH
     t = cfg.get("similarity_threshold")
     t = default if t is None else float(t)
     store = cfg.get("store", "misses")
+    encoder = cfg.get("embedding_model")
+    if encoder is not None and encoder not in {*U.ENCODERS, *V.ENCODERS}:
+        raise ValueError(f"Unknown encoder '{encoder}'. Available: {sorted({*U.ENCODERS, *V.ENCODERS})}")
+    if encoder in V.ENCODERS and cfg.get("use_embeddings", True):
+        reqs = V.embed_text(reqs.drop("embedding"), "prompt", encoder)
     if "embedding" in reqs.columns and cfg.get("use_embeddings", True):
         r = V.vector_reuse(reqs, t, scope=scope, store=store, metric=cfg.get("metric", "cosine"),
                            warm=cfg.get("warm"))
