@@ -1,4 +1,4 @@
-"""Run comparison tables: B8, B10, D9, E7-E11.
+"""Run comparison tables: B8, D9, E7-E11.
 
 These read the per-run summary (one row per run), so they are small; they are
 still plain grouped aggregates so that a summary of millions of runs works.
@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cachescope.session import cut_lineage
 
 def cached_runs(summary: DataFrame) -> DataFrame:
     """Runs with a cache."""
@@ -22,11 +23,6 @@ def nocache_runs(summary: DataFrame) -> DataFrame:
     return summary.where(F.col("cache_mode") == "none")
 
 
-def dataset_label(subsets: Column, subset: Column) -> Column:
-    """Subsets joined by comma, else the single subset, else ``unknown``."""
-    return F.coalesce(F.array_join(subsets, ","), subset, F.lit("unknown"))
-
-
 def vs_baseline(summary: DataFrame) -> DataFrame:
     """Each cached run beside the mean correctness / latency of the no-cache runs.
 
@@ -75,12 +71,14 @@ def pivot_model_threshold(summary: DataFrame, thresholds: Sequence[float] | None
     """Encoders x thresholds; hit counts truncated to int as in the chart labels.
 
     Without ``thresholds`` every threshold of the summary gets its columns (their
-    number is checked by Spark's ``spark.sql.pivotMaxValues``).
+    number is checked by Spark's ``spark.sql.pivotMaxValues``); the means, a row for
+    each encoder and threshold, are written first, so the summary is evaluated once.
     """
     g = by_model_threshold(summary)
     if thresholds is None:
+        g = cut_lineage(g)
         limit = int(summary.sparkSession.conf.get("spark.sql.pivotMaxValues"))
-        found = g.where("similarity_threshold is not null").select("similarity_threshold").distinct()
+        found = g.select("similarity_threshold").distinct()
         thresholds = sorted(r[0] for r in found.limit(limit + 1).collect())
         if len(thresholds) > limit:
             raise ValueError(f"more than {limit} thresholds; use by_model_threshold instead")
@@ -108,6 +106,7 @@ def by_model(summary: DataFrame) -> DataFrame:
         F.avg("cache_hit_rate").alias("cache_hit_rate"), F.avg("cache_accuracy").alias("cache_accuracy"))
 
 
-def run_inventory(summary: DataFrame, cols: Sequence[str] = ("cache_mode", "embedding_model")) -> DataFrame:
-    """Sorted distinct values (modes, models, encoders) as comma-joined text."""
+def run_inventory(summary: DataFrame, cols: Sequence[str] = ("cache_mode", "model_name", "embedding_model")) -> DataFrame:
+    """Sorted distinct values (modes, models, encoders) as comma-joined text, of the columns that are there."""
+    cols = [c for c in cols if c in summary.columns]
     return summary.agg(*[F.array_join(F.array_sort(F.collect_set(c)), ",").alias(f"{c}s") for c in cols])

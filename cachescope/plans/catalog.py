@@ -42,8 +42,8 @@ def r6(c) -> F.Column:
 # shared Spark building blocks
 # --------------------------------------------------------------------------
 
-def hits_df(spark: SparkSession, sf: str) -> DataFrame:
-    return H.detect_hits(TB.request_log(spark, sf))
+def hits_df(spark: SparkSession, sf: str, carry: tuple[str, ...] | None = ()) -> DataFrame:
+    return H.detect_hits(TB.request_log(spark, sf), carry=carry)
 
 
 def metrics_df(spark: SparkSession, sf: str) -> DataFrame:
@@ -198,7 +198,7 @@ SELECT run_id, seq, pos AS row_index, prompt AS question, array_to_string(expect
        response AS model_output, round(latency_sec, 6) AS latency_sec, cache_hit, correct
 FROM hits"""))
 def q_item_log(spark, sf):
-    r = I.item_log(hits_df(spark, sf))
+    r = I.item_log(hits_df(spark, sf, ("prompt", "response", "expected")))
     return r.select("run_id", "seq", "row_index", "question", F.array_join("expected", "|").alias("expected"),
                     "model_output", "latency_sec", "cache_hit", "correct")
 
@@ -280,7 +280,7 @@ SELECT coalesce(run_id, 'OVERALL') AS subset, count_if(correct) AS correct, coun
        round(100.0 * count_if(correct) / count(*), 6) AS accuracy_pct, round(avg(latency_sec), 6) AS avg_latency_sec
 FROM hits GROUP BY ROLLUP (run_id)"""))
 def q_subset_report(spark, sf):
-    g = H.detect_hits(TB.request_log(spark, sf)).withColumnRenamed("run_id", "subset")
+    g = hits_df(spark, sf).withColumnRenamed("run_id", "subset")
     r = R.subset_report(g, "subset")
     return r.select("subset", "correct", "total", r6("accuracy_pct").alias("accuracy_pct"),
                     r6("avg_latency_sec").alias("avg_latency_sec"))
@@ -1000,9 +1000,10 @@ FROM off JOIN sel ON off.subset = sel.subset LEFT JOIN ans ON ans.item_idx = sel
     return f"WITH {ctes},\n{METRICS_CTES}\n{body}"
 
 
-def _experiment_hits(spark, sf):
+def _experiment_hits(spark, sf, carry: tuple[str, ...] | None = None):
     plan = I.plan_requests(TB.run_plan(spark), items_df(spark, sf))
-    return H.detect_hits(ANS.as_request_log(ANS.answer_from_log(plan, logged_answers(spark, sf))))
+    log = ANS.as_request_log(ANS.answer_from_log(plan, logged_answers(spark, sf)))
+    return H.detect_hits(log, carry=carry)
 
 
 @register("experiment_item_log", _experiment_sql("""
@@ -1017,8 +1018,8 @@ def q_experiment_item_log(spark, sf):
 
 @register("experiment_summary", _experiment_sql(f"SELECT {_sql_round(SUMMARY_COLS)} FROM summary"))
 def q_experiment_summary(spark, sf):
-    m = M.run_metrics(_experiment_hits(spark, sf))
+    m = M.run_metrics(_experiment_hits(spark, sf, ()))
     return _round_doubles(m.join(TB.runs(spark), "run_id", "left").select(*SUMMARY_COLS))
 
 
-from cachescope.plans import catalog_contract, catalog_reuse, catalog_sources  # noqa: E402,F401  (register their queries)
+from cachescope.plans import catalog_contract, catalog_reports, catalog_reuse, catalog_sources  # noqa: E402,F401  (register their queries)

@@ -2,6 +2,8 @@
 
 import math
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from cachescope.functions.text import final_number, normalize_text
@@ -63,6 +65,44 @@ def test_detect_hits_equals_sequential_loop(spark):
     assert sum(kinds.values()) == sum(v is not None for v in want.values())
 
 
+def _loop(rows):
+    """(run, seq) -> position of the source, or None: the sequential rule over (run, seq, prompt, answer, latency)."""
+    want, runs = {}, {}
+    for r in sorted(rows, key=lambda r: r[1]):
+        earlier = runs.setdefault(r[0], [])
+        want[r[0], r[1]] = next((k for k, p in enumerate(earlier) if r[3] is not None and p[3] is not None
+                                 and r[4] is not None and p[4] is not None and abs(float(r[3]) - float(p[3])) <= 1e-6
+                                 and r[4] < max(0.25, 0.7 * p[4])), None)
+        earlier.append(r)
+    return want
+
+
+@pytest.mark.parametrize("direct,chunk_rows", [(64, 1 << 18), (64, 7), (0, 1 << 18), (0, 7), (3, 20)])
+def test_long_classes_are_swept(spark, direct, chunk_rows):
+    """Rising latencies make every row a possible source; crowded and equal ones, values 4e-7 apart, gaps in ``seq``."""
+    rng = np.random.default_rng(5)
+    lat = {"rising": [0.3 * 1.02 ** k for k in range(150)], "crowded": (1 + rng.random(150) * 1e-9).tolist(),
+           "equal": [0.2, 2.0] * 75, "mixed": [None if k % 9 == 0 else float(x) for k, x in enumerate(rng.exponential(1.0, 150))]}
+    rows = []
+    for run, lats in lat.items():
+        lats = lats[:120] + [x and x * 0.5 for x in lats[:30]]
+        for k, x in enumerate(lats):
+            answer = None if k % 17 == 16 else f"{7 + (k % 4) * 4e-7:.8f}" if k % 3 else "3"
+            rows.append((run, k * k + (10 ** 12 if k > 140 else 0), f"p{k % 5}", answer, x))
+    log = spark.createDataFrame(rows, "run_id string, seq long, prompt string, response string, latency_sec double")
+    h = detect_hits(log.repartition(5), chunk_rows=chunk_rows, with_grade=False, carry=(), direct=direct)
+    assert {(r.run_id, r.seq): r.src_pos for r in h.collect()} == _loop(rows)
+    assert h.columns == ["run_id", "seq", "latency_sec", "pos", "cache_hit", "hit_source", "src_pos", "src_seq"]
+
+
+def test_requests_without_a_run_form_one(spark):
+    rows = [(run, k, "p", "4", x) for run in (None, "a") for k, x in enumerate([3.0, 1.0, 0.2])]
+    h = detect_hits(spark.createDataFrame(
+        rows, "run_id string, seq long, prompt string, response string, latency_sec double"), with_grade=False)
+    assert sorted((r.run_id or "", r.seq, r.pos) for r in h.collect()) == [
+        (g, k, k) for g in ("", "a") for k in range(3)]
+
+
 def test_run_metrics_invariants(spark):
     m = run_metrics(detect_hits(request_log(spark, SF001))).collect()
     for r in m:
