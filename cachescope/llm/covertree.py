@@ -22,8 +22,9 @@ pairs of centres of a label (as matrix products); that is the method's nature.
 
 Defined results: a vector that is null, empty, zero or has null or non-finite
 components, a null label or a null ``vec_id`` links with nothing and is its own
-component; rows that repeat a ``vec_id`` are one node (their links are united) and each
-get a row; copies link with each other; an empty table gives an empty result.
+component; rows that repeat a ``vec_id`` get a row each, with the links and the component of
+their own vector (only vectors whose copies have the same smallest ``vec_id`` count as one node); copies
+link with each other; an empty table gives an empty result.
 Only vec_id, embedding and label are read.
 """
 
@@ -185,7 +186,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     found = materialise(block_links(classes.select("label", "dim", "id", "copies", "embedding"), threshold),
                         "cover-links")
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))
-    # a vec_id may stand in several classes (repeated ids): its classes are one node
+    # classes of the same smallest vec_id (repeated ids) are one node
     comp = connected_components(found.where("id <> root").select(F.col("root").alias("a"), F.col("id").alias("b")))
     done = classes.select("key", "label", "embedding", "id", "copies").join(counts, "id", "left").join(comp, "id", "left")
     done = done.select(F.col("key").alias("k"), F.col("label").alias("l"), F.col("embedding").alias("e"),
