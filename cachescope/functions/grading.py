@@ -38,12 +38,6 @@ def grade(expected, output, out_num: Column | None = None, out_norm: Column | No
     return verdict
 
 
-def same_answer(a_num: Column, a_norm: Column, b_num: Column, b_norm: Column) -> Column:
-    """C4: both numeric and within 1e-6, else equal after normalisation."""
-    return F.when(a_num.isNotNull() & b_num.isNotNull(), F.abs(a_num - b_num) <= NUM_TOL) \
-        .otherwise(a_norm == b_norm)
-
-
 def verdict_numeric(expected, output) -> Column:
     """Any candidate within relative or absolute 1e-6 of the output number (infinities only if equal)."""
     expected = _c(expected)

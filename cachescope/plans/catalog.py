@@ -562,7 +562,7 @@ def docs_df(spark, sf):
 
 
 VEC_CTES = f"""
-tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), {S.lit(U.TOKEN_RE)})) AS term FROM documents),
+tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '\\p{{L}}+|[0-9]+')) AS term FROM documents),
 tf AS (SELECT doc_id, term, count(*) AS tf FROM tok GROUP BY doc_id, term),
 dfreq AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
 nd AS (SELECT count(*) AS n FROM documents),
@@ -914,14 +914,14 @@ def _derived_runs_sql() -> str:
 
 def _preset_case(col: str) -> str:
     return "CASE " + " ".join(f"WHEN {col} = {S.lit(k)} THEN CAST({v} AS DOUBLE)"
-                              for k, v in U.LOOSENESS_PRESETS.items()) + " END"
+                              for k, v in S.PRESETS.items()) + " END"
 
 
 @register("resolve_threshold", S.with_views(f"""
 WITH {_derived_runs_sql()}
 SELECT run_id, n_requests, looseness_preset,
        round(CASE WHEN looseness_preset IS NOT NULL THEN {_preset_case('looseness_preset')}
-                  ELSE coalesce(similarity_threshold, {U.DEFAULT_LOOSE_THRESHOLD}) END, 6) AS resolved_threshold,
+                  ELSE coalesce(similarity_threshold, 0.35) END, 6) AS resolved_threshold,
        (looseness_preset IS NULL OR {_preset_case('looseness_preset')} IS NOT NULL) AS preset_known
 FROM dr""", "request_log"))
 def q_resolve_threshold(spark, sf):
@@ -933,7 +933,7 @@ def q_resolve_threshold(spark, sf):
 @register("unknown_presets", S.with_views(f"""
 WITH {_derived_runs_sql()}
 SELECT run_id, looseness_preset FROM dr
-WHERE looseness_preset IS NOT NULL AND looseness_preset NOT IN ({', '.join(S.lit(k) for k in U.LOOSENESS_PRESETS)})""",
+WHERE looseness_preset IS NOT NULL AND looseness_preset NOT IN ({', '.join(S.lit(k) for k in S.PRESETS)})""",
                                           "request_log"))
 def q_unknown_presets(spark, sf):
     return U.unknown_presets(derived_runs(spark, sf)).select("run_id", "looseness_preset")

@@ -1,13 +1,20 @@
 """DuckDB spellings of the scalar functions and input views, used by the oracle
 queries of ``__spark_entry__.oracle_sql``.  They are independent brute-force
-statements over the same parquet tables (plain SQL, no shared code path with
-the Spark plans beyond the fixed patterns)."""
+statements over the same parquet tables: patterns, run rows and presets are
+written out here, so a change on the Spark side shows as a difference.
+"""
 
 from __future__ import annotations
 
-from cachescope.functions.text import (ANSWER_RE_RE2, BLANK, NUMBER_RE, PARAPHRASE_SUFFIX,
-                                       PUNCT_CLASS, QUOTE_CLASS, SAFE_NAME_CLASS, STRIP_RE)
-from cachescope.sources.tables import RUN_PLAN_ROWS, RUN_ROWS, SUBSETS
+# The patterns of the scalar functions in RE2 spelling.
+BLANK = r"[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}-\x{2029}\x{202f}\x{205f}\x{3000}]"
+NUMBER_RE = r"-?[0-9]+(?:\.[0-9]+)?"
+ANSWER_RE_RE2 = f"(?i)answer{BLANK}*:{BLANK}*({NUMBER_RE})"
+STRIP_RE = f"\\A{BLANK}+|{BLANK}+\\z"
+PUNCT_CLASS = "[?.!,;:]"
+QUOTE_CLASS = "[\"'`]"
+SAFE_NAME_CLASS = "[^A-Za-z0-9_.-]+"
+PARAPHRASE_SUFFIX = "\nPlease answer concisely."
 
 
 def lit(s: str) -> str:
@@ -53,9 +60,8 @@ SELECT event_type AS run_id, event_id AS seq,
        ts
 FROM events"""
 
-_subsets = ", ".join(lit(s) for s in SUBSETS)
-EVAL_ITEMS = f"""
-SELECT list_extract([{_subsets}], CAST(p_partkey % 6 AS INT) + 1) AS subset,
+EVAL_ITEMS = """
+SELECT list_extract(['gsm8k', 'hotpotqa', 'singleq', 'mmlu_math', 'winograd_wsc', 'squad'], CAST(p_partkey % 6 AS INT) + 1) AS subset,
        p_partkey AS item_idx,
        CASE WHEN p_partkey % 10 = 0 THEN 'rejected' WHEN p_partkey % 10 = 1 THEN NULL ELSE 'consensus' END AS cleaning_status,
        CASE WHEN p_partkey % 4 = 0 THEN concat('How big is ', p_name, '?') WHEN p_partkey % 4 = 1 THEN '' END AS platinum_prompt,
@@ -70,22 +76,19 @@ SELECT list_extract([{_subsets}], CAST(p_partkey % 6 AS INT) + 1) AS subset,
 FROM part"""
 
 
-def _v(x):
-    if x is None:
-        return "NULL"
-    if isinstance(x, str):
-        return lit(x)
-    return f"CAST({x} AS DOUBLE)"
+RUNS = """SELECT * FROM (VALUES
+  ('error', 'none', CAST(NULL AS VARCHAR), CAST(NULL AS DOUBLE)), ('click', 'custom_semantic', 'bge_small', 0.9),
+  ('view', 'custom_semantic', 'bge_small', 0.95), ('signup', 'custom_semantic', 'mpnet', 0.9),
+  ('purchase', 'custom_semantic', 'mpnet', 0.95)) AS t(run_id, cache_mode, embedding_model, similarity_threshold)"""
 
 
-RUNS = ("SELECT * FROM (VALUES " + ", ".join(
-    "(" + ", ".join([_v(r[0]), _v(r[1]), f"CAST({_v(r[2])} AS VARCHAR)", f"CAST({_v(r[3])} AS DOUBLE)"]) + ")"
-    for r in RUN_ROWS) + ") AS t(run_id, cache_mode, embedding_model, similarity_threshold)")
+RUN_PLAN = """SELECT * FROM (VALUES
+  ('error', ['gsm8k', 'hotpotqa', 'singleq', 'mmlu_math', 'winograd_wsc']), ('click', ['gsm8k', 'singleq']),
+  ('view', ['squad']), ('signup', ['winograd_wsc', 'mmlu_math', 'hotpotqa']),
+  ('purchase', ['hotpotqa', 'gsm8k'])) AS t(run_id, subsets)"""
 
 
-RUN_PLAN = ("SELECT * FROM (VALUES " + ", ".join(
-    "(" + lit(r) + ", [" + ", ".join(lit(x) for x in subs) + "])" for r, subs in RUN_PLAN_ROWS)
-    + ") AS t(run_id, subsets)")
+PRESETS = {"conservative": 0.75, "moderate": 0.5, "aggressive": 0.35, "reckless": 0.2}
 
 
 def with_views(body: str, *names: str) -> str:

@@ -72,3 +72,16 @@ def test_question_and_expected(spark):
     got = df.select(pick_question(df).alias("q"), expected_answers().alias("e")).collect()
     assert [r.q for r in got] == ["Q1", "Q2", "Q3", "Q4", None]
     assert [r.e for r in got] == [["7"], ["c"], ["9"], ["y"], ["0"]]
+
+
+def test_stamp_label(spark):
+    c = X.stamp_label(F.to_timestamp(F.col("t")))
+    assert one(spark, c, t="2024-03-05 07:08:09") == "20240305_070809"
+
+
+def test_numeric_verdict_at_the_edges(spark):
+    big = "1" + "0" * 400  # reads as infinity
+    v = G.verdict_numeric(F.col("e"), F.col("o"))
+    assert one(spark, v, e=["5.0000001"], o="5") is True and one(spark, v, e=["5.1"], o="5") is False
+    assert one(spark, v, e=[big], o="Answer: 5") is False
+    assert one(spark, v, e=["no number"], o="5") is False
