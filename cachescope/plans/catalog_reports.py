@@ -84,10 +84,9 @@ def q_paraphrase_hits(spark, sf):
 # --------------------------------------------------------------------------
 
 def graded_thresholds(spark, sf):
-    """The summary of users' requests, 18 runs with six thresholds by rule (some unknown) and three encoders."""
-    log = TB.request_log(spark, sf)
-    user = F.regexp_extract("prompt", "([0-9]+)", 1).cast("long")
-    m = C.M.run_metrics(H.detect_hits(log.withColumn("run_id", (user % 18).cast("string")), carry=()))
+    """The summary of 18 runs, dealt from the log, with six thresholds by rule (one unknown) and three encoders."""
+    log = TB.request_log(spark, sf).withColumn("run_id", (F.col("seq") % 18).cast("string"))
+    m = C.M.run_metrics(H.detect_hits(log, carry=()))
     k = F.col("run_id").cast("int")
     return m.select(
         "*", F.when(k % 6 == 5, "none").otherwise("custom_semantic").alias("cache_mode"),
@@ -96,7 +95,7 @@ def graded_thresholds(spark, sf):
         .alias("similarity_threshold"))
 
 
-_USER_RUNS = S.REQUEST_LOG.replace("event_type AS run_id", "CAST(user_id % 18 AS VARCHAR) AS run_id")
+_DEALT_LOG = S.REQUEST_LOG.replace("event_type AS run_id", "CAST(event_id % 18 AS VARCHAR) AS run_id")
 _MANY_RUNS = """SELECT CAST(k AS VARCHAR) AS run_id, CASE WHEN k % 6 = 5 THEN 'none' ELSE 'custom_semantic' END AS cache_mode,
   CASE k % 3 WHEN 0 THEN 'bge_small' WHEN 1 THEN 'e5_large_v2' ELSE 'mpnet' END AS embedding_model,
   CASE WHEN k <> 4 THEN CAST(CASE k // 3 WHEN 0 THEN 0.6 WHEN 1 THEN 0.75 WHEN 2 THEN 0.8 WHEN 3 THEN 0.85
@@ -111,7 +110,7 @@ def _many_thresholds_sql() -> str:
         cols += [f"round({mean.format(c)}, 6) AS {c}_{tag}" for c in ("correctness", "cache_accuracy", "bad_cache_hit_rate")]
         cols += [f"CAST(trunc({mean.format(c)}) AS BIGINT) AS {out}_{tag}" for c, out in (
             ("good_cache_hits", "good_hits"), ("bad_cache_hits", "bad_hits"), ("cache_hits", "total_hits"))]
-    return f"""WITH request_log AS ({_USER_RUNS}), runs AS ({_MANY_RUNS}), {C.METRICS_CTES}
+    return f"""WITH request_log AS ({_DEALT_LOG}), runs AS ({_MANY_RUNS}), {C.METRICS_CTES}
 SELECT embedding_model, {', '.join(cols)} FROM summary
 WHERE cache_mode <> 'none' AND similarity_threshold IS NOT NULL GROUP BY embedding_model"""
 
