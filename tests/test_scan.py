@@ -43,6 +43,20 @@ def test_equal_and_null_values_share_a_chunk(spark):
     assert x.where("v is null").first()["_chunk"] == x.agg(F.min("_chunk")).first()[0]
 
 
+def test_a_large_group_is_not_gathered_to_be_cut(spark):
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = spark.createDataFrame([("g", k) for k in range(ROWS)], "g string, v long").repartition(6, "v")
+        x = S.value_chunks(df, ["g"], "v", 1000).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(r["count"] for r in x) == ROWS and max(r["count"] for r in x) < ROWS / 2
+
+
 def test_running_aggregates_in_null_groups(spark):
     rows = [(g, h, i, (i * 7) % 11) for g in ("a", None, "") for h in (1, None) for i in range(40)]
     df = spark.createDataFrame(rows, "g string, h int, i long, v long").repartition(6)
