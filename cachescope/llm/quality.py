@@ -13,9 +13,8 @@ a regular expression, in linear time.  The weights are one array of
 ``BUCKETS`` doubles, read as a scalar subquery, so scoring is a map
 without shuffle or join.  The scores of the commonest word of each of ``MEMO`` hash slots are a second
 such array: a word whose 64-bit hash stands there is looked up, every other word is summed over its n-grams,
-with the same result.  Trusted ids are the only broadcast join, bounded by
-``TRUSTED_ROWS`` (documented sample of the labelled rows by a hash of their id;
-the raw counts cover all documents).
+with the same result.  Every document labelled good is trusted, however many there are: up to
+``BROADCAST_IDS`` ids are broadcast, more of them meet the documents in a shuffle join.
 
 Defined results: a null text has no words, symbols or lines and fails the base
 rules; a text without words scores 0; without trusted documents every score is 0
@@ -37,7 +36,7 @@ LONG = 64
 BUCKETS = 1 << 16
 SMOOTHING = 1.0
 THRESHOLD = -1.0
-TRUSTED_ROWS = 20_000
+BROADCAST_IDS = 1_000_000    # ids that are broadcast, 8 bytes and their slots each
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = "[#*$%&|<>]"
@@ -101,20 +100,16 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
 
-def trusted_ids(labels: DataFrame, limit: int = TRUSTED_ROWS) -> DataFrame:
-    """Ids of documents labelled good: all, or about ``limit`` of them by the hash of the id.
-
-    The hash bound is lowered with the number of good rows, and the rows are
-    limited besides, so the broadcast is bounded whatever the labels.
-    """
-    good = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return good.orderBy(F.xxhash64(F.col("doc_id")), "doc_id").limit(limit)
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids of all documents labelled good."""
+    return labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
 
 
 def vocabulary(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(w, raw, target): how often each word stands in the corpus and in the trusted documents."""
-    ids = trusted_ids(labels).select(F.col("doc_id").alias("_good"))
-    d = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_good"), "left")
+    ids = materialise(trusted_ids(labels).select(F.col("doc_id").alias("_good")), "trusted-ids")
+    small = ids.count() <= BROADCAST_IDS
+    d = docs.select("doc_id", "text").join(F.broadcast(ids) if small else ids, F.col("doc_id") == F.col("_good"), "left")
     words = F.regexp_extract_all(F.col("text"), F.lit(f"({WORD})"), F.lit(1))
     words = d.select(F.col("_good").isNotNull().cast("long").alias("t"), F.explode(words).alias("w"))
     return words.select("w", "t").groupBy("w").agg(F.count("*").alias("raw"), F.sum("t").alias("target"))

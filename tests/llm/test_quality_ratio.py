@@ -46,3 +46,15 @@ def test_ratio_and_verdict(spark, docs, labels, memo, monkeypatch):
         assert abs(out["llr"] - want) < 1e-9 * max(1, chars)
         if abs(want - quality.THRESHOLD) > 1e-6:
             assert out["kept"] == (not out["base_failed"] and want >= quality.THRESHOLD)
+
+
+@pytest.mark.parametrize("broadcast", [10 ** 6, 0])
+def test_every_document_labelled_good_is_counted(spark, broadcast, monkeypatch):
+    monkeypatch.setattr(quality, "BROADCAST_IDS", broadcast)
+    n = 25_000                                               # more than the sample that once stood for them
+    docs = spark.range(n + 10).select(F.col("id").alias("doc_id"), F.concat(F.lit("word w"), F.col("id") % 7).alias("text"))
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality")).unionByName(
+        spark.createDataFrame([(n + 1, 0), (None, 1), (3, 1)], "doc_id long, quality int"))
+    got = {r["w"]: (r["raw"], r["target"]) for r in quality.vocabulary(docs, labels).collect()}
+    assert got["word"] == (n + 10, n)
+    assert sum(t for _, t in got.values()) == 2 * n
