@@ -10,8 +10,11 @@ reach r:
 3. A row is routed to another cell with a higher number only if a partner can be there: it lies within radius + r of that
    cell's pivot, and at most 2r further from it than from its own pivot (whoever is at home there is
    nearer to that pivot).  So every pair meets in exactly one cell, and cells beyond reach never see the row.
-4. A cell is cut into blocks of ``block_rows`` rows by the hash of the id; a group is one block against one
-   other, so no task holds more than two blocks, however many rows share a cell.
+4. A cell is cut into blocks of ``block_rows`` rows by the hash of the id, larger ones where that made more than
+   ``MAX_BLOCKS``, up to ``LONG_BLOCK_ROWS``; a group is one block against one
+   other, so no task holds more than two blocks, however many rows share a cell, and a row is sent
+   ``MAX_BLOCKS`` times at most, up to that block length.
+5. Where routing to cells would send more rows than the blocks of a whole scope, the scope is one cell.
 
 How much is pruned depends on the data: clusters narrower than the reach are compared inside only, whereas
 vectors without any cluster structure in many dimensions all lie within reach of all pivots, and every exact
@@ -32,7 +35,10 @@ from cachescope.session import cut_lineage
 
 CELL_ROWS = 4096
 MAX_PIVOTS = 4096
-BLOCK_ROWS = 1024
+BLOCK_ROWS = 8192
+MAX_BLOCKS = 32
+LONG_BLOCK_ROWS = 1 << 18
+TILE_ROWS = 512          # rows of a block that meet the other block at once
 SLACK = 1e-6             # of the distances that decide routing, far above their rounding
 METRICS = ("cosine", "distance")
 
@@ -123,7 +129,18 @@ def _by_scope_rows(cells: Cells, r: float, home_only: bool):
 
 
 def _blocks(n: Column, block_rows: int) -> Column:
-    return F.greatest(F.lit(1), F.ceil(n / F.lit(block_rows))).cast("int")
+    many = F.greatest(F.lit(MAX_BLOCKS), F.ceil(n / F.lit(LONG_BLOCK_ROWS)))
+    return F.greatest(F.lit(1), F.least(F.ceil(n / F.lit(block_rows)), many)).cast("int")
+
+
+def _cell_sizes(d: DataFrame, block_rows: int) -> DataFrame:
+    """(_s, _c, _n, _homes, _guests): rows at home and blocks of both kinds of every cell, with what the cell sends."""
+    sizes = d.groupBy(F.col("scope").alias("_s"), F.col("cell").alias("_c")).agg(
+        F.count_if(~F.col("guest")).alias("_n"), F.count_if("guest").alias("_m"))
+    sizes = sizes.select("*", _blocks(F.col("_n"), block_rows).alias("_homes"), F.when(
+        F.col("_m") > 0, _blocks(F.col("_m"), block_rows)).otherwise(F.lit(0)).alias("_guests"))
+    return cut_lineage(sizes.withColumn(
+        "_sent", F.col("_n") * (F.col("_homes") + F.col("_guests")) + F.col("_m") * F.col("_homes")))
 
 
 def routed(vecs: DataFrame, threshold: float, metric: str = "cosine", block_rows: int = BLOCK_ROWS,
@@ -142,12 +159,19 @@ def routed(vecs: DataFrame, threshold: float, metric: str = "cosine", block_rows
         # one row a cell; rows of scopes that are not cut have gap 0
         for row in homes.where(F.col("gap") > 0).groupBy("scope", "cell").agg(F.max("gap").alias("r")).collect():
             cells.radii[row["scope"]][row["cell"]] = row["r"]
-        d = homes.drop("cell", "gap").mapInArrow(_by_scope_rows(cells, r, False), f"{base}, cell long, guest boolean")
+        rows = homes.drop("cell", "gap")
+        d = rows.mapInArrow(_by_scope_rows(cells, r, False), f"{base}, cell long, guest boolean")
+        sizes = _cell_sizes(d, block_rows)
+        sent = sizes.groupBy("_s").agg(F.sum("_sent").alias("sent"), F.sum("_n").alias("n"))
+        lost = [row["_s"] for row in sent.where(F.col("sent") > F.col("n") * _blocks(F.col("n"), block_rows)).collect()]
+        if lost:
+            cells = Cells({s: p for s, p in cells.pivots.items() if s not in lost}, cells.radii)
+            d = rows.mapInArrow(_by_scope_rows(cells, r, False), f"{base}, cell long, guest boolean")
+            sizes = _cell_sizes(d, block_rows)
     else:
         d = d.select("*", F.lit(0).cast("long").alias("cell"), F.lit(False).alias("guest"))
-    sizes = d.groupBy(F.col("scope").alias("_s"), F.col("cell").alias("_c")).agg(
-        _blocks(F.count_if(~F.col("guest")), block_rows).alias("_homes"),
-        _blocks(F.count_if("guest"), block_rows).alias("_guests"))
+        sizes = _cell_sizes(d, block_rows)
+    sizes = sizes.select("_s", "_c", "_homes", "_guests")
     d = d.join(sizes, F.col("scope").eqNullSafe(F.col("_s")) & (F.col("cell") == F.col("_c"))).drop("_s", "_c")
     d = d.withColumn("_b", F.pmod(F.xxhash64("id"), F.when(F.col("guest"), F.col("_guests")).otherwise(F.col("_homes"))).cast("int"))
     keep = ["scope", "id", "vec", "fresh", "cell"]
@@ -160,7 +184,7 @@ def routed(vecs: DataFrame, threshold: float, metric: str = "cosine", block_rows
     # guest blocks, numbered below zero, meet every home block
     guests = d.where("guest").select(*keep, (-1 - F.col("_b")).alias("a"), F.explode(
         F.sequence(F.lit(0), F.col("_homes") - 1)).alias("b"), F.lit(0).alias("side"))
-    hosts = d.where(~F.col("guest")).select(*keep, F.explode(F.sequence(F.lit(0), F.col("_guests") - 1)).alias("_g"),
+    hosts = d.where(~F.col("guest") & (F.col("_guests") > 0)).select(*keep, F.explode(F.sequence(F.lit(0), F.col("_guests") - 1)).alias("_g"),
                                             F.col("_b").alias("b")).select(*keep, (-1 - F.col("_g")).alias("a"), "b",
                                                                            F.lit(1).alias("side"))
     return first.unionByName(last).unionByName(guests).unionByName(hosts)
@@ -183,6 +207,11 @@ def _compare(threshold: float, metric: str, best_only: bool):
             return np.einsum("ij,ij->i", x, y)
         return 1 - ((x - y) ** 2).sum(1) / 4
 
+    def best(i: np.ndarray, j: np.ndarray, sim: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        order = np.lexsort((j, -np.round(sim, 9), i))
+        order = order[np.r_[True, i[order][1:] != i[order][:-1]]] if len(order) else order
+        return i[order], j[order], sim[order]
+
     def run(key, table):
         side = table["side"].to_numpy()
         ids = table["id"].to_numpy()
@@ -197,27 +226,29 @@ def _compare(threshold: float, metric: str, best_only: bool):
             right = np.flatnonzero((size == dim) & (side != 0))
             if not len(left) or not len(right):
                 continue
-            x, y = flat[start[left][:, None] + np.arange(dim)], flat[start[right][:, None] + np.arange(dim)]
-            sims = x @ y.T
-            if metric == "distance":
-                sims = 1 - ((x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2 * sims) / 4
-            r, c = np.nonzero(sims >= threshold - 1e-9 * max(1.0, float(np.abs(sims).max())))
-            once = (ids[left[r]] != ids[right[c]]) & ((side[left[r]] != 2) | (ids[left[r]] > ids[right[c]]))
-            r, c = r[once], c[once]
-            value = exact(x[r], y[c])
-            hit = value >= threshold
-            a, b, value = left[r[hit]], right[c[hit]], value[hit]
-            # a stored row is before every fresh one; two stored rows are never compared
-            swap = np.where(fresh[a] == fresh[b], ids[a] < ids[b], fresh[b])
-            a, b = np.where(swap, b, a), np.where(swap, a, b)
-            use = fresh[a]
-            got.append((ids[a[use]], ids[b[use]], value[use]))
+            y = flat[start[right][:, None] + np.arange(dim)]
+            for at in range(0, len(left), TILE_ROWS):
+                some = left[at:at + TILE_ROWS]
+                x = flat[start[some][:, None] + np.arange(dim)]
+                sims = x @ y.T
+                if metric == "distance":
+                    sims = 1 - ((x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2 * sims) / 4
+                r, c = np.nonzero(sims >= threshold - 1e-9 * max(1.0, float(np.abs(sims).max())))
+                once = (ids[some[r]] != ids[right[c]]) & ((side[some[r]] != 2) | (ids[some[r]] > ids[right[c]]))
+                r, c = r[once], c[once]
+                value = exact(x[r], y[c])
+                hit = value >= threshold
+                a, b, value = some[r[hit]], right[c[hit]], value[hit]
+                # a stored row is before every fresh one; two stored rows are never compared
+                swap = np.where(fresh[a] == fresh[b], ids[a] < ids[b], fresh[b])
+                a, b = np.where(swap, b, a), np.where(swap, a, b)
+                use = fresh[a]
+                tile = ids[a[use]], ids[b[use]], value[use]
+                got.append(best(*tile) if best_only else tile)
         i, j, sim = (np.concatenate([g[k] for g in got]) if got else np.zeros(0, t)
                      for k, t in ((0, ids.dtype), (1, ids.dtype), (2, np.float64)))
-        if best_only and len(i):
-            order = np.lexsort((j, -np.round(sim, 9), i))
-            order = order[np.r_[True, i[order][1:] != i[order][:-1]]]
-            i, j, sim = i[order], j[order], sim[order]
+        if best_only:
+            i, j, sim = best(i, j, sim)
         return pa.table({"scope": pa.array([key[0].as_py()] * len(i), pa.string()), "i": i, "j": j, "sim": sim})
 
     return run

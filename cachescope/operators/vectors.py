@@ -7,6 +7,7 @@ routed, blocks of bounded size inside a cell.  ``warm`` entries come from earlie
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ from cachescope.operators.metric_join import BLOCK_ROWS, metric_pairs
 from cachescope.operators.reuse import _serve, first_come
 from cachescope.session import cut_lineage
 
+TURN_ROWS = 1 << 16  # requests that are resolved at once against what is stored before them
+
 
 def fold_vectors(vecs: DataFrame) -> DataFrame:
     """(scope, id, rid): identical vectors of a scope share the first id."""
@@ -25,23 +28,56 @@ def fold_vectors(vecs: DataFrame) -> DataFrame:
 
 def vector_reuse(reqs: DataFrame, threshold: float, scope: Column | str = "run_id", id_col: str = "seq",
                  vec_col: str = "embedding", store: str = "misses", metric: str = "cosine",
-                 block_rows: int = BLOCK_ROWS, warm: DataFrame | None = None) -> DataFrame:
+                 block_rows: int = BLOCK_ROWS, warm: DataFrame | None = None, turn_rows: int = TURN_ROWS) -> DataFrame:
     """D3 over embeddings: scope, id, reuse_hit, served_id, similarity.
 
     ``metric``: 'cosine', or 'distance' (1 - d^2 / 4 of the vectors as they are).  ``warm`` (scope, id,
     embedding): entries stored before the first request; their ids are below all requests'."""
-    return vector_reuse_step(reqs, threshold, scope, id_col, vec_col, store, metric, block_rows, warm)[0]
+    return vector_reuse_step(reqs, threshold, scope, id_col, vec_col, store, metric, block_rows, warm, turn_rows)[0]
 
 
 def vector_reuse_step(reqs: DataFrame, threshold: float, scope: Column | str = "run_id", id_col: str = "seq",
                       vec_col: str = "embedding", store: str = "misses", metric: str = "cosine",
-                      block_rows: int = BLOCK_ROWS, warm: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+                      block_rows: int = BLOCK_ROWS, warm: DataFrame | None = None,
+                      turn_rows: int = TURN_ROWS) -> tuple[DataFrame, DataFrame]:
     """``vector_reuse`` and the entries (scope, id, embedding) that these requests add to the store.
 
-    Requests meet stored entries and each other; stored entries are never paired again."""
+    Requests meet stored entries and each other; stored entries are never paired again.  Where only misses are
+    stored, requests take turns of about ``turn_rows`` in the order of their ids: a turn meets itself and the misses
+    before it, never the requests that were served, so the pairs grow with the requests and not with their square."""
     if store not in ("misses", "all"):
         raise ValueError("store must be 'misses' or 'all'")
     scope_c = F.col(scope) if isinstance(scope, str) else scope
+    reqs = reqs.select(scope_c.cast("string").alias("scope"), F.col(id_col).alias("id"), F.col(vec_col).alias("embedding"))
+    turns = -(-reqs.count() // turn_rows) if store == "misses" else 1
+    if turns <= 1:
+        return _turn(reqs, threshold, store, metric, block_rows, warm)
+    cuts = reqs.agg(F.percentile_approx("id", [k / turns for k in range(1, turns)], 10_000)).first()[0]
+    bounds = sorted(set(cuts or []))
+    reqs = cut_lineage(reqs.withColumn("turn", sum((F.coalesce(F.col("id") > c, F.lit(False)).cast("int") for c in bounds), F.lit(0))))
+    copies = cut_lineage(fold_vectors(reqs.withColumnRenamed("embedding", "vec")).where(F.col("rid") < F.col("id")))
+    served, added = [], []
+    for k in range(len(bounds) + 1):
+        mine, own = reqs.where(F.col("turn") == k).drop("turn"), []
+        if added:
+            # a copy of an entry that an earlier turn stored needs no comparison
+            have = reduce(DataFrame.unionByName, added).select("scope", F.col("id").alias("rid")).distinct()
+            same = copies.join(have, ["scope", "rid"], "left_semi").groupBy("scope", "id").agg(F.min("rid").alias("rid"))
+            same = cut_lineage(mine.select("scope", "id").join(same, ["scope", "id"]))
+            own = [same.select("scope", "id", F.lit(True).alias("reuse_hit"), F.col("rid").alias("served_id"),
+                               F.lit(1.0).alias("similarity"))]
+            mine = mine.join(same, ["scope", "id"], "left_anti")
+        before = [*([warm] if warm is not None else []), *added]
+        got, new = _turn(mine, threshold, store, metric, block_rows, reduce(DataFrame.unionByName, before) if before else None)
+        served += [*own, cut_lineage(got)]
+        added.append(cut_lineage(new))
+    return reduce(DataFrame.unionByName, served), reduce(DataFrame.unionByName, added)
+
+
+def _turn(reqs: DataFrame, threshold: float, store: str, metric: str, block_rows: int,
+          warm: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """``vector_reuse_step`` of requests (scope, id, embedding) that are paired at once."""
+    scope_c, id_col, vec_col = F.col("scope"), "id", "embedding"
     vecs = reqs.select(scope_c.cast("string").alias("scope"), F.col(id_col).alias("id"), F.col(vec_col).alias("vec"))
     members = cut_lineage(fold_vectors(vecs))
     rep_ids = members.where(F.col("id") == F.col("rid")).select("scope", "id")
@@ -56,8 +92,7 @@ def vector_reuse_step(reqs: DataFrame, threshold: float, scope: Column | str = "
     # of a request that everything stored may answer only the best entry matters
     pairs = cut_lineage(metric_pairs(both, threshold, metric, block_rows, best_only=store == "all"))
     stored = nodes.withColumn("is_miss", F.lit(True)) if store == "all" else first_come(nodes, pairs)
-    docs = reqs.select(scope_c.cast("string").alias("_scope"), F.col(id_col))
-    served = _serve(docs, "_scope", id_col, pairs, members, stored, store)
+    served = _serve(reqs, "scope", id_col, pairs, members, stored, store)
     added = reps.join(stored.where("is_miss"), ["scope", "id"], "left_semi").select(
         "scope", "id", F.col("vec").alias("embedding"))
     return served, added

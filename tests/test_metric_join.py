@@ -105,3 +105,37 @@ def test_store_survives_a_second_run_of_a_batch(spark, tmp_path):
     assert sorted(r.id for r in ST.MissStore(spark, path).entries().collect()) == kept
     assert kept == sorted(r.id for rows in once for r in rows if not r.reuse_hit)
     assert ST.MissStore(spark, str(tmp_path / "none")).entries() is None
+
+
+@pytest.mark.parametrize("metric,warm", [("cosine", False), ("distance", True)])
+def test_turns_equal_the_whole(spark, metric, warm):
+    x = clusters(240, noise=0.2, seed=4)
+    x[100:110], x[200:206], x[207] = x[20:30], x[101:107], x[3]       # copies in other turns
+    rows = [("r", 10 + k, v.tolist()) for k, v in enumerate(x)] + [("s", 10 + k, x[0].tolist()) for k in range(90)]
+    rows += [("r", k, v) for k in (300, 400, 900) for v in ([0.0] * 8, None)] + [(None, 12, x[0].tolist()), ("r", None, x[1].tolist())]
+    rows += [("r", 150, x[5].tolist()), ("r", 151, [1.0] * 8), ("r", 901, [float("nan")] * 8), ("r", 9, [float("nan")] * 8)]
+    reqs = spark.createDataFrame(rows, "run_id string, seq long, embedding array<double>")
+    old = spark.createDataFrame([("r", 1, x[7].tolist()), ("s", 2, x[8].tolist())],
+                                "scope string, id long, embedding array<double>") if warm else None
+    got = []
+    for turn_rows in (10 ** 6, 40):
+        served, added = V.vector_reuse_step(reqs, 0.95, metric=metric, block_rows=32, warm=old, turn_rows=turn_rows)
+        got.append((sorted((str(r.scope), r.id or -1, r.reuse_hit, r.served_id or -1, round(r.similarity or 0, 9)) for r in served.collect()),
+                    sorted((str(r.scope), r.id or -1, str(r.embedding)) for r in added.collect())))
+    assert len(got[0][0]) == len(got[1][0]) >= len(rows)
+    assert set(got[0][0]) == set(got[1][0]) and set(got[0][1]) == set(got[1][1])
+    assert 20 < sum(r[2] for r in got[0][0]) < len(rows)
+
+
+def test_vectors_without_clusters_are_sent_as_blocks(spark):
+    rng = np.random.default_rng(6)
+    df = spark.createDataFrame([("a", k, v.tolist()) for k, v in enumerate(rng.normal(size=(600, 32)))], TYPES).withColumn(
+        "fresh", F.lit(True))
+    sent = MJ.routed(df, 0.3, block_rows=100, cell_rows=20)
+    assert sent.count() <= 600 * 6                                    # not once for every cell within reach
+    assert MJ.routed_pairs(df, 0.3, block_rows=100, cell_rows=20) == 600 * 599 // 2
+
+
+def test_a_row_is_sent_as_often_at_any_size(spark):
+    df = spark.createDataFrame([("a", k, [1.0, 0.01 * k]) for k in range(400)], TYPES).withColumn("fresh", F.lit(True))
+    assert MJ.routed(df, 0.3, block_rows=2, cell_rows=10 ** 6).count() <= 400 * MJ.MAX_BLOCKS
