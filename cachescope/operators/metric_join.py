@@ -38,6 +38,7 @@ MAX_PIVOTS = 4096
 BLOCK_ROWS = 8192
 MAX_BLOCKS = 32
 LONG_BLOCK_ROWS = 1 << 18
+FEW_CELLS = 100_000      # cells of all scopes whose sizes are broadcast
 TILE_ROWS = 512          # rows of a block that meet the other block at once
 SLACK = 1e-6             # of the distances that decide routing, far above their rounding
 METRICS = ("cosine", "distance")
@@ -172,6 +173,9 @@ def routed(vecs: DataFrame, threshold: float, metric: str = "cosine", block_rows
         d = d.select("*", F.lit(0).cast("long").alias("cell"), F.lit(False).alias("guest"))
         sizes = _cell_sizes(d, block_rows)
     sizes = sizes.select("_s", "_c", "_homes", "_guests")
+    if sizes.count() <= FEW_CELLS:
+        # a shuffle by the cell would bring the rows of a large one into one task
+        sizes = F.broadcast(sizes)
     d = d.join(sizes, F.col("scope").eqNullSafe(F.col("_s")) & (F.col("cell") == F.col("_c"))).drop("_s", "_c")
     d = d.withColumn("_b", F.pmod(F.xxhash64("id"), F.when(F.col("guest"), F.col("_guests")).otherwise(F.col("_homes"))).cast("int"))
     keep = ["scope", "id", "vec", "fresh", "cell"]
