@@ -126,3 +126,17 @@ def test_summary_formulas_on_published_rows(spark):
         assert math.isclose(g.reliability_degradation, r[6], abs_tol=1e-9)
         assert math.isclose(g.cache_effectiveness, r[7], abs_tol=1e-9)
         assert math.isclose(g.correctness_without_bad_hits, r[8], abs_tol=1e-9)
+
+
+def test_prompts_go_through_shuffles_as_digest_bytes(spark, monkeypatch):
+    from cachescope.operators import hits as H
+    seen = []
+    cut = H.cut_lineage
+    monkeypatch.setattr(H, "cut_lineage", lambda df: seen.append(df.schema) or cut(df))
+    log = spark.createDataFrame(
+        [("r", 0, "p", "a", 0.5), ("r", 1, "p", "a", 0.2), ("r", 2, "q", "a", 0.2), ("r", 3, None, "a", 0.2)],
+        "run_id string, seq long, prompt string, response string, latency_sec double")
+    got = {r.seq: r.hit_source for r in detect_hits(log, with_grade=False).collect()}
+    assert got == {0: None, 1: "exact_match_query_0", 2: "semantic_match_query_0", 3: "semantic_match_query_0"}
+    kinds = {f.name: f.dataType.simpleString() for schema in seen for f in schema}
+    assert kinds["prompt_h"] == kinds["src_prompt_h"] == "binary"
