@@ -45,7 +45,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cachescope.llm.common import map_batches, materialise, mix64, row_slices, span_hashes, utf8, word_bounds
+from cachescope.llm.common import (
+    FINE_BYTES, map_batches, materialise, mix64, row_slices, span_hashes, utf8, word_bounds)
 
 THRESHOLD = 0.8
 MIN_WORDS = 5
@@ -135,10 +136,10 @@ def word_counters(texts: DataFrame) -> np.ndarray:
         for batch in batches:
             data, offsets = utf8(batch.column(0))
             held = []
-            for lo, hi in row_slices(offsets):
+            for lo, hi in row_slices(offsets, FINE_BYTES):
                 part, at = data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
                 held.append(_counter(span_hashes(part, *word_bounds(part, at)) >> np.uint64(64 - HASH_BITS)).astype(np.int32))
-                if len(held) == 16 or hi == batch.num_rows:
+                if len(held) == 64 or hi == batch.num_rows:
                     total += np.bincount(np.concatenate(held), minlength=COUNTERS).astype(np.uint32)
                     held = []
         total = total.reshape(-1, PART)
@@ -179,7 +180,7 @@ def line_rows(docs: DataFrame, counters: np.ndarray, threshold: float, min_words
         rarity = shared.value
         for batch in batches:
             data, offsets = utf8(batch.column(1))
-            for lo, hi in row_slices(offsets):
+            for lo, hi in row_slices(offsets, FINE_BYTES):
                 part, at = data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
                 if not len(part):
                     continue
@@ -225,7 +226,7 @@ def line_rows(docs: DataFrame, counters: np.ndarray, threshold: float, min_words
 
 def earliest_partners(group: np.ndarray, n: np.ndarray, pos: np.ndarray, p0: np.ndarray, p1: np.ndarray,
                       probe: np.ndarray, side: np.ndarray, k: int, t: float,
-                      pairs: int = 2_000_000) -> tuple[np.ndarray, np.ndarray]:
+                      pairs: int = 500_000) -> tuple[np.ndarray, np.ndarray]:
     """(earlier, later) row pairs: of each probe row its ``k`` earliest partners within its group.
 
     Rows come in order of (group, place).  Inside a group a row meets rows of its size or
@@ -278,7 +279,7 @@ def earliest_partners(group: np.ndarray, n: np.ndarray, pos: np.ndarray, p0: np.
         ok = probe[j]
         kept_i.append(i[ok]), kept_j.append(j[ok])
         held += int(ok.sum())
-        if held > 2 * pairs:
+        if held > 8 * pairs:
             first_k()
     if not kept_i:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -390,7 +391,7 @@ def word_groups(lines: DataFrame, shared: np.ndarray, probes: DataFrame | None =
                 ["bucket", "key", "at", "p0", "p1", "line", "doc_id"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, chunks = np.unpackbits(shared_.value[0]).astype(bool), shared_.value[1]
+        bits, chunks = np.unpackbits(shared_.value[0]).view(bool), shared_.value[1]
         held, words_held = [], 0
         for batch in batches:
             held.append(batch)
@@ -510,7 +511,7 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, min_words: int) -> DataFr
             batch = batch.filter(pa.array(admitted(doc_bits, ids)))
             ids = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             data, offsets = utf8(batch.column(1))
-            for lo, hi in row_slices(offsets):
+            for lo, hi in row_slices(offsets, FINE_BYTES):
                 part, at = data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
                 if not len(part):
                     continue
@@ -590,7 +591,7 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD, min_words: int =
             texts = np.empty(batch.num_rows, object)
             before, after = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
             kept_lines, kept_sigs = batch.column(len(names)), batch.column(len(names) + 1)
-            for lo, hi in row_slices(offsets):
+            for lo, hi in row_slices(offsets, FINE_BYTES):
                 part, at = data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
                 line, h, (starts, ends, row, number) = line_words(part, at)
                 size, sig = signatures(line, h, len(starts))

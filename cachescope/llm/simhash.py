@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cachescope.llm.common import (
-    IS_BLANK, connected_components, map_batches, materialise, row_slices, stars, utf8, word_bounds,
+    FINE_BYTES, IS_BLANK, connected_components, map_batches, materialise, row_slices, stars, utf8, word_bounds,
 )
 
 SHINGLE = 4
@@ -94,7 +94,7 @@ def with_fingerprint(docs: DataFrame, shingle: int = SHINGLE, text: str = "text"
         for batch in batches:
             data, offsets = utf8(batch.column(at))
             fp = np.zeros(batch.num_rows, np.uint64)
-            for lo, hi in row_slices(offsets):
+            for lo, hi in row_slices(offsets, FINE_BYTES):
                 fp[lo:hi] = fingerprint_rows(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], shingle)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fp.view(np.int64))], names)
 
@@ -125,7 +125,7 @@ def trie_links(keys: np.ndarray, fps: np.ndarray, budget: int, small: int = 8) -
     def compare(al, ah, bl, bh):
         wide, high = ah - al, bh - bl
         size = wide * high
-        step = 4_000_000
+        step = 1_000_000
         part = np.cumsum(size) // step
         for p in np.unique(part):
             m = part == p
