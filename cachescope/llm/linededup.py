@@ -54,6 +54,7 @@ EVERY_LINE = 1           # ``min_words`` that exempts only lines without a word
 COUNTERS = 1 << 22
 PART = 1 << 14           # counters a row of the counting step
 MOST = (1 << 16) - 1     # a counter stops here
+COUNTED_AT_ONCE = 1 << 20    # words held before they are added to the counters
 BLOOM_BITS = 1 << 25
 GROUP_ROWS = 16_384
 FIRST = 8                # candidates a line in the first round
@@ -133,15 +134,23 @@ def word_counters(texts: DataFrame) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.uint32)
+        held, words_held = [], 0
+
+        def add_up() -> None:
+            nonlocal held, words_held
+            if held:
+                np.add(total, np.bincount(np.concatenate(held), minlength=COUNTERS), out=total, casting="unsafe")
+            held, words_held = [], 0
+
         for batch in batches:
             data, offsets = utf8(batch.column(0))
-            held = []
             for lo, hi in row_slices(offsets, FINE_BYTES):
                 part, at = data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
                 held.append(_counter(span_hashes(part, *word_bounds(part, at)) >> np.uint64(64 - HASH_BITS)).astype(np.int32))
-                if len(held) == 64 or hi == batch.num_rows:
-                    total += np.bincount(np.concatenate(held), minlength=COUNTERS).astype(np.uint32)
-                    held = []
+                words_held += len(held[-1])
+                if words_held >= COUNTED_AT_ONCE:
+                    add_up()
+        add_up()
         total = total.reshape(-1, PART)
         for k in range(0, len(total), 32):
             yield rows(total, [p for p in range(k, min(k + 32, len(total))) if total[p].any()])
@@ -171,6 +180,13 @@ def _counter(h: np.ndarray) -> np.ndarray:
 # 2. lines with their prefixes
 # ---------------------------------------------------------------------------
 
+def by_line_and_rarity(line: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Stable order by (line, counter of at most ``MOST``); numbers are sorted faster than their places."""
+    if not len(line) or max(len(line), 2 * (int(line.max()) + 1)) > 1 << 24:
+        return np.argsort(line << 16 | seen, kind="stable")
+    return np.sort(line << 40 | seen << 24 | np.arange(len(line))) & ((1 << 24) - 1)
+
+
 def line_rows(docs: DataFrame, counters: np.ndarray, threshold: float, min_words: int) -> DataFrame:
     """One row a distinct set: sig, n, parity (p0, p1), prefix, and its first place (doc_id, line)."""
     shared = docs.sparkSession.sparkContext.broadcast(counters)
@@ -192,7 +208,7 @@ def line_rows(docs: DataFrame, counters: np.ndarray, threshold: float, min_words
                 if not len(line):
                     continue
                 seen = rarity[_counter(h)].astype(np.int64)
-                order = np.argsort(line << 16 | seen, kind="stable")       # by line, rarity, hash
+                order = by_line_and_rarity(line, seen)                     # and hash
                 line, h, seen = line[order], h[order], seen[order]
                 lines = np.flatnonzero(use)
                 n = size[lines]
