@@ -87,7 +87,7 @@ def line_words(data: np.ndarray, offsets: np.ndarray):
     """Distinct word hashes of each line, sorted by (line, hash): (line index, hash), and the lines."""
     starts, ends, row, number = lines_of(data, offsets)
     a, b = word_bounds(data, offsets)
-    line = np.searchsorted(starts, a, "right") - 1
+    line = np.repeat(np.arange(len(starts)), np.diff(np.searchsorted(a, starts), append=len(a)))
     h = span_hashes(data, a, b) >> np.uint64(64 - HASH_BITS)
     if len(starts) < 1 << (64 - HASH_BITS):
         both = np.sort(line.astype(np.uint64) << np.uint64(HASH_BITS) | h)
@@ -620,13 +620,14 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD, min_words: int =
                 stay_ |= np.isin(_place(row, number, sig.view(np.int64)), _place(k_row, k_line, k_sig))
                 before[lo:hi] = np.bincount(row, minlength=hi - lo)
                 after[lo:hi] = np.bincount(row[stay_], minlength=hi - lo)
-                raw = part.tobytes()
+                raw, at = part.tobytes(), at.tolist()
+                kept = np.flatnonzero(stay_)
+                first = np.searchsorted(row[kept], np.arange(hi - lo + 1)).tolist()
+                spans = list(zip(starts[kept].tolist(), ends[kept].tolist()))
+                changed = (before[lo:hi] != after[lo:hi]).tolist()
                 for r in range(hi - lo):
-                    texts[lo + r] = raw[at[r]:at[r + 1]]
-                for r in np.flatnonzero(before[lo:hi] != after[lo:hi]).tolist():
-                    k = np.flatnonzero(stay_ & (row == r)) if hi - lo == 1 else np.flatnonzero(
-                        stay_[np.searchsorted(row, r):np.searchsorted(row, r, "right")]) + np.searchsorted(row, r)
-                    texts[lo + r] = b"\n".join([raw[starts[i]:ends[i]] for i in k.tolist()])
+                    texts[lo + r] = (b"\n".join([raw[a:b] for a, b in spans[first[r]:first[r + 1]]]) if changed[r]
+                                     else raw[at[r]:at[r + 1]])
             null = np.array(column.is_null())
             texts[null] = None
             out = list(batch.columns[:len(names)])
